@@ -30,23 +30,24 @@ def named_universities(universities: DataFrame) -> DataFrame:
     )
 
 
-def roll_up(labs: DataFrame, universities: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """Papers and labs per university name.
+def roll_up(labs: DataFrame, universities: DataFrame) -> DataFrame:
+    """Papers and labs per university name."""
+    single = labs.select("university_id", papers().alias("paper_count"), F.lit(1).alias("lab_count"))
+    return roll_up_groups(single, universities)
 
-    Labs are summed per university id before the join, so the join meets one row per university and
+
+def roll_up_groups(
+    groups: DataFrame, universities: DataFrame, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Sum (university_id, paper_count, lab_count) per university name.
+
+    Rows are summed per university id before the join, so the join meets one row per university and
     no university is hot. The second sum merges universities of the same name.
     """
-    per_id = labs.groupBy(*by, "university_id").agg(
-        F.sum(papers()).alias("paper_count"), F.count("*").alias("lab_count")
-    )
-    return (
-        per_id.join(named_universities(universities), "university_id")
-        .groupBy(*by, "university")
-        .agg(
-            F.sum("paper_count").alias("paper_count"),
-            F.sum("lab_count").alias("lab_count"),
-        )
-    )
+    sums = [F.sum(c).alias(c) for c in ("paper_count", "lab_count")]
+    per_id = groups.groupBy(*by, "university_id").agg(*sums)
+    named = per_id.join(named_universities(universities), "university_id")
+    return named.groupBy(*by, "university").agg(*sums)
 
 
 def ranked(totals: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -99,27 +100,43 @@ def rank_selections(labs: DataFrame, universities: DataFrame, selections: DataFr
         .groupBy("selection_id", "university_id", "ids")
         .agg(F.max("paper_count").alias("paper_count"), F.max("lab_count").alias("lab_count"))
     )
-    totals = matched.groupBy("selection_id", "university_id").agg(
-        F.sum("paper_count").alias("paper_count"), F.sum("lab_count").alias("lab_count")
-    )
-    named = (
-        totals.join(named_universities(universities), "university_id")
-        .groupBy("selection_id", "university")
-        .agg(F.sum("paper_count").alias("paper_count"), F.sum("lab_count").alias("lab_count"))
+    return ranked(roll_up_groups(matched, universities, ("selection_id",)), ("selection_id",))
+
+
+def _with_status(pairs: DataFrame) -> DataFrame:
+    new, old = F.col("new_papers"), F.col("old_papers")
+    return pairs.withColumn(
+        "status",
+        F.when(new.isNull(), "dropped").when(new == old, "kept").otherwise("changed"),
     )
-    return ranked(named, ("selection_id",))
 
 
 def refresh_diff(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Carry each university of the old ranking into the new one: kept, changed or dropped."""
+    """Carry each university of a stored ranking into a new one: kept, changed or dropped."""
     before = old.select("university", F.col("paper_count").alias("old_papers"))
     after = new.select("university", F.col("paper_count").alias("new_papers"))
-    return before.join(after, "university", "left").withColumn(
-        "status",
-        F.when(F.col("new_papers").isNull(), "dropped")
-        .when(F.col("new_papers") == F.col("old_papers"), "kept")
-        .otherwise("changed"),
+    return _with_status(before.join(after, "university", "left"))
+
+
+def selection_diff(
+    labs: DataFrame, universities: DataFrame, old: Selection, new: Selection
+) -> DataFrame:
+    """``refresh_diff`` of the rankings for two selections, from one pass over the labs."""
+    ids = F.col("research_sub_fields")
+    marked = labs.select(
+        "university_id",
+        F.when(ranking_filter(ids, old, None), papers()).alias("old_papers"),
+        F.when(ranking_filter(ids, new, None), papers()).alias("new_papers"),
+    )
+    sums = [F.sum(c).alias(c) for c in ("old_papers", "new_papers")]
+    per_id = marked.groupBy("university_id").agg(*sums)
+    per_name = (
+        per_id.join(named_universities(universities), "university_id")
+        .groupBy("university")
+        .agg(*sums)
+        .where(F.col("old_papers").isNotNull())
     )
+    return _with_status(per_name)
 
 
 def directory(labs: DataFrame, universities: DataFrame) -> DataFrame:

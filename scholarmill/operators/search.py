@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from scholarmill.constants import AREAS
 from scholarmill.operators.bookmarks import pairs
 from scholarmill.operators.positions import with_positions
 from scholarmill.operators.ranking import roll_up
+from scholarmill.session import stored
 
 MAX_QUERIES = 1000
 
@@ -48,13 +51,11 @@ def name_search(labs: DataFrame, universities: DataFrame, term: str) -> DataFram
 
 def label_profiles(vectors: DataFrame) -> DataFrame:
     """Mean vector of every label: (qid, vector)."""
-    return (
-        vectors.select("label", F.posexplode("embedding").alias("pos", "x"))
-        .groupBy("label", "pos")
-        .agg(F.avg(F.col("x").cast("double")).alias("mean"))
-        .groupBy(F.col("label").cast("bigint").alias("qid"))
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "mean"))).alias("_dims"))
-        .select("qid", F.transform("_dims", lambda d: d["mean"]).alias("vector"))
+    means = vectors.groupBy("label").agg(
+        Summarizer.mean(array_to_vector(F.col("embedding").cast("array<double>"))).alias("mean")
+    )
+    return means.select(
+        F.col("label").cast("bigint").alias("qid"), vector_to_array("mean").alias("vector")
     )
 
 
@@ -128,13 +129,15 @@ def recommend(labs: DataFrame, bookmarks: DataFrame, k: int = 5) -> DataFrame:
     user's k-th free place in that order is one of the first k places or lies within k places after
     one of the user's own bookmarks; only those places are looked up.
     """
-    profiles = labs.select(
-        F.col("id").alias("lab_id"),
-        F.coalesce("paper_count", F.lit(0)).alias("paper_count"),
-        area_bits(F.col("research_sub_fields")).alias("areas"),
-    ).where(F.col("areas") > 0)
+    profiles = stored(
+        labs.select(
+            F.col("id").alias("lab_id"),
+            F.coalesce("paper_count", F.lit(0)).alias("paper_count"),
+            area_bits(F.col("research_sub_fields")).alias("areas"),
+        ).where(F.col("areas") > 0)
+    )
     held = pairs(bookmarks).join(profiles.select("lab_id", "areas"), "lab_id")
-    users = held.groupBy("user_id").agg(F.bit_or("areas").alias("interest"))
+    users = stored(held.groupBy("user_id").agg(F.bit_or("areas").alias("interest")))
 
     shared = F.col("areas").bitwiseAND(F.col("interest"))
     every_set = F.explode(F.sequence(F.lit(1), F.lit((1 << len(AREAS)) - 1))).alias("interest")

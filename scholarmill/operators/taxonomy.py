@@ -2,32 +2,45 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from scholarmill import schemas
 from scholarmill.constants import AREAS, taxonomy_rows
 
 
+def constant_relation(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small relation held in the plan itself. Its exact size is known to the planner, so joins
+    broadcast it without a hint."""
+    typed = T.StructType.fromDDL(schema)
+    columns = list(zip(*rows))
+    table = pa.table(
+        [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, typed.fields)],
+        names=typed.names,
+    )
+    return spark.createDataFrame(table, typed)
+
+
 def taxonomy(spark: SparkSession) -> DataFrame:
     """One row per sub-field."""
-    return spark.createDataFrame(taxonomy_rows(), schemas.TAXONOMY)
+    return constant_relation(spark, taxonomy_rows(), schemas.TAXONOMY)
 
 
 def areas(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(AREAS, schemas.AREAS)
+    return constant_relation(spark, AREAS, schemas.AREAS)
 
 
 def research_fields(spark: SparkSession) -> DataFrame:
-    return taxonomy(spark).select(
-        F.col("field_id").alias("id"), F.col("field").alias("name"), "category_id"
-    ).distinct()
+    rows = {(row[2], row[3], row[0]) for row in taxonomy_rows()}
+    return constant_relation(spark, sorted(rows), schemas.RESEARCH_FIELDS)
 
 
 def research_sub_fields(spark: SparkSession) -> DataFrame:
-    return taxonomy(spark).select(
-        F.col("sub_field_id").alias("id"), F.col("sub_field").alias("name"), "field_id"
-    )
+    rows = [(row[4], row[5], row[2]) for row in taxonomy_rows()]
+    return constant_relation(spark, rows, schemas.RESEARCH_SUB_FIELDS)
 
 
 def sub_field_dim(sub_fields: DataFrame, fields: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ from scholarmill.operators import (
     taxonomy,
     trends,
 )
+from scholarmill.session import stored
 from scholarmill.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,7 +84,7 @@ def q_ranking_all(t: Tables) -> DataFrame:
 
 @query
 def q_ranking_multi_selection(t: Tables) -> DataFrame:
-    selections = t.spark.createDataFrame(SELECTIONS, schemas.SELECTIONS)
+    selections = taxonomy.constant_relation(t.spark, SELECTIONS, schemas.SELECTIONS)
     labs = t.labs(papers=True, sub_fields=True)
     return ranking.rank_selections(labs, t.universities(), selections)
 
@@ -91,10 +92,7 @@ def q_ranking_multi_selection(t: Tables) -> DataFrame:
 @query
 def q_ranking_refresh_diff(t: Tables) -> DataFrame:
     labs = t.labs(papers=True, sub_fields=True)
-    return ranking.refresh_diff(
-        ranking.rank_universities(labs, t.universities(), SELECTION),
-        ranking.rank_universities(labs, t.universities(), LATER_SELECTION),
-    )
+    return ranking.selection_diff(labs, t.universities(), SELECTION, LATER_SELECTION)
 
 
 # ---- Labs --------------------------------------------------------------------------------------
@@ -172,10 +170,9 @@ def q_area_members(t: Tables) -> DataFrame:
 
 @query
 def q_professor_detail(t: Tables) -> DataFrame:
-    labs = t.labs(papers=True, sub_fields=True)
     lab_fields, lab_sub_fields = t.lab_bridges(t.labs(sub_fields=True))
     nested = detail.lab_detail(
-        labs,
+        t.labs(papers=True),
         t.universities(),
         lab_fields,
         lab_sub_fields,
@@ -405,8 +402,8 @@ def q_recommend(t: Tables) -> DataFrame:
 
 @query
 def q_compare_labs(t: Tables) -> DataFrame:
-    placed = ranking.labs_in_university(t.labs(papers=True), t.universities())
-    labs = t.labs(papers=True, sub_fields=True)
+    labs = stored(t.labs(papers=True, sub_fields=True))
+    placed = ranking.labs_in_university(labs, t.universities())
     return search.compare_labs(labs, search.neighbour_pairs(placed))
 
 
