@@ -10,14 +10,16 @@ from pyspark.sql import functions as F
 from scholarmill.session import stored
 
 
-def sorted_slices(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+def sorted_slices(
+    df: DataFrame, keys: list[str], order: list[Column], name: str | None = None
+) -> DataFrame:
     """Sort ``df`` by range and store it with ``_row`` (global order) and ``_slice`` (sort partition).
 
     The range boundaries use the whole (keys, order) tuple, so a group of any size spreads over as
     many slices as it needs. ``order`` must end in a unique column.
     """
     numbered = df.orderBy(*keys, *order).withColumn("_row", F.monotonically_increasing_id())
-    return stored(numbered.withColumn("_slice", F.shiftright("_row", 33)))
+    return stored(numbered.withColumn("_slice", F.shiftright("_row", 33)), name)
 
 
 def join_slices(rows: DataFrame, per_slice: DataFrame, keys: list[str]) -> DataFrame:

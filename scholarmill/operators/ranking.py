@@ -15,7 +15,9 @@ from scholarmill.functions.labs import (
 )
 from scholarmill.operators.positions import with_positions
 from scholarmill.operators.selection import Selection, drilldown_filter, ranking_filter
-from scholarmill.operators.taxonomy import taxonomy
+from scholarmill.operators.taxonomy import taxonomy, with_field_profile
+
+LABS_PER_PAGE = 1000
 
 
 def papers() -> Column:
@@ -83,24 +85,27 @@ def with_summary(ranking: DataFrame) -> DataFrame:
 def rank_selections(labs: DataFrame, universities: DataFrame, selections: DataFrame) -> DataFrame:
     """Rankings for a whole relation of selections (selection_id, field, sub_field) in one job.
 
-    Labs with the same university and the same set of ids always match together, so they are summed
-    first; a popular sub-field then meets the selections once per distinct set, not once per lab.
+    Labs of one university with the same set of ids always match together, and selections of the
+    same sub-fields rank alike. Both sides are reduced to their distinct sets first, so a popular
+    sub-field meets a popular selection once, not once per lab and selection.
     """
-    wanted = (
+    chosen = (
         selections.join(F.broadcast(taxonomy(labs.sparkSession)), ["field", "sub_field"])
-        .select("selection_id", "sub_field_id")
-        .distinct()
+        .groupBy("selection_id")
+        .agg(F.array_sort(F.collect_set("sub_field_id")).alias("wanted"))  # at most the taxonomy
     )
+    wanted = chosen.select("wanted").distinct().withColumn("sub_field_id", F.explode("wanted"))
     groups = labs.groupBy(
         "university_id", F.array_sort(F.array_distinct("research_sub_fields")).alias("ids")
     ).agg(F.sum(papers()).alias("paper_count"), F.count("*").alias("lab_count"))
     matched = (
         groups.withColumn("sub_field_id", F.explode("ids"))
         .join(wanted, "sub_field_id")
-        .groupBy("selection_id", "university_id", "ids")
+        .groupBy("wanted", "university_id", "ids")
         .agg(F.max("paper_count").alias("paper_count"), F.max("lab_count").alias("lab_count"))
     )
-    return ranked(roll_up_groups(matched, universities, ("selection_id",)), ("selection_id",))
+    rankings = ranked(roll_up_groups(matched, universities, ("wanted",)), ("wanted",))
+    return chosen.join(rankings, "wanted").drop("wanted")
 
 
 def _with_status(pairs: DataFrame) -> DataFrame:
@@ -201,3 +206,29 @@ def labs_in_university(labs: DataFrame, universities: DataFrame) -> DataFrame:
         "university", "id", papers().alias("paper_count")
     )
     return with_positions(rows, ["university"], [F.desc("paper_count"), F.col("id")])
+
+
+def lab_pages(labs: DataFrame, universities: DataFrame, page_size: int = LABS_PER_PAGE) -> DataFrame:
+    """Each university's labs as nested lists in paper order: (university, page, labs).
+
+    A page holds at most ``page_size`` labs, so the nested form never puts a whole university into
+    one row, and the pages of a university hold all its labs.
+    """
+    profiled = with_field_profile(labs).join(named_universities(universities), "university_id")
+    rows = profiled.select(
+        "university",
+        "id",
+        "name",
+        "department",
+        papers().alias("paper_count"),
+        F.coalesce("lab_member_count", F.lit(0)).alias("lab_member_count"),
+        "lab_url",
+        "scholar_url",
+        "dblp_url",
+        "research_fields",
+    )
+    placed = with_positions(rows, ["university"], [F.desc("paper_count"), F.col("id")])
+    entry = F.struct("pos", *[c for c in rows.columns if c != "university"])
+    return placed.groupBy(
+        "university", F.floor((F.col("pos") - 1) / page_size).alias("page")
+    ).agg(F.array_sort(F.collect_list(entry)).alias("labs"))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -17,30 +20,26 @@ from scholarmill.operators.positions import with_positions
 from scholarmill.operators.ranking import roll_up
 from scholarmill.session import stored
 
-MAX_QUERIES = 1000
-
 
 def keyword_search(documents: DataFrame, keywords: list[str]) -> DataFrame:
     """Documents holding any keyword, case-insensitive: keywords matched and total occurrences.
 
     Keywords are literals, so the scan alone answers; nothing is tokenised or shuffled.
     """
+    words = [k.lower() for k in keywords]
     text = F.lower("text")
-    counts = []
-    for word in (k.lower() for k in keywords):
-        removed = F.replace(F.col("_text"), F.lit(word), F.lit(""))
-        counts.append((F.length("_text") - F.length(removed)) / len(word))
-    total: Column = F.lit(0)
-    matched: Column = F.lit(0)
-    for i in range(len(counts)):
-        total = total + F.col(f"_n{i}")
-        matched = matched + F.when(F.col(f"_n{i}") > 0, 1).otherwise(0)
-    counted = documents.select("doc_id", text.alias("_text")).select(
-        "doc_id", *[c.cast("bigint").alias(f"_n{i}") for i, c in enumerate(counts)]
+
+    def occurrences(word: str) -> Column:
+        shorter = F.length(F.replace(text, F.lit(word), F.lit("")))
+        return ((F.length(text) - shorter) / len(word)).cast("bigint")
+
+    any_word = "|".join(re.escape(w) for w in words)
+    matched = [F.when(text.contains(w), 1).otherwise(0) for w in words]
+    return documents.where(text.rlike(any_word)).select(
+        "doc_id",
+        reduce(add, matched).cast("bigint").alias("n_matched"),
+        reduce(add, [occurrences(w) for w in words]).alias("score"),
     )
-    return counted.select(
-        "doc_id", matched.cast("bigint").alias("n_matched"), total.cast("bigint").alias("score")
-    ).where(F.col("n_matched") > 0)
 
 
 def name_search(labs: DataFrame, universities: DataFrame, term: str) -> DataFrame:
@@ -59,47 +58,89 @@ def label_profiles(vectors: DataFrame) -> DataFrame:
     )
 
 
-def query_vectors(profiles: DataFrame, limit: int = MAX_QUERIES) -> list[tuple[int, list[float]]]:
-    """Bring query vectors to the driver; refuses more than ``limit`` of them."""
-    rows = profiles.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} query vectors")
-    return sorted((r["qid"], list(r["vector"])) for r in rows)
+def _nearest(points: pd.DataFrame, qids: np.ndarray, matrix: np.ndarray, k: int) -> pd.DataFrame:
+    """The best ``k`` points per unit query vector, ties by id: one matrix product."""
+    vectors = np.stack(points["embedding"].to_numpy()).astype("float64")
+    ids = points["vec_id"].to_numpy()
+    sims = np.round(vectors @ matrix.T / np.linalg.norm(vectors, axis=1)[:, None], 6)
+    found = []
+    for i, qid in enumerate(qids):
+        first = np.lexsort((ids, -sims[:, i]))[:k]
+        found.append(pd.DataFrame({"qid": qid, "vec_id": ids[first], "sim": sims[first, i]}))
+    return pd.concat(found)
 
 
-def vector_topk(
-    vectors: DataFrame, queries: list[tuple[int, list[float]]], k: int
-) -> DataFrame:
-    """The ``k`` vectors most similar to each query by cosine, ties by id.
+def _unit_rows(vectors: list) -> np.ndarray:
+    matrix = np.array([np.asarray(v, dtype="float64") for v in vectors])
+    return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
 
-    Every Arrow batch keeps its own best ``k`` per query from one matrix product, so what is shuffled
-    grows with the number of batches, not with vectors times queries.
-    """
-    if len(queries) > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} query vectors")
-    qids = np.array([q for q, _ in queries])
-    matrix = np.array([v for _, v in queries], dtype="float64")
-    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+
+NEAREST = "qid bigint, vec_id bigint, sim double"
+
+
+def _nearest_inline(vectors: DataFrame, queries: list, k: int) -> DataFrame:
+    """Few queries: they travel with the task, vectors are not shuffled."""
+    qids = np.array([q["qid"] for q in queries])
+    matrix = _unit_rows([q["vector"] for q in queries])
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if batch.empty:
-                continue
-            points = np.stack(batch["embedding"].to_numpy()).astype("float64")
-            ids = batch["vec_id"].to_numpy()
-            norms = np.linalg.norm(points, axis=1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                sims = np.round((points @ matrix.T) / norms[:, None], 6)
-            for i, qid in enumerate(qids):
-                first = np.lexsort((ids, -sims[:, i]))[:k]
-                yield pd.DataFrame({"qid": qid, "vec_id": ids[first], "sim": sims[first, i]})
+            if len(batch):
+                yield _nearest(batch, qids, matrix, k)
 
+    return vectors.mapInPandas(best, NEAREST)
+
+
+def _nearest_blocks(
+    vectors: DataFrame, queries: DataFrame, n_queries: int, k: int, block: int, shard: int
+) -> DataFrame:
+    """Any number of queries: each task compares one shard of vectors with one block of queries."""
+    n_blocks = -(-n_queries // block)
+    n_shards = -(-vectors.count() // shard)
+
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    def part(key: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+
+    points = vectors.withColumn("shard", part("vec_id", n_shards)).withColumn("block", every(n_blocks))
+    asked = queries.withColumn("block", part("qid", n_blocks)).withColumn("shard", every(n_shards))
+
+    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({"qid": [], "vec_id": [], "sim": []})
+        return _nearest(left, right["qid"].to_numpy(), _unit_rows(list(right["vector"])), k)
+
+    pair = ["block", "shard"]
+    return points.groupBy(*pair).cogroup(asked.groupBy(*pair)).applyInPandas(best, NEAREST)
+
+
+def vector_topk(
+    vectors: DataFrame,
+    queries: DataFrame,
+    k: int,
+    inline_limit: int = 1000,
+    shard: int = 20_000,
+) -> DataFrame:
+    """The ``k`` vectors most similar to each query (qid, vector) by cosine, ties by id.
+
+    Each Arrow batch or shard keeps its own best ``k`` per query, and only those are shuffled, so
+    neither a third of equal vectors nor their number reaches one task. Zero vectors have no
+    direction and are left out.
+    """
+    points = vectors.select("vec_id", "embedding").where(F.exists("embedding", lambda x: x != 0))
+    few = queries.select("qid", "vector").limit(inline_limit + 1).collect()
+    if not few:
+        nearest = points.sparkSession.createDataFrame([], NEAREST)
+    elif len(few) <= inline_limit:
+        nearest = _nearest_inline(points, few, k)
+    else:
+        asked = queries.select("qid", "vector")
+        nearest = _nearest_blocks(points, asked, asked.count(), k, inline_limit, shard)
     place = Window.partitionBy("qid").orderBy(F.desc("sim"), "vec_id")
     return (
-        vectors.select("vec_id", "embedding")
-        .where(F.exists("embedding", lambda x: x != 0))
-        .mapInPandas(best, "qid bigint, vec_id bigint, sim double")
-        .withColumn("rk", F.row_number().over(place))
+        nearest.withColumn("rk", F.row_number().over(place))
         .where(F.col("rk") <= k)
         .withColumn("rk", F.col("rk").cast("bigint"))
     )

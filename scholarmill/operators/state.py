@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scholarmill.constants import FIELDS
 from scholarmill.operators.positions import before, join_slices, sorted_slices
+from scholarmill.operators.taxonomy import constant_relation
 
 KEYS = ["session", "field"]
 
@@ -41,14 +42,27 @@ def _all_bits() -> Column:
 
 
 def known_toggles(events: DataFrame) -> DataFrame:
-    """Toggles of listed fields and sub-fields; nothing else can be pressed."""
-    bits = _bit_lookup()[F.col("field")]
-    return events.where(bits.isNotNull()).where(
-        (F.col("kind") == "field") | bits[F.col("sub_field")].isNotNull()
+    """Toggles of listed fields and sub-fields with ``cut`` (1 for a field toggle) and ``bit``.
+
+    Nothing else can be pressed, so other names are dropped by the join with the constant list.
+    """
+    rows = [(field, "", 0) for field in FIELDS]
+    rows += [(f, name, 1 << i) for f, names in FIELDS.items() for i, name in enumerate(names)]
+    bits = constant_relation(
+        events.sparkSession, rows, "field string, pressed string, bit bigint"
+    )
+    is_field = F.col("kind") == "field"
+    pressed = F.when(is_field, "").otherwise(F.nullif(F.col("sub_field"), F.lit("")))
+    return (
+        events.withColumn("pressed", pressed)
+        .withColumn("cut", is_field.cast("bigint"))
+        .join(F.broadcast(bits), ["field", "pressed"])
     )
 
 
-def fold_selection(events: DataFrame, order: tuple[str, ...] = ("ord",)) -> DataFrame:
+def fold_selection(
+    events: DataFrame, order: tuple[str, ...] = ("ord",), stored_as: str | None = None
+) -> DataFrame:
     """Current selection per (session, field) from a log of toggles (session, ord, kind, field,
     sub_field), where ``kind`` is 'field' or 'sub' and ``order`` is unique in a session.
 
@@ -64,16 +78,8 @@ def fold_selection(events: DataFrame, order: tuple[str, ...] = ("ord",)) -> Data
     are taken per slice of the sorted log and carried over as one row per slice, so one session may
     hold any share of the log.
     """
-    is_field = F.col("kind") == "field"
-    toggles = known_toggles(events).select(
-        *KEYS,
-        *order,
-        is_field.cast("bigint").alias("cut"),
-        F.when(is_field, F.lit(0).cast("bigint"))
-        .otherwise(_bit_lookup()[F.col("field")][F.col("sub_field")])
-        .alias("bit"),
-    )
-    rows = sorted_slices(toggles, KEYS, [F.col(c) for c in order])
+    toggles = known_toggles(events).select(*KEYS, *order, "cut", "bit")
+    rows = sorted_slices(toggles, KEYS, [F.col(c) for c in order], stored_as)
 
     totals = rows.groupBy(*KEYS, "_slice").agg(
         F.sum("cut").alias("cuts"), F.bit_xor("bit").alias("flips")

@@ -53,6 +53,7 @@ KEYWORDS = ["thering", "tion", "éeau", "ción", "ung"]
 NAME_TERM = "nation_1"
 MESSAGE_RULES = [*AUTH_MESSAGE_RULES, ("tion", "english_like"), ("ción", "spanish_like"), ("eau", "french_like")]
 TOP_K = 5
+LABS_PER_PAGE = 25
 
 REGISTRY: dict[str, Query] = {}
 
@@ -158,6 +159,22 @@ def q_labs_in_university(t: Tables) -> DataFrame:
     return ranking.labs_in_university(t.labs(papers=True), t.universities())
 
 
+@query
+def q_university_lab_pages(t: Tables) -> DataFrame:
+    labs = t.labs(papers=True, sub_fields=True)
+    pages = ranking.lab_pages(labs, t.universities(), LABS_PER_PAGE)
+    return pages.select(
+        "university",
+        "page",
+        F.size("labs").cast("bigint").alias("n_labs"),
+        F.aggregate("labs", F.lit(0).cast("bigint"), lambda acc, x: acc + x["paper_count"]).alias("papers"),
+        F.array_join(F.transform("labs", lambda x: x["name"]), ", ").alias("lab_names"),
+        F.aggregate(
+            "labs", F.lit(0).cast("bigint"), lambda acc, x: acc + F.size(x["research_fields"])
+        ).alias("n_fields"),
+    )
+
+
 @query
 def q_taxonomy_flat(t: Tables) -> DataFrame:
     return taxonomy.sub_field_usage(t.spark, t.labs(papers=True, sub_fields=True))
@@ -391,8 +408,7 @@ def q_name_search(t: Tables) -> DataFrame:
 @query
 def q_vector_topk(t: Tables) -> DataFrame:
     vectors = t.read("embeddings")
-    queries = search.query_vectors(search.label_profiles(vectors))
-    return search.vector_topk(vectors, queries, TOP_K)
+    return search.vector_topk(vectors, search.label_profiles(vectors), TOP_K)
 
 
 @query

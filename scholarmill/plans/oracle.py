@@ -249,6 +249,16 @@ FROM kept GROUP BY university""",
 WITH {LAB}
 SELECT university, id, paper_count,
        row_number() OVER (PARTITION BY university ORDER BY paper_count DESC, id) AS pos FROM lab""",
+    "q_university_lab_pages": f"""
+WITH {LABS},
+placed AS (
+  SELECT lab.*, (SELECT count(DISTINCT field) FROM lab_tax x WHERE x.id = lab.id) AS n_fields,
+         row_number() OVER (PARTITION BY university ORDER BY paper_count DESC, id) AS pos FROM lab
+)
+SELECT university, CAST((pos - 1) // {cat.LABS_PER_PAGE} AS BIGINT) AS page, count(*) AS n_labs,
+       CAST(sum(paper_count) AS BIGINT) AS papers, string_agg(name, ', ' ORDER BY pos) AS lab_names,
+       CAST(sum(n_fields) AS BIGINT) AS n_fields
+FROM placed GROUP BY 1, 2""",
     "q_taxonomy_flat": f"""
 WITH {LABS}
 SELECT CAST(t.category_id AS VARCHAR) AS category, t.field, t.sub_field,

@@ -34,13 +34,14 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, name: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table.
 
     Row numbers and slice numbers drawn while sorting stay fixed afterwards, whichever executor is
-    lost, and readers of the table may prune columns.
+    lost, and readers of the table may prune columns. A repeating job passes its own ``name`` so that
+    each run replaces the table of the run before.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = f"{shared_folder(spark)}/stored-{name or uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

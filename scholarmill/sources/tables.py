@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarmill.constants import taxonomy_rows
+from scholarmill.constants import FIELDS, taxonomy_rows
+from scholarmill.operators.taxonomy import constant_relation
 
 MEMBERS_PER_BALANCE = 400
 
@@ -130,26 +131,18 @@ class Tables:
 
     def selection_toggles(self) -> DataFrame:
         """Events read as presses in the field selector: sign-ups press a field, the rest a sub-field."""
-        names: dict[int, list[str]] = {}
-        titles: dict[int, str] = {}
-        for _, _, field_id, field, _, sub_field in taxonomy_rows():
-            names.setdefault(field_id, []).append(sub_field)
-            titles[field_id] = field
-        fields = F.array(*[F.lit(titles[i]) for i in sorted(titles)])
-        subs = F.array(*[F.array(*[F.lit(n) for n in names[i]]) for i in sorted(names)])
-        k = F.get_json_object("props", "$.k").cast("int")
-        events = self.read("events").select("user_id", "ts", "event_id", "event_type", k.alias("k"))
-        at_field = F.col("k") % len(titles)
-        choices = F.get(subs, at_field)
-        is_field = F.col("event_type") == "signup"
-        return events.select(
+        fields = list(FIELDS.items())
+        rows = []
+        for k in range(100):
+            field, names = fields[k % len(fields)]
+            rows.append((k, field, names[k // len(fields) % len(names)]))
+        buttons = constant_relation(self.spark, rows, "k bigint, field string, button string")
+        events = self.read("events").select(
             F.col("user_id").alias("session"),
             "ts",
             "event_id",
-            F.when(is_field, "field").otherwise("sub").alias("kind"),
-            F.get(fields, at_field).alias("field"),
-            F.when(
-                ~is_field,
-                F.get(choices, (F.floor(F.col("k") / len(titles)) % F.size(choices)).cast("int")),
-            ).alias("sub_field"),
+            F.when(F.col("event_type") == "signup", "field").otherwise("sub").alias("kind"),
+            F.get_json_object("props", "$.k").cast("bigint").alias("k"),
         )
+        sub_field = F.when(F.col("kind") == "sub", F.col("button")).alias("sub_field")
+        return events.join(buttons, "k").select("session", "ts", "event_id", "kind", "field", sub_field)

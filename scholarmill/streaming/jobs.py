@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -87,6 +89,8 @@ def selection_stream(
     job instead of passing through one stateful task.
     """
 
+    scratch = hashlib.sha256(table.encode()).hexdigest()[:16]
+
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         toggles_now = batch.select("session", "ord", "kind", "field", "sub_field")
@@ -96,7 +100,8 @@ def selection_stream(
             earlier = versions.where(F.col(VERSION) < batch_id).join(touched, KEYS, "left_semi")
             held = latest(earlier, KEYS, [VERSION])
             toggles_now = as_toggles(held).unionByName(toggles_now)
-        fold_selection(toggles_now).write.mode("overwrite").parquet(f"{table}/{VERSION}={batch_id}")
+        folded = fold_selection(toggles_now, stored_as=f"selection-{scratch}")
+        folded.write.mode("overwrite").parquet(f"{table}/{VERSION}={batch_id}")
 
     writer = toggles.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -1,0 +1,59 @@
+"""Plans keep their shape when nothing is small enough to broadcast."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from scholarmill.plans.catalogue import REGISTRY
+from tests.conftest import SMALL
+
+WITH_PYTHON = {"q_vector_topk"}
+NO_SHUFFLE = {
+    "q_lab_size", "q_row_validation", "q_quality_split", "q_user_turns_clean", "q_message_class",
+    "q_event_props", "q_extract_records", "q_page_text", "q_page_links", "q_keyword_search",
+}
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(params=["10MB", "-1"], ids=["small", "no-broadcast"])
+def broadcast_limit(spark, request):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield request.param
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", sorted(REGISTRY))
+def test_no_cross_join_and_no_python(spark, name, broadcast_limit):
+    text = plan(REGISTRY[name](spark, SMALL))
+    assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", text)
+    assert bool(re.search("Python|InPandas", text)) == (name in WITH_PYTHON)
+    if name in NO_SHUFFLE:
+        assert "Exchange" not in text
+
+
+def test_only_rolled_up_rows_meet_in_one_partition(spark):
+    """A single-partition exchange appears in global rankings only, above the grouping by name."""
+    for name, fn in REGISTRY.items():
+        text = plan(fn(spark, SMALL))
+        if "SinglePartition" in text:
+            assert name in {"q_ranking_all", "q_ranking_by_field", "q_ranking_by_subfield"}
+            above = text[text.index("SinglePartition"):]
+            assert re.search(r"HashAggregate\(keys=\[university", above[:400])
+
+
+def test_flagship_pushes_filters_and_columns(spark):
+    df = REGISTRY["q_ranking_by_subfield"](spark, SMALL)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    blocks = df._jdf.queryExecution().explainString(mode).split("\n\n")
+    scans = [b for b in blocks if "Scan parquet" in b and "ReadSchema" in b]
+    lines = next(s for s in scans if "l_orderkey" in s)
+    pushed = next(x for x in lines.splitlines() if x.startswith("PushedFilters"))
+    assert "GreaterThanOrEqual(l_quantity,45.0)" in pushed and "EqualTo(l_returnflag,A)" in pushed
+    read = [x for s in scans for x in s.splitlines() if x.startswith("ReadSchema")]
+    unused = ["l_extendedprice", "l_shipdate", "o_totalprice", "o_orderdate", "c_name", "c_acctbal"]
+    assert not any(column in line for column in unused for line in read)
