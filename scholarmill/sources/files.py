@@ -13,7 +13,7 @@ from scholarmill.operators.quality import split, upsert
 
 
 def read_relation(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A canonical relation stored as parquet; the schema is checked, not inferred."""
+    """A canonical relation stored as parquet, read with its fixed schema."""
     return spark.read.schema(schema).parquet(path)
 
 
