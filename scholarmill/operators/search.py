@@ -58,35 +58,40 @@ def label_profiles(vectors: DataFrame) -> DataFrame:
     )
 
 
-def _nearest(points: pd.DataFrame, qids: np.ndarray, matrix: np.ndarray, k: int) -> pd.DataFrame:
-    """The best ``k`` points per unit query vector, ties by id: one matrix product."""
-    vectors = np.stack(points["embedding"].to_numpy()).astype("float64")
-    ids = points["vec_id"].to_numpy()
-    sims = np.round(vectors @ matrix.T / np.linalg.norm(vectors, axis=1)[:, None], 6)
-    found = []
-    for i, qid in enumerate(qids):
-        first = np.lexsort((ids, -sims[:, i]))[:k]
-        found.append(pd.DataFrame({"qid": qid, "vec_id": ids[first], "sim": sims[first, i]}))
-    return pd.concat(found)
+NEAREST = "qid bigint, vec_id bigint, sim double"
 
 
-def _unit_rows(vectors: list) -> np.ndarray:
-    matrix = np.array([np.asarray(v, dtype="float64") for v in vectors])
-    return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+def _nearest_in(k: int):
+    """Function giving the best ``k`` points per query, ties by id, from one matrix product.
 
+    A closure, so that it travels to executors that do not have this package installed.
+    """
 
-NEAREST = "qid bigint, vec_id bigint, sim double"
+    def nearest(points: pd.DataFrame, qids: list, queries: list) -> pd.DataFrame:
+        asked = np.array([np.asarray(q, dtype="float64") for q in queries])
+        asked /= np.linalg.norm(asked, axis=1, keepdims=True)
+        vectors = np.stack(points["embedding"].to_numpy()).astype("float64")
+        ids = points["vec_id"].to_numpy()
+        sims = np.round(vectors @ asked.T / np.linalg.norm(vectors, axis=1)[:, None], 6)
+        found = []
+        for i, qid in enumerate(qids):
+            first = np.lexsort((ids, -sims[:, i]))[:k]
+            found.append(pd.DataFrame({"qid": qid, "vec_id": ids[first], "sim": sims[first, i]}))
+        return pd.concat(found)
+
+    return nearest
 
 
 def _nearest_inline(vectors: DataFrame, queries: list, k: int) -> DataFrame:
     """Few queries: they travel with the task, vectors are not shuffled."""
-    qids = np.array([q["qid"] for q in queries])
-    matrix = _unit_rows([q["vector"] for q in queries])
+    qids = [q["qid"] for q in queries]
+    asked = [list(q["vector"]) for q in queries]
+    nearest = _nearest_in(k)
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                yield _nearest(batch, qids, matrix, k)
+                yield nearest(batch, qids, asked)
 
     return vectors.mapInPandas(best, NEAREST)
 
@@ -96,7 +101,8 @@ def _nearest_blocks(
 ) -> DataFrame:
     """Any number of queries: each task compares one shard of vectors with one block of queries."""
     n_blocks = -(-n_queries // block)
-    n_shards = -(-vectors.count() // shard)
+    n_shards = max(1, -(-vectors.count() // shard))
+    nearest = _nearest_in(k)
 
     def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -110,7 +116,7 @@ def _nearest_blocks(
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"qid": [], "vec_id": [], "sim": []})
-        return _nearest(left, right["qid"].to_numpy(), _unit_rows(list(right["vector"])), k)
+        return nearest(left, list(right["qid"]), list(right["vector"]))
 
     pair = ["block", "shard"]
     return points.groupBy(*pair).cogroup(asked.groupBy(*pair)).applyInPandas(best, NEAREST)
@@ -167,8 +173,8 @@ def recommend(labs: DataFrame, bookmarks: DataFrame, k: int = 5) -> DataFrame:
     area, ties go to more papers, then to the lower id.
 
     There are at most 31 interest sets, so labs are put in order once per set, not once per user. A
-    user's k-th free place in that order is one of the first k places or lies within k places after
-    one of the user's own bookmarks; only those places are looked up.
+    user's first k free places in that order are among the first k places and the k after each of the
+    user's own bookmarks; with n bookmarks none lies beyond place n + k. Only those are looked up.
     """
     profiles = stored(
         labs.select(
@@ -177,8 +183,13 @@ def recommend(labs: DataFrame, bookmarks: DataFrame, k: int = 5) -> DataFrame:
             area_bits(F.col("research_sub_fields")).alias("areas"),
         ).where(F.col("areas") > 0)
     )
-    held = pairs(bookmarks).join(profiles.select("lab_id", "areas"), "lab_id")
-    users = stored(held.groupBy("user_id").agg(F.bit_or("areas").alias("interest")))
+    marks = stored(pairs(bookmarks))
+    held = marks.join(profiles.select("lab_id", "areas"), "lab_id")
+    users = stored(
+        held.groupBy("user_id").agg(
+            F.bit_or("areas").alias("interest"), F.count("*").alias("n_held")
+        )
+    )
 
     shared = F.col("areas").bitwiseAND(F.col("interest"))
     every_set = F.explode(F.sequence(F.lit(1), F.lit((1 << len(AREAS)) - 1))).alias("interest")
@@ -193,9 +204,9 @@ def recommend(labs: DataFrame, bookmarks: DataFrame, k: int = 5) -> DataFrame:
     ).select("interest", "pos", "lab_id", "score")
 
     taken = (
-        pairs(bookmarks)
-        .join(users, "user_id")
+        marks.join(users, "user_id")
         .join(lists.select("interest", "lab_id", "pos"), ["interest", "lab_id"])
+        .where(F.col("pos") <= F.col("n_held") + k)
         .select("user_id", "interest", "pos")
     )
     first_places = F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(k).cast("bigint"))).alias("pos")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scholarmill.constants import FIELDS
-from scholarmill.operators.positions import before, join_slices, sorted_slices
+from scholarmill.operators.positions import before, sorted_slices
 from scholarmill.operators.taxonomy import constant_relation
 
 KEYS = ["session", "field"]
@@ -84,31 +84,33 @@ def fold_selection(
     totals = rows.groupBy(*KEYS, "_slice").agg(
         F.sum("cut").alias("cuts"), F.bit_xor("bit").alias("flips")
     )
+    # What came before a slice enters it as one more row in front, so no join is needed.
     earlier = before(KEYS)
     carried = totals.select(
         *KEYS,
         "_slice",
-        F.coalesce(F.sum("cuts").over(earlier), F.lit(0)).alias("cuts_before"),
-        F.coalesce(F.bit_xor("flips").over(earlier), F.lit(0)).alias("flips_before"),
+        F.lit(-1).cast("bigint").alias("_row"),
+        F.coalesce(F.sum("cuts").over(earlier), F.lit(0)).alias("cut"),
+        F.coalesce(F.bit_xor("flips").over(earlier), F.lit(0)).alias("bit"),
         F.sum("cuts").over(Window.partitionBy(*KEYS)).alias("n_cuts"),
     )
-
-    running = Window.partitionBy(*KEYS, "_slice").orderBy("_row")
-    local = rows.select(
-        *KEYS,
-        "_slice",
-        "_row",
-        "cut",
-        F.sum("cut").over(running).alias("cuts"),
-        F.bit_xor("bit").over(running).alias("flips"),
+    running = (
+        Window.partitionBy(*KEYS, "_slice")
+        .orderBy("_row")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    placed = join_slices(local, carried, KEYS).select(
-        *KEYS,
-        "_row",
-        "cut",
-        "n_cuts",
-        (F.col("cuts") + F.col("cuts_before")).alias("interval"),
-        F.col("flips").bitwiseXOR(F.col("flips_before")).alias("flips"),
+    placed = (
+        rows.select(*KEYS, "_slice", "_row", "cut", "bit")
+        .unionByName(carried, allowMissingColumns=True)
+        .select(
+            *KEYS,
+            "_row",
+            "cut",
+            F.max("n_cuts").over(running).alias("n_cuts"),
+            F.sum("cut").over(running).alias("interval"),
+            F.bit_xor("bit").over(running).alias("flips"),
+        )
+        .where(F.col("_row") >= 0)
     )
 
     # A set of running XORs holds at most one value per subset of the field's sub-fields.

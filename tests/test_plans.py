@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import re
+import subprocess
+import sys
 
 import pytest
 
 from scholarmill.plans.catalogue import REGISTRY
 from tests.conftest import SMALL
 
+REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 WITH_PYTHON = {"q_vector_topk"}
 GLOBAL_RANK = {"q_ranking_all", "q_ranking_by_field", "q_ranking_by_subfield"}
 NO_SHUFFLE = {
@@ -50,3 +54,21 @@ def test_flagship_pushes_filters_and_columns(spark):
     read = [x for s in scans for x in s.splitlines() if x.startswith("ReadSchema")]
     unused = ["l_extendedprice", "l_shipdate", "o_totalprice", "o_orderdate", "c_name", "c_acctbal"]
     assert not any(column in line for column in unused for line in read)
+
+
+def test_python_workers_do_not_need_the_package(tmp_path):
+    """Executors may lack this package: the vector search must carry its own code."""
+    script = tmp_path / "away.py"
+    script.write_text(
+        "import sys\n"
+        f"sys.path.insert(0, {REPO!r})\n"
+        "from scholarmill.session import local_session\n"
+        "import __spark_entry__ as e\n"
+        "spark = local_session('2')\n"
+        f"print(e.queries()['q_vector_topk'](spark, {SMALL!r}).count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run(
+        [sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180
+    )
+    assert run.returncode == 0 and int(run.stdout.split()[-1]) > 0, run.stderr[-2000:]
