@@ -72,36 +72,58 @@ def compact(spark: SparkSession, table: str, schema: str, keys: list[str], order
 
 
 SELECTION_SCHEMA = "session string, field string, enabled boolean, selected bigint"
+SNAPSHOT_EVERY = 100
 
 
-def selection_state(spark: SparkSession, table: str) -> DataFrame:
-    """Current selection per session and field."""
-    return current(spark, table, SELECTION_SCHEMA, KEYS, [VERSION])
+def _versions(spark: SparkSession, table: str, first: int, last: int) -> DataFrame:
+    """Stored state written by batches ``first`` to ``last``; other folders are not opened."""
+    rows = spark.read.schema(f"{SELECTION_SCHEMA}, {VERSION} bigint").parquet(table)
+    return rows.where(F.col(VERSION).between(first, last))
+
+
+def selection_state(
+    spark: SparkSession, table: str, snapshot_every: int = SNAPSHOT_EVERY
+) -> DataFrame:
+    """Current selection per session and field: the last snapshot and the batches after it."""
+    stored_by = spark.read.schema(f"{SELECTION_SCHEMA}, {VERSION} bigint").parquet(table)
+    newest = stored_by.agg(F.max(VERSION)).first()[0]
+    snapshot = newest // snapshot_every * snapshot_every
+    return latest(_versions(spark, table, snapshot, newest), KEYS, [VERSION]).drop(VERSION)
 
 
 def selection_stream(
-    toggles: DataFrame, table: str, checkpoint: str, trigger: dict | None = None
+    toggles: DataFrame,
+    table: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    snapshot_every: int = SNAPSHOT_EVERY,
 ) -> StreamingQuery:
     """Fold a stream of toggles (session, ord, kind, field, sub_field) into ``table``.
 
     The stored state of the sessions in a batch is turned back into a few toggles placed before the
     batch's own, and the batch operator folds both. A hot session is thus split like in the batch
     job instead of passing through one stateful task.
-    """
 
+    A batch writes the states it changed; every ``snapshot_every`` batches it writes all states, so
+    that a look-up reads at most that many folders.
+    """
     scratch = hashlib.sha256(table.encode()).hexdigest()[:16]
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        toggles_now = batch.select("session", "ord", "kind", "field", "sub_field")
+        presses = batch.select("session", "ord", "kind", "field", "sub_field")
+        earlier = None
         if batch_id > 0:
+            snapshot = (batch_id - 1) // snapshot_every * snapshot_every
+            earlier = _versions(spark, table, snapshot, batch_id - 1)
             touched = batch.select(*KEYS).distinct()
-            versions = spark.read.schema(f"{SELECTION_SCHEMA}, {VERSION} bigint").parquet(table)
-            earlier = versions.where(F.col(VERSION) < batch_id).join(touched, KEYS, "left_semi")
-            held = latest(earlier, KEYS, [VERSION])
-            toggles_now = as_toggles(held).unionByName(toggles_now)
-        folded = fold_selection(toggles_now, stored_as=f"selection-{scratch}")
-        folded.write.mode("overwrite").parquet(f"{table}/{VERSION}={batch_id}")
+            held = latest(earlier.join(touched, KEYS, "left_semi"), KEYS, [VERSION])
+            presses = as_toggles(held).unionByName(presses)
+        states = fold_selection(presses, stored_as=f"selection-{scratch}")
+        if earlier is not None and batch_id % snapshot_every == 0:
+            changed = states.withColumn(VERSION, F.lit(batch_id).cast("bigint"))
+            states = latest(earlier.unionByName(changed), KEYS, [VERSION]).drop(VERSION)
+        states.write.mode("overwrite").parquet(f"{table}/{VERSION}={batch_id}")
 
     writer = toggles.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -43,15 +43,15 @@ def test_toggle_stream(spark, small, tmp_path, cuts, mode):
     assert sorted(tuples(seen)) == sorted(tuples(batch)) and batch.count() > 50
 
 
-@pytest.mark.parametrize("cuts", [1, 3, 7])
-def test_selection_stream(spark, tmp_path, cuts):
+@pytest.mark.parametrize(("cuts", "every"), [(1, 100), (3, 100), (7, 3)])
+def test_selection_stream(spark, tmp_path, cuts, every):
     events = presses(cuts, 420, ["hot"] * 4 + ["a", "b"])
     stream = in_files(spark, events, schemas.TOGGLE_EVENTS, cuts, str(tmp_path / "in"))
     table = str(tmp_path / "state")
-    run = jobs.selection_stream(stream, table, str(tmp_path / "cp"), {"processingTime": "0 seconds"})
+    run = jobs.selection_stream(stream, table, str(tmp_path / "cp"), {"processingTime": "0 seconds"}, every)
     run.processAllAvailable()
     run.stop()
-    assert folded(jobs.selection_state(spark, table)) == replay(events)
+    assert folded(jobs.selection_state(spark, table, every)) == replay(events)
 
 
 def test_selection_stream_goes_on_after_a_restart(spark, tmp_path):
