@@ -12,6 +12,7 @@ from scholarmill.constants import (
     SIZE_LABELS,
     UNKNOWN,
 )
+from scholarmill.functions.literals import constant_map
 
 
 def present(text: Column) -> Column:
@@ -29,13 +30,8 @@ def size_class(members: Column) -> Column:
     )
 
 
-def _lookup(labels: dict[str, str], key: Column) -> Column:
-    pairs = [F.lit(x) for pair in labels.items() for x in pair]
-    return F.create_map(*pairs)[key]
-
-
 def size_label(size: Column) -> Column:
-    return _lookup(SIZE_LABELS, size)
+    return constant_map(list(SIZE_LABELS.items()))[size]
 
 
 def size_text(size: Column) -> Column:
@@ -44,7 +40,7 @@ def size_text(size: Column) -> Column:
 
 
 def size_criteria(size: Column) -> Column:
-    return _lookup(SIZE_CRITERIA, size)
+    return constant_map(list(SIZE_CRITERIA.items()))[size]
 
 
 def member_text(members: Column) -> Column:

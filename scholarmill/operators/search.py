@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scholarmill.constants import AREAS
+from scholarmill.functions.literals import constant_map
 from scholarmill.operators.bookmarks import pairs
 from scholarmill.operators.positions import with_positions
 from scholarmill.operators.ranking import roll_up
@@ -154,15 +155,12 @@ def vector_topk(
 
 def area_bits(ids: Column) -> Column:
     """One bit per area reached by an id array."""
-    pairs_: list[Column] = []
-    for i, (_, _, members) in enumerate(AREAS):
-        for member in members:
-            pairs_ += [F.lit(member).cast("bigint"), F.lit(1 << i)]
-    bits = F.create_map(*pairs_)
+    bits = constant_map([(m, 1 << i) for i, (_, _, members) in enumerate(AREAS) for m in members])
+    none = F.lit(0).cast("bigint")
     return F.aggregate(
         F.coalesce(ids, F.array().cast("array<bigint>")),
-        F.lit(0),
-        lambda acc, i: acc.bitwiseOR(F.coalesce(bits[i], F.lit(0))),
+        none,
+        lambda acc, i: acc.bitwiseOR(F.coalesce(bits[i], none)),
     )
 
 
@@ -192,7 +190,7 @@ def recommend(labs: DataFrame, bookmarks: DataFrame, k: int = 5) -> DataFrame:
     )
 
     shared = F.col("areas").bitwiseAND(F.col("interest"))
-    every_set = F.explode(F.sequence(F.lit(1), F.lit((1 << len(AREAS)) - 1))).alias("interest")
+    every_set = F.expr(f"explode(sequence(1L, {(1 << len(AREAS)) - 1}L))").alias("interest")
     scored = (
         profiles.select("lab_id", "paper_count", "areas", every_set)
         .where(shared != 0)
@@ -209,7 +207,7 @@ def recommend(labs: DataFrame, bookmarks: DataFrame, k: int = 5) -> DataFrame:
         .where(F.col("pos") <= F.col("n_held") + k)
         .select("user_id", "interest", "pos")
     )
-    first_places = F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(k).cast("bigint"))).alias("pos")
+    first_places = F.expr(f"explode(sequence(1L, {k}L))").alias("pos")
     next_places = F.explode(F.sequence(F.col("pos") + 1, F.col("pos") + k)).alias("pos")
     free = (
         users.select("user_id", "interest", first_places)

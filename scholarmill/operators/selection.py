@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scholarmill.constants import AREAS, taxonomy_rows
+from scholarmill.functions.literals import bigints
 
 Selection = dict[str, list[str]]
 
@@ -30,8 +31,7 @@ def overlaps(ids: Column, wanted: list[int]) -> Column:
     """True when the arrays share an id; false for a NULL array."""
     if not wanted:
         return F.lit(False)
-    literal = F.array(*[F.lit(i).cast("bigint") for i in wanted])
-    return F.coalesce(F.arrays_overlap(ids, literal), F.lit(False))
+    return F.coalesce(F.arrays_overlap(ids, bigints(wanted)), F.lit(False))
 
 
 def ranking_filter(ids: Column, selection: Selection | None, enabled: list[str] | None) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scholarmill.constants import FIELDS
+from scholarmill.functions.literals import constant_map
 from scholarmill.operators.positions import before, sorted_slices
 from scholarmill.operators.taxonomy import constant_relation
 
@@ -25,20 +26,14 @@ def latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 def _bit_lookup() -> Column:
     """Map of field to a map of sub-field to bit."""
-    outer: list[Column] = []
-    for field, names in FIELDS.items():
-        inner: list[Column] = []
-        for i, name in enumerate(names):
-            inner += [F.lit(name), F.lit(1 << i).cast("bigint")]
-        outer += [F.lit(field), F.create_map(*inner)]
-    return F.create_map(*outer)
+    return constant_map(
+        [(field, [(n, 1 << i) for i, n in enumerate(names)]) for field, names in FIELDS.items()]
+    )
 
 
 def _all_bits() -> Column:
-    pairs: list[Column] = []
-    for field, names in FIELDS.items():
-        pairs += [F.lit(field), F.lit((1 << len(names)) - 1).cast("bigint")]
-    return F.create_map(*pairs)[F.col("field")]
+    full = constant_map([(field, (1 << len(names)) - 1) for field, names in FIELDS.items()])
+    return full[F.col("field")]
 
 
 def known_toggles(events: DataFrame) -> DataFrame:

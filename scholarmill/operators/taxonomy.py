@@ -10,6 +10,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from scholarmill import schemas
 from scholarmill.constants import AREAS, taxonomy_rows
+from scholarmill.functions.literals import constant_map
 
 
 def constant_relation(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -64,15 +65,12 @@ def with_field_profile(labs: DataFrame, rows: list[tuple] | None = None) -> Data
     ids are dropped, repeated ids give repeated names, a field found under two categories keeps the
     first, and a lab without any match keeps an empty profile.
     """
-    pairs: list[Column] = []
-    for category_id, _, _, field, sub_field_id, sub_field in rows or taxonomy_rows():
-        entry = F.struct(
-            F.lit(str(category_id)).alias("category"),
-            F.lit(field).alias("field"),
-            F.lit(sub_field).alias("sub_field"),
-        )
-        pairs += [F.lit(sub_field_id).cast("bigint"), entry]
-    lookup = F.create_map(*pairs)
+    lookup = constant_map(
+        [
+            (row[4], {"category": str(row[0]), "field": row[3], "sub_field": row[5]})
+            for row in rows or taxonomy_rows()
+        ]
+    )
 
     def one_field(field: Column) -> Column:
         mine = F.filter("_found", lambda s: s["field"] == field)

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scholarmill.constants import taxonomy_rows
+from scholarmill.functions.literals import constant_map
 
 
-def fields_of(ids):
+def fields_of(ids: Column) -> Column:
     """Distinct field names reached by an id array."""
-    pairs = [F.lit(x) for row in taxonomy_rows() for x in (row[4], row[3])]
-    lookup = F.create_map(*pairs)
+    lookup = constant_map([(row[4], row[3]) for row in taxonomy_rows()])
     return F.array_distinct(
-        F.filter(F.transform(ids, lambda i: lookup[i.cast("int")]), lambda f: f.isNotNull())
+        F.filter(F.transform(ids, lambda i: lookup[i]), lambda f: f.isNotNull())
     )
 
 

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholarmill.constants import FIELDS, taxonomy_rows
+from scholarmill.functions.literals import constant_map
 from scholarmill.operators.taxonomy import constant_relation
+from scholarmill.schemas import SOURCE_TABLES
 
 MEMBERS_PER_BALANCE = 400
 
@@ -23,7 +25,8 @@ class Tables:
         self.folder = folder
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        reader = self.spark.read.schema(SOURCE_TABLES[name])
+        return reader.parquet(f"{self.folder}/{name}.parquet")
 
     def universities(self) -> DataFrame:
         return self.read("nation").select(
@@ -110,9 +113,7 @@ class Tables:
 
     def lab_bridges(self, labs: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(professor_research_fields, professor_sub_fields) spelled out from the id arrays."""
-        field_of = F.create_map(
-            *[F.lit(x).cast("bigint") for row in taxonomy_rows() for x in (row[4], row[2])]
-        )
+        field_of = constant_map([(row[4], row[2]) for row in taxonomy_rows()])
         rows = labs.select(
             F.col("id").alias("professor_id"), F.explode("research_sub_fields").alias("sub_field_id")
         ).withColumn("field_id", field_of[F.col("sub_field_id")])
@@ -123,8 +124,18 @@ class Tables:
 
     def event_pairs(self, event_type: str) -> DataFrame:
         """(user_id, lab_id) of one kind of event."""
-        events = self.read("events").where(F.col("event_type") == event_type)
-        return events.select("user_id", F.get_json_object("props", "$.k").cast("bigint").alias("lab_id"))
+        return (
+            self._keyed_events()
+            .where(F.col("event_type") == event_type)
+            .select("user_id", F.col("k").cast("bigint").alias("lab_id"))
+        )
+
+    def _keyed_events(self) -> DataFrame:
+        """Events with the key of their JSON properties. As a generator, json_tuple parses a row once;
+        a scalar function would be evaluated again in every filter a join derives from it."""
+        return self.read("events").select(
+            "user_id", "ts", "event_id", "event_type", F.json_tuple("props", "k").alias("k")
+        )
 
     def bookmarks(self) -> DataFrame:
         return self.event_pairs("purchase")
@@ -137,12 +148,12 @@ class Tables:
             field, names = fields[k % len(fields)]
             rows.append((k, field, names[k // len(fields) % len(names)]))
         buttons = constant_relation(self.spark, rows, "k bigint, field string, button string")
-        events = self.read("events").select(
+        events = self._keyed_events().select(
             F.col("user_id").alias("session"),
             "ts",
             "event_id",
             F.when(F.col("event_type") == "signup", "field").otherwise("sub").alias("kind"),
-            F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+            F.col("k").cast("bigint").alias("k"),
         )
         sub_field = F.when(F.col("kind") == "sub", F.col("button")).alias("sub_field")
         return events.join(buttons, "k").select("session", "ts", "event_id", "kind", "field", sub_field)
