@@ -10,6 +10,7 @@ import sys
 import pytest
 
 from scholarmill.plans.catalogue import REGISTRY
+from scholarmill.session import shared_folder
 from tests.conftest import SMALL
 
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -72,3 +73,28 @@ def test_python_workers_do_not_need_the_package(tmp_path):
         [sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180
     )
     assert run.returncode == 0 and int(run.stdout.split()[-1]) > 0, run.stderr[-2000:]
+
+
+class _Context:
+    def __init__(self, master, folder=None):
+        self.master, self.folder = master, folder
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class _Session:
+    def __init__(self, master, setting=None):
+        self.sparkContext = _Context(master)
+        self.conf = {"spark.checkpoint.dir": setting} if setting else {}
+
+
+def test_shared_folder():
+    assert shared_folder(_Session("yarn", "hdfs:///shared")) == "hdfs:///shared"
+    with pytest.raises(RuntimeError):
+        shared_folder(_Session("yarn"))
+    local = _Session("local[2]")
+    assert shared_folder(local) == shared_folder(local) != ""
