@@ -111,6 +111,7 @@ def selection_stream(
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch.persist()  # read for its keys, for the sort boundaries and for the fold
         presses = batch.select("session", "ord", "kind", "field", "sub_field")
         earlier = None
         if batch_id > 0:
@@ -124,6 +125,7 @@ def selection_stream(
             changed = states.withColumn(VERSION, F.lit(batch_id).cast("bigint"))
             states = latest(earlier.unionByName(changed), KEYS, [VERSION]).drop(VERSION)
         states.write.mode("overwrite").parquet(f"{table}/{VERSION}={batch_id}")
+        batch.unpersist()
 
     writer = toggles.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
