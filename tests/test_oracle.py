@@ -6,8 +6,8 @@ import __spark_entry__ as entry_points
 from tests.compare import assert_same, connect
 from tests.conftest import CHECK, SMALL
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = entry_points.REGISTRY
+ORACLE = entry_points.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +27,8 @@ def test_same_at_small_scale(spark, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert ORACLE.items() <= entry_points.oracle_sql().items()
 
 
 def test_entry(spark):
