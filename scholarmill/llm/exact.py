@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from scholarmill.llm.common import keep_rows, text_bytes
 from scholarmill.session import stored
 
 BLOCK_BYTES = 8192
@@ -100,7 +101,7 @@ def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     (level, name) identifies the text. ``sha`` (SHA-256 of the text) only tells rows of one repeated
     doc_id apart; ``copies`` counts the rows that agree in both.
     """
-    whole = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("bytes")).select(
+    whole = docs.select("doc_id", text_bytes().alias("bytes")).select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "bytes",
         F.unhex(F.sha2("bytes", 256)).alias("sha"),
@@ -162,16 +163,7 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
 
     Rows repeated with the same doc_id and text leave one of them, whichever other columns they have.
     """
-    found = exact_duplicates(docs)
-    keep = found.where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")
-    )
-    repeated = found.groupBy("doc_id", "text_sha256").count().where("count > 1").select(
-        F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")
-    )
-    told = docs.withColumn("_key", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
-    match = F.col("_key").eqNullSafe(F.col("_sha")) & docs["doc_id"].eqNullSafe(F.col("_id"))
-    stay = told.join(keep, match, "left_semi")
-    once = stay.join(repeated, match, "left_anti").drop("_key")
-    again = stay.join(repeated, match, "left_semi").dropDuplicates(["doc_id", "_key"]).drop("_key")
-    return once.unionByName(again)
+    known = identities(docs)
+    groups = known.groupBy("level", "name").agg(F.max("doc_id").alias("keep_id"))
+    keys = known.join(groups, ["level", "name"]).where("doc_id <=> keep_id")
+    return keep_rows(docs, keys.select("doc_id", "sha", "copies"))
