@@ -27,3 +27,8 @@ def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
     once = told.join(wanted.where("_copies = 1"), match, "left_semi").drop("_key")
     again = told.join(wanted.where("_copies > 1"), match, "left_semi").dropDuplicates(["doc_id", "_key"])
     return once.unionByName(again.drop("_key"))
+
+
+def doc_hash() -> Column:
+    """crc32 of the doc_id as text, on which held-out sets are drawn; a null doc_id is empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scholarmill.llm import bpe, exact, shards, simhash
+from scholarmill.llm import bpe, exact, lm, packing, shards, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -50,6 +50,18 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score_documents(table(spark, folder, "documents"))
+
+
 @query
 def op9_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shards.shard_documents(table(spark, folder, "documents"))
+
+
+@query
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(
+        table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
