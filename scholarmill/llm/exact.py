@@ -5,8 +5,9 @@ place among the distinct ones. Then the names of adjacent blocks are paired, the
 in the same way, level by level, until every text has one name. Two texts of the same number of levels
 have the same name exactly if they are equal: no step compares hashes of blocks.
 
-The sort is by range over (value, row key), so the occurrences of one frequent block spread over as
-many tasks as they need. Each task numbers the runs of equal values it sees; a table of one row per
+The sort is by range over (first bytes, digest, row key) and then by the block itself, so the occurrences
+of one frequent block spread over as many tasks as they need, and the sample that Spark draws for the
+ranges holds no blocks. Each task numbers the runs of equal values it sees; a table of one row per
 task (first value, last value, number of runs) turns these into places in the whole order.
 """
 
@@ -64,18 +65,20 @@ def _number_runs(values: list[str], kept: list[str], schema: pa.Schema):
     return run
 
 
-def name_values(df: DataFrame, values: list[str], kept: list[str]) -> DataFrame:
+def name_values(df: DataFrame, values: list[str], kept: list[str], dealt_by: list[str]) -> DataFrame:
     """``kept`` columns of every row with ``name``: the rank of its values among the distinct ones.
 
-    ``values`` hold no nulls. (values, kept) is the sort order, so equal values never have to meet in
-    one task.
+    ``values`` hold no nulls. Rows are dealt by ranges of (dealt_by, kept), so equal values never have
+    to meet in one task, and sorted by (dealt_by, values, kept). ``dealt_by`` has the same value for
+    equal values and another for different ones; Spark samples it for the ranges, so it is short.
     """
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
     arrow = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
     extra = {"part": "int", "run": "bigint", "first": "binary", "last": "binary", "runs": "bigint"}
     out = {k: kinds[k] for k in kept} | extra
     schema = pa.schema([(k, arrow[v]) for k, v in out.items()])
-    ordered = df.select(*values, *kept).orderBy(*values, *kept)
+    dealt = df.repartitionByRange(*dealt_by, *kept).sortWithinPartitions(*dealt_by, *values, *kept)
+    ordered = dealt.select(*values, *kept)
     numbered = stored(
         ordered.mapInArrow(_number_runs(values, kept, schema), ", ".join(f"{k} {v}" for k, v in out.items()))
     )
@@ -111,7 +114,8 @@ def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         "doc_id", "sha", "n", "pos", F.lit(1).cast("long").alias("copies"),
         F.expr(f"substring(bytes, pos * {block_bytes} + 1, {block_bytes})").alias("block"),
     )
-    rows = name_values(blocks, ["block"], [*KEY, "n", "copies"])
+    short = blocks.withColumn("head", F.expr("substring(block, 1, 16)")).withColumn("digest", F.unhex(F.sha2("block", 256)))
+    rows = name_values(short, ["block"], [*KEY, "n", "copies"], ["head", "digest"])
     done, level = [], 0
     most = rows.agg(F.max("n")).first()[0] or 1
     while True:
@@ -128,13 +132,25 @@ def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                 F.sum(F.expr("if(pos = 0, copies, 0)")).alias("copies"),
             )
         )
-        rows = name_values(pairs, ["a", "b"], [*KEY, "n", "copies"])
+        rows = name_values(pairs, ["a", "b"], [*KEY, "n", "copies"], ["a", "b"])
     found = done[0]
     for more in done[1:]:
         found = found.unionByName(more)
     return found.groupBy("doc_id", "sha", "level", "name").agg(F.sum("copies").alias("copies"))
 
 
+def _shared(known: DataFrame) -> DataFrame:
+    """keep_id and group_size of the texts that several doc_ids have.
+
+    The table is stored, so that the join on it is one of two plain shuffles, which adaptive execution
+    splits where one text has very many rows.
+    """
+    groups = known.groupBy("level", "name").agg(
+        F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"), F.count("*").alias("keys")
+    )
+    return stored(groups.where("keys > 1").drop("keys"))
+
+
 def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, level, name.
 
@@ -143,15 +159,14 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
     ignored. An empty table gives no rows.
     """
     known = identities(docs, block_bytes)
-    groups = known.groupBy("level", "name").agg(
-        F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size")
+    each = known.join(_shared(known), ["level", "name"], "left").withColumn(
+        "copy", F.explode(F.expr("sequence(1L, copies)"))
     )
-    each = known.join(groups, ["level", "name"]).withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
     return each.select(
         "doc_id",
-        "keep_id",
-        "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
+        F.expr("if(group_size is null, doc_id, keep_id)").alias("keep_id"),
+        F.coalesce("group_size", "copies").alias("group_size"),
+        F.expr("copy = 1 AND (group_size IS NULL OR doc_id <=> keep_id)").alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
         "level",
         "name",
@@ -164,6 +179,5 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     Rows repeated with the same doc_id and text leave one of them, whichever other columns they have.
     """
     known = identities(docs)
-    groups = known.groupBy("level", "name").agg(F.max("doc_id").alias("keep_id"))
-    keys = known.join(groups, ["level", "name"]).where("doc_id <=> keep_id")
+    keys = known.join(_shared(known), ["level", "name"], "left").where("group_size IS NULL OR doc_id <=> keep_id")
     return keep_rows(docs, keys.select("doc_id", "sha", "copies"))
