@@ -261,8 +261,9 @@ def _grouped(docs: DataFrame, radius: int, k: int) -> tuple[DataFrame, DataFrame
     rooted = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "root", F.coalesce("root", "fp")
     )
-    groups = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked, rooted.join(groups, "root").select("fp", "root", "component_id")
+    # Stored tables on both sides of a join: adaptive execution splits hot keys of plain shuffles.
+    groups = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
+    return marked, stored(rooted.join(groups, "root").select("fp", "root", "component_id"))
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, k: int = SHINGLE) -> DataFrame:
