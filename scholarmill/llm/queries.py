@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scholarmill.llm import bpe, exact, lm, packing, shards, simhash
+from scholarmill.llm import bpe, exact, imatch, lm, packing, shards, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -50,6 +50,11 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op7_imatch(spark: SparkSession, folder: str) -> DataFrame:
+    return imatch.edited_fingerprints(table(spark, folder, "documents"))
+
+
 @query
 def op8_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score_documents(table(spark, folder, "documents"))

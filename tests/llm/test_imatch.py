@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import struct
+from collections import Counter
+
+import xxhash
+
+from scholarmill.llm import imatch, queries
+from tests.conftest import CHECK, SMALL
+
+
+def signed(n):
+    return n - (1 << 64) if n >> 63 else n
+
+
+def words(text):
+    return {w for w in re.split("[ \t\n\x0b\f\r]+", text.lower()) if w}
+
+
+def term(w):
+    return signed(xxhash.xxh64_intdigest(w.encode(), 42))
+
+
+def fingerprint(text, band):
+    own = sorted(term(w) for w in words(text) if w in band)
+    if not own:
+        whole = 0
+        for w in words(text):
+            whole ^= term(w)
+        return "w:" + f"{whole % (1 << 64):x}"
+    level = max(0, math.floor(math.log(len(own) / imatch.PER_TEXT, 4)))
+
+    def signatures(at):
+        out = []
+        for k in range(imatch.SUBSETS):
+            kept = [t for t in own if t % 4**at == 0 and (t % (1 << 64) >> 40) % imatch.SUBSETS == k]
+            h = 42
+            for t in kept:
+                h = xxhash.xxh64_intdigest(struct.pack("<q", t), h)
+            out.append(f"{(h >> 34) + 1:x}" if kept else "-")
+        return " ".join(out)
+
+    return f"{level}:{signatures(level)}/{signatures(level + 1)}"
+
+
+def likeness(a, b):
+    if a[0] == "w" or b[0] == "w":
+        return float(a == b)
+    (la, sa), (lb, sb) = a.split(":"), b.split(":")
+    la, lb = int(la), int(lb)
+    if abs(la - lb) > 1:
+        return 0.0
+    x = sa.split("/")[0 if la >= lb else 1].split()
+    y = sb.split("/")[0 if lb >= la else 1].split()
+    either = [(p, q) for p, q in zip(x, y) if (p, q) != ("-", "-")]
+    return sum(p == q for p, q in either) / max(1, len(either))
+
+
+def brute(rows):
+    df = Counter(w for _, t in rows for w in words(t))
+    n = len(rows)
+    band = {w for w, c in df.items() if max(2.0, imatch.LOW * n) <= c <= max(2.0, imatch.HIGH * n)}
+    once = sorted(set(rows), key=lambda r: (r[0] is None, -(r[0] or 0), hashlib.sha256(r[1].encode()).digest()))
+    out = {}
+    for i, (doc, text) in enumerate(once):
+        after = once[(i + 1) % len(once)][1]
+        k = len(text) // 3
+        edited = text[: len(text) - k] + after[:k]
+        own, other, following = (fingerprint(t, band) for t in (text, edited, after))
+        out[doc, text] = (doc, len(text), hashlib.sha256(edited.encode()).hexdigest(), own, other,
+                          likeness(own, other), likeness(own, following))
+    return sorted((out[r] for r in rows), key=repr)
+
+
+def test_query(spark):
+    rows = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    assert sorted((tuple(r) for r in queries.op7_imatch(spark, SMALL).collect()), key=repr) == brute(rows)
+
+
+def test_edits_are_nearer_than_strangers(spark):
+    rows = queries.op7_imatch(spark, CHECK).collect()
+    edited, following = (sum(getattr(r, c) for r in rows) / len(rows) for c in ("near_edited", "near_next"))
+    assert edited > 0.25 and following < 0.05
+    assert sum(r.near_edited > r.near_next for r in rows) > 0.9 * len(rows)
+
+
+def test_odd_rows(spark):
+    rows = [(1, "a b c a"), (2, None), (2, ""), (3, " \n"), (3, " \n"), (None, "É é b"), (5, "b x y z " * 40), (6, "unique"), (6, "c other")]
+    docs = spark.createDataFrame([(*r, "k", 0) for r in rows], "doc_id long, text string, key string, place int")
+    expected = brute([(d, t or "") for d, t in rows])
+    assert sorted((tuple(r) for r in imatch.edited_fingerprints(docs).collect()), key=repr) == expected
+    assert imatch.edited_fingerprints(docs.limit(0)).count() == 0
+    assert imatch.edited_fingerprints(docs.where("doc_id = 1")).count() == 1
