@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scholarmill.llm import bpe, exact, imatch, lm, packing, shards, simhash
+from scholarmill.llm import bpe, exact, imatch, lm, packing, pii, quality, shards, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -41,6 +41,11 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+@query
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.token_digests(
@@ -50,6 +55,11 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.report(table(spark, folder, "documents"))
+
+
 @query
 def op7_imatch(spark: SparkSession, folder: str) -> DataFrame:
     return imatch.edited_fingerprints(table(spark, folder, "documents"))
