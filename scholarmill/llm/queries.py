@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from scholarmill.llm import bpe, exact, imatch, lm, packing, pii, quality, shards, simhash
+from scholarmill.llm import bpe, exact, html, imatch, lm, packing, pii, quality, shards, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -60,6 +60,11 @@ def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(table(spark, folder, "documents"))
 
 
+@query
+def op6_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages"))
+
+
 @query
 def op7_imatch(spark: SparkSession, folder: str) -> DataFrame:
     return imatch.edited_fingerprints(table(spark, folder, "documents"))
