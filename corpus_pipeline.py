@@ -1,4 +1,8 @@
-"""A corpus pipeline: each stage applies one operator to all that the stage before has kept."""
+"""A corpus pipeline: each stage applies one operator to all that the stage before has kept.
+
+A stage takes (spark, docs, folder) and returns a DataFrame, which is written as Parquet and read again
+as the next one's documents. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
@@ -6,24 +10,52 @@ import os
 import sys
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from scholarmill.llm import exact  # noqa: E402
+from scholarmill.llm import exact, packing, pii, quality, simhash  # noqa: E402
 from scholarmill.llm.queries import table  # noqa: E402
 from scholarmill.session import stored  # noqa: E402
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+def keep_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that the quality classifier accepts; it learns from ``labels`` and these documents."""
+    return quality.drop_rejected(docs, table(spark, folder, "labels"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each text, the one with the largest doc_id."""
     return exact.drop_exact_duplicates(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("exact_dedup", exact_dedup)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest doc_id."""
+    return simhash.drop_near_duplicates(docs)
+
+
+def remove_personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """All documents, with personal data taken out of the text and n_chars made to fit."""
+    return pii.sanitise(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The pieces of all documents with their sequence and offset."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_classifier", keep_quality),
+    ("exact_dedup", drop_copies),
+    ("simhash_near_dedup", drop_near_copies),
+    ("pii", remove_personal_data),
+    ("best_fit_packing", pack),
+]
 
-# Scores, fingerprints and packing have no SQL form; the stages are tested against brute force.
+# Trained scores, fingerprints and packing have no SQL form; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
