@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from scholarmill.llm import exact, packing, pii, quality, simhash  # noqa: E402
+from scholarmill.llm.common import ship  # noqa: E402
 from scholarmill.llm.queries import table  # noqa: E402
 from scholarmill.session import stored  # noqa: E402
 
@@ -47,12 +49,23 @@ def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _shipped(stage: Stage) -> Stage:
+    """A stage may be called by itself, so each sees to it that executors have the package."""
+
+    @wraps(stage)
+    def with_package(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+        ship(spark)
+        return stage(spark, docs, folder)
+
+    return with_package
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("quality_classifier", keep_quality),
-    ("exact_dedup", drop_copies),
-    ("simhash_near_dedup", drop_near_copies),
-    ("pii", remove_personal_data),
-    ("best_fit_packing", pack),
+    ("quality_classifier", _shipped(keep_quality)),
+    ("exact_dedup", _shipped(drop_copies)),
+    ("simhash_near_dedup", _shipped(drop_near_copies)),
+    ("pii", _shipped(remove_personal_data)),
+    ("best_fit_packing", _shipped(pack)),
 ]
 
 # Trained scores, fingerprints and packing have no SQL form; tests/llm holds the stages against brute force.

@@ -2,10 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import os
+import shutil
+import tempfile
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def ship(spark: SparkSession) -> None:
+    """Give executors that do not have this package a copy of it, once in an application."""
+    context = spark.sparkContext
+    if getattr(context, "_has_scholarmill", None) != context.applicationId:
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        archive = os.path.join(tempfile.mkdtemp(prefix="scholarmill-"), "scholarmill")
+        context.addPyFile(shutil.make_archive(archive, "zip", root, "scholarmill"))
+        context._has_scholarmill = context.applicationId
+
+
 def text_bytes() -> Column:
     """The text's UTF-8 bytes; a null text is empty."""
     return F.coalesce("text", F.lit("")).cast("binary")

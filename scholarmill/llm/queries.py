@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from scholarmill.llm import bpe, exact, html, imatch, lm, packing, pii, quality, shards, simhash
+from scholarmill.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -20,6 +21,8 @@ def query(fn: Query) -> Query:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A whole table; executors get this package along with it."""
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
