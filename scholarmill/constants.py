@@ -52,10 +52,10 @@ UNCATEGORIZED_ID = 55
 
 # (area id, area name, sub-field ids)
 AREAS: list[tuple[str, str, list[int]]] = [
-    ("ai", "AI", list(range(1, 6))),
-    ("systems", "Systems", list(range(6, 18))),
-    ("theory", "Theory", list(range(18, 21))),
-    ("interdisciplinary", "Interdisciplinary Areas", list(range(21, 26))),
+    ("ai", "AI", [1, 2, 3, 4, 5]),
+    ("systems", "Systems", [6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16, 17]),
+    ("theory", "Theory", [18, 19, 20]),
+    ("interdisciplinary", "Interdisciplinary Areas", [21, 22, 23, 24, 25]),
     ("etc", "etc", [UNCATEGORIZED_ID]),
 ]
 

@@ -11,8 +11,12 @@ from scholarmill.constants import TRIM_CLASS
 HIDDEN_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 TAG = r"(?s)<[^>]*>"
 TITLE = r"(?is)<title[^>]*>(.*?)</title>"
-HREF = r'href="([^"]*)"'
-HOST = r"^https?://([^/?#:]+)"
+# Whole opening tags; a ">" in quotes does not end one. Runs are possessive, so a long tag costs no stack.
+OPENING_TAG = r"""<[A-Za-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+# An href in any case, its value in either quotes or in none.
+HREF = r"""(?i)\shref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+HOST = r"^(?i:https?:)?//(?:[^/?#@]*@)?([^/?#:]+)"
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 
 # The ampersand comes last, so that an escaped entity is decoded once only.
 ENTITIES = [
@@ -30,10 +34,14 @@ def trimmed(text: Column) -> Column:
     return F.regexp_replace(text, rf"^[{TRIM_CLASS}]+|[{TRIM_CLASS}]+\z", "")
 
 
-def _plain(markup: Column) -> Column:
-    text = F.regexp_replace(markup, TAG, " ")
+def _decoded(text: Column) -> Column:
     for entity, character in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(character))
+    return text
+
+
+def _plain(markup: Column) -> Column:
+    text = _decoded(F.regexp_replace(markup, TAG, " "))
     return F.trim(F.regexp_replace(text, r"[\s\x{00a0}]+", " "))
 
 
@@ -47,7 +55,11 @@ def page_title(html: Column) -> Column:
 
 
 def page_links(html: Column) -> Column:
-    return F.regexp_extract_all(html, F.lit(HREF), F.lit(1))
+    """Targets of all links of a page, outside scripts, styles and comments, entities decoded."""
+    tags = F.regexp_extract_all(F.regexp_replace(html, HIDDEN_MARKUP, " "), F.lit(OPENING_TAG), F.lit(0))
+    values = F.transform(F.filter(tags, lambda t: t.rlike(HREF)), lambda t: F.regexp_extract(t, HREF, 1))
+    bare = F.transform(values, lambda v: F.regexp_replace(v, "^[\"']|[\"']$", ""))
+    return F.transform(bare, lambda v: F.trim(_decoded(v)))
 
 
 def host_of(url: Column) -> Column:
@@ -55,12 +67,16 @@ def host_of(url: Column) -> Column:
 
 
 def link_kind(link: Column, page_url: Column) -> Column:
-    """home for the site's own pages, scholar and dblp for profile pages, other for the rest."""
+    """home for the site's own pages, scholar and dblp for profile pages, other for the rest.
+
+    A link without scheme and host is relative to its page, so it is one of the site's own.
+    """
     host = host_of(link)
+    relative = ~link.rlike(SCHEME) & ~link.startswith("//")
     return (
         F.when(host.startswith("scholar.google."), "scholar")
         .when(host.isin("dblp.org", "dblp.uni-trier.de"), "dblp")
-        .when((host == host_of(page_url)) | link.startswith("/"), "home")
+        .when(relative | ((host != "") & (host == host_of(page_url))), "home")
         .otherwise("other")
     )
 

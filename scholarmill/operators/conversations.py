@@ -31,13 +31,18 @@ def assemble(
 ) -> DataFrame:
     """Concatenate parts in ``seq`` order: one row per key and segment of ``per_segment`` numbers.
 
-    (key, seq) is unique, so a segment gathers at most ``per_segment`` parts even when one key holds
-    a third of all rows. Segments read in order give the whole text. Empty parts are skipped.
+    A part that is delivered again is taken once: of the parts of one (key, seq) the smallest text
+    stays, which is the only one unless a sender changed it. So a segment gathers at most
+    ``per_segment`` parts even when one key holds a third of all rows. Parts without a key or number
+    have no place in a text and are left to ``unplaced``. Segments read in order give the whole text.
+    Empty parts are skipped.
     """
-    piece = F.struct(F.col(seq).alias("seq"), text.alias("text"))
+    piece = F.struct(F.col("seq"), F.col("text"))
+    numbered = parts.where(F.col(key).isNotNull() & F.col(seq).isNotNull() & (F.length(text) > 0))
     return (
-        parts.where(F.length(text) > 0)
-        .groupBy(key, F.floor(F.col(seq) / per_segment).alias("segment"))
+        numbered.groupBy(key, F.col(seq).alias("seq"))
+        .agg(F.min(text).alias("text"))
+        .groupBy(key, F.floor(F.col("seq") / per_segment).alias("segment"))
         .agg(F.array_sort(F.collect_list(piece)).alias("_pieces"))
         .select(
             key,
@@ -48,6 +53,11 @@ def assemble(
     )
 
 
+def unplaced(parts: DataFrame, key: str, seq: str) -> DataFrame:
+    """The parts that ``assemble`` cannot place, as they are."""
+    return parts.where(F.col(key).isNull() | F.col(seq).isNull())
+
+
 def message_text(chunks: DataFrame, per_segment: int = PARTS_PER_SEGMENT) -> DataFrame:
     """Streamed deltas (message_id, seq, text) put together."""
     return assemble(chunks, "message_id", "seq", F.col("text"), "", per_segment)

@@ -25,6 +25,12 @@ def lab_detail(
     if lab_id is not None:
         labs = labs.where(F.col("id") == lab_id)
         lab_fields = lab_fields.where(F.col("professor_id") == lab_id)
+        # The lab's few field ids come first, so that the second bridge is not grouped as a whole.
+        lab_sub_fields = lab_sub_fields.join(
+            lab_fields.select(F.col("id").alias("professor_research_field_id")),
+            "professor_research_field_id",
+            "left_semi",
+        )
 
     children = (
         lab_sub_fields.join(

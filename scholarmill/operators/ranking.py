@@ -14,8 +14,8 @@ from scholarmill.functions.labs import (
     size_class,
 )
 from scholarmill.operators.positions import with_positions
-from scholarmill.operators.selection import Selection, drilldown_filter, ranking_filter
-from scholarmill.operators.taxonomy import taxonomy, with_field_profile
+from scholarmill.operators.selection import drilldown_filter, ranking_filter
+from scholarmill.operators.taxonomy import Selection, Taxonomy, listed, sub_field_dim, with_field_profile
 
 LABS_PER_PAGE = 1000
 
@@ -72,9 +72,12 @@ def rank_universities(
     universities: DataFrame,
     selection: Selection | None = None,
     enabled: list[str] | None = None,
+    taxonomy: Taxonomy | None = None,
 ) -> DataFrame:
     """The ranking for one selection. The filter runs before anything is summed."""
-    kept = labs.where(ranking_filter(F.col("research_sub_fields"), selection, enabled))
+    kept = labs.where(
+        ranking_filter(F.col("research_sub_fields"), taxonomy or listed(), selection, enabled)
+    )
     return ranked(roll_up(kept, universities))
 
 
@@ -82,7 +85,13 @@ def with_summary(ranking: DataFrame) -> DataFrame:
     return ranking.withColumn("summary", ranking_summary(F.col("paper_count"), F.col("lab_count")))
 
 
-def rank_selections(labs: DataFrame, universities: DataFrame, selections: DataFrame) -> DataFrame:
+def rank_selections(
+    labs: DataFrame,
+    universities: DataFrame,
+    selections: DataFrame,
+    sub_fields: DataFrame,
+    fields: DataFrame,
+) -> DataFrame:
     """Rankings for a whole relation of selections (selection_id, field, sub_field) in one job.
 
     Labs of one university with the same set of ids always match together, and selections of the
@@ -90,7 +99,7 @@ def rank_selections(labs: DataFrame, universities: DataFrame, selections: DataFr
     sub-field meets a popular selection once, not once per lab and selection.
     """
     chosen = (
-        selections.join(F.broadcast(taxonomy(labs.sparkSession)), ["field", "sub_field"])
+        selections.join(sub_field_dim(sub_fields, fields), ["field", "sub_field"])
         .groupBy("selection_id")
         .agg(F.array_sort(F.collect_set("sub_field_id")).alias("wanted"))  # at most the taxonomy
     )
@@ -124,14 +133,18 @@ def refresh_diff(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def selection_diff(
-    labs: DataFrame, universities: DataFrame, old: Selection, new: Selection
+    labs: DataFrame,
+    universities: DataFrame,
+    old: Selection,
+    new: Selection,
+    taxonomy: Taxonomy | None = None,
 ) -> DataFrame:
     """``refresh_diff`` of the rankings for two selections, from one pass over the labs."""
-    ids = F.col("research_sub_fields")
+    ids, taxonomy = F.col("research_sub_fields"), taxonomy or listed()
     marked = labs.select(
         "university_id",
-        F.when(ranking_filter(ids, old, None), papers()).alias("old_papers"),
-        F.when(ranking_filter(ids, new, None), papers()).alias("new_papers"),
+        F.when(ranking_filter(ids, taxonomy, old, None), papers()).alias("old_papers"),
+        F.when(ranking_filter(ids, taxonomy, new, None), papers()).alias("new_papers"),
     )
     sums = [F.sum(c).alias(c) for c in ("old_papers", "new_papers")]
     per_id = marked.groupBy("university_id").agg(*sums)
@@ -173,9 +186,12 @@ def drilldown(
     universities: DataFrame,
     selection: Selection | None = None,
     enabled: list[str] | None = None,
+    taxonomy: Taxonomy | None = None,
 ) -> DataFrame:
     """Labs shown after opening a university, for all universities at once."""
-    kept = labs.where(drilldown_filter(F.col("research_sub_fields"), selection, enabled))
+    kept = labs.where(
+        drilldown_filter(F.col("research_sub_fields"), taxonomy or listed(), selection, enabled)
+    )
     return kept.join(named_universities(universities), "university_id").select(
         "id",
         "name",
@@ -190,8 +206,11 @@ def drilldown_totals(
     universities: DataFrame,
     selection: Selection | None = None,
     enabled: list[str] | None = None,
+    taxonomy: Taxonomy | None = None,
 ) -> DataFrame:
-    kept = labs.where(drilldown_filter(F.col("research_sub_fields"), selection, enabled))
+    kept = labs.where(
+        drilldown_filter(F.col("research_sub_fields"), taxonomy or listed(), selection, enabled)
+    )
     return roll_up(kept, universities).select(
         "university",
         F.col("paper_count").alias("total_papers"),
@@ -208,13 +227,18 @@ def labs_in_university(labs: DataFrame, universities: DataFrame) -> DataFrame:
     return with_positions(rows, ["university"], [F.desc("paper_count"), F.col("id")])
 
 
-def lab_pages(labs: DataFrame, universities: DataFrame, page_size: int = LABS_PER_PAGE) -> DataFrame:
+def lab_pages(
+    labs: DataFrame,
+    universities: DataFrame,
+    page_size: int = LABS_PER_PAGE,
+    taxonomy: Taxonomy | None = None,
+) -> DataFrame:
     """Each university's labs as nested lists in paper order: (university, page, labs).
 
     A page holds at most ``page_size`` labs, so the nested form never puts a whole university into
     one row, and the pages of a university hold all its labs.
     """
-    profiled = with_field_profile(labs).join(named_universities(universities), "university_id")
+    profiled = with_field_profile(labs, taxonomy or listed()).join(named_universities(universities), "university_id")
     rows = profiled.select(
         "university",
         "id",

@@ -14,21 +14,25 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scholarmill.constants import AREAS
 from scholarmill.functions.literals import constant_map
 from scholarmill.operators.bookmarks import pairs
 from scholarmill.operators.positions import with_positions
 from scholarmill.operators.ranking import roll_up
+from scholarmill.operators.taxonomy import Taxonomy, listed
 from scholarmill.session import stored
 
 
 def keyword_search(documents: DataFrame, keywords: list[str]) -> DataFrame:
     """Documents holding any keyword, case-insensitive: keywords matched and total occurrences.
 
-    Keywords are literals, so the scan alone answers; nothing is tokenised or shuffled.
+    Keywords are literals, so the scan alone answers; nothing is tokenised or shuffled. Without
+    keywords nothing is found.
     """
-    words = [k.lower() for k in keywords]
+    words = [k.lower() for k in keywords if k]
     text = F.lower("text")
+    if not words:
+        none = F.lit(0).cast("bigint")
+        return documents.where(F.lit(False)).select("doc_id", none.alias("n_matched"), none.alias("score"))
 
     def occurrences(word: str) -> Column:
         shorter = F.length(F.replace(text, F.lit(word), F.lit("")))
@@ -43,10 +47,17 @@ def keyword_search(documents: DataFrame, keywords: list[str]) -> DataFrame:
     )
 
 
+def named_like(universities: DataFrame, term: str) -> DataFrame:
+    """Universities whose name contains ``term``, in any case."""
+    return universities.where(F.lower("name").contains(term.lower()))
+
+
 def name_search(labs: DataFrame, universities: DataFrame, term: str) -> DataFrame:
-    """Universities whose name contains ``term``, with their labs and papers."""
-    found = universities.where(F.lower("name").contains(term.lower()))
-    return roll_up(labs, found)
+    """Universities whose name contains ``term``, with their labs and papers.
+
+    ``labs`` is best read for ``named_like`` universities alone, before papers are counted.
+    """
+    return roll_up(labs, named_like(universities, term))
 
 
 def label_profiles(vectors: DataFrame) -> DataFrame:
@@ -83,68 +94,41 @@ def _nearest_in(k: int):
     return nearest
 
 
-def _nearest_inline(vectors: DataFrame, queries: list, k: int) -> DataFrame:
-    """Few queries: they travel with the task, vectors are not shuffled."""
-    qids = [q["qid"] for q in queries]
-    asked = [list(q["vector"]) for q in queries]
-    nearest = _nearest_in(k)
-
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                yield nearest(batch, qids, asked)
-
-    return vectors.mapInPandas(best, NEAREST)
-
-
-def _nearest_blocks(
-    vectors: DataFrame, queries: DataFrame, n_queries: int, k: int, block: int, shard: int
-) -> DataFrame:
-    """Any number of queries: each task compares one shard of vectors with one block of queries."""
-    n_blocks = -(-n_queries // block)
-    n_shards = max(1, -(-vectors.count() // shard))
-    nearest = _nearest_in(k)
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    def part(key: str, n: int) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-
-    points = vectors.withColumn("shard", part("vec_id", n_shards)).withColumn("block", every(n_blocks))
-    asked = queries.withColumn("block", part("qid", n_blocks)).withColumn("shard", every(n_shards))
-
-    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"qid": [], "vec_id": [], "sim": []})
-        return nearest(left, list(right["qid"]), list(right["vector"]))
-
-    pair = ["block", "shard"]
-    return points.groupBy(*pair).cogroup(asked.groupBy(*pair)).applyInPandas(best, NEAREST)
+QUERIES_PER_BLOCK = 1000
 
 
 def vector_topk(
-    vectors: DataFrame,
-    queries: DataFrame,
-    k: int,
-    inline_limit: int = 1000,
-    shard: int = 20_000,
+    vectors: DataFrame, queries: DataFrame, k: int, per_block: int = QUERIES_PER_BLOCK
 ) -> DataFrame:
     """The ``k`` vectors most similar to each query (qid, vector) by cosine, ties by id.
 
-    Each Arrow batch or shard keeps its own best ``k`` per query, and only those are shuffled, so
-    neither a third of equal vectors nor their number reaches one task. Zero vectors have no
-    direction and are left out.
+    Queries are stored once, numbered, and taken in blocks of ``per_block``, whatever their number. A
+    block travels with the tasks of one pass over the vectors, which are not shuffled; each Arrow batch
+    keeps its own best ``k`` per query, and only those are. So neither a third of equal vectors nor
+    their number reaches one task, and no more than a block is ever on the driver. Vectors and queries
+    without direction (all zero, or empty) are left out.
     """
-    points = vectors.select("vec_id", "embedding").where(F.exists("embedding", lambda x: x != 0))
-    few = queries.select("qid", "vector").limit(inline_limit + 1).collect()
-    if not few:
-        nearest = points.sparkSession.createDataFrame([], NEAREST)
-    elif len(few) <= inline_limit:
-        nearest = _nearest_inline(points, few, k)
-    else:
-        asked = queries.select("qid", "vector")
-        nearest = _nearest_blocks(points, asked, asked.count(), k, inline_limit, shard)
+    spark = vectors.sparkSession
+    directed = F.coalesce(F.exists(F.col("v"), lambda x: x != 0), F.lit(False))
+    points = vectors.select("vec_id", "embedding").withColumn("v", F.col("embedding")).where(directed).drop("v")
+    asked = queries.select("qid", "vector").withColumn("v", F.col("vector")).where(directed).drop("v")
+    placed = stored(with_positions(asked, [], [F.col("qid")], "place"))
+    n_queries = placed.count()
+    nearest_in = _nearest_in(k)
+
+    def one_pass(first: int) -> DataFrame:
+        block = placed.where(F.col("place").between(first, first + per_block - 1)).collect()
+        qids, wanted = [q["qid"] for q in block], [list(q["vector"]) for q in block]
+
+        def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if len(batch):
+                    yield nearest_in(batch, qids, wanted)
+
+        return points.mapInPandas(best, NEAREST)
+
+    passes = [one_pass(first) for first in range(1, n_queries + 1, per_block)]
+    nearest = reduce(DataFrame.unionByName, passes) if passes else spark.createDataFrame([], NEAREST)
     place = Window.partitionBy("qid").orderBy(F.desc("sim"), "vec_id")
     return (
         nearest.withColumn("rk", F.row_number().over(place))
@@ -153,9 +137,10 @@ def vector_topk(
     )
 
 
-def area_bits(ids: Column) -> Column:
-    """One bit per area reached by an id array."""
-    bits = constant_map([(m, 1 << i) for i, (_, _, members) in enumerate(AREAS) for m in members])
+def field_bits(ids: Column, taxonomy: Taxonomy) -> Column:
+    """One bit per field reached by an id array."""
+    order = {field: i for i, field in enumerate(dict.fromkeys(row[3] for row in taxonomy.rows))}
+    bits = constant_map([(row[4], 1 << order[row[3]]) for row in taxonomy.rows])
     none = F.lit(0).cast("bigint")
     return F.aggregate(
         F.coalesce(ids, F.array().cast("array<bigint>")),
@@ -164,67 +149,73 @@ def area_bits(ids: Column) -> Column:
     )
 
 
-def recommend(labs: DataFrame, bookmarks: DataFrame, k: int = 5) -> DataFrame:
+def recommend(
+    labs: DataFrame, bookmarks: DataFrame, k: int = 5, taxonomy: Taxonomy | None = None
+) -> DataFrame:
     """The ``k`` best labs per user that the user has not bookmarked.
 
-    A user's interest is the set of areas of the bookmarked labs; a lab scores one point per shared
-    area, ties go to more papers, then to the lower id.
+    A user's interest is the set of fields of the bookmarked labs; a lab scores one point per shared
+    field, ties go to more papers, then to the lower id. Every sub-field belongs to a field.
 
-    There are at most 31 interest sets, so labs are put in order once per set, not once per user. A
-    user's first k free places in that order are among the first k places and the k after each of the
-    user's own bookmarks; with n bookmarks none lies beyond place n + k. Only those are looked up.
+    Labs are put in order once, within those of the same fields. A free lab that a user can be
+    recommended is then in one of two places: among the first k of its own list, or among the k after
+    one of the user's bookmarks there. The first kind is a small table: the first k of every list, put
+    in order for every interest (both bounded by the sets of fields), of which a user with n bookmarks
+    needs the first n + k. Only these places are looked up.
     """
     profiles = stored(
         labs.select(
             F.col("id").alias("lab_id"),
             F.coalesce("paper_count", F.lit(0)).alias("paper_count"),
-            area_bits(F.col("research_sub_fields")).alias("areas"),
-        ).where(F.col("areas") > 0)
+            field_bits(F.col("research_sub_fields"), taxonomy or listed()).alias("fields"),
+        ).where(F.col("fields") > 0)
     )
+    order = [F.desc("paper_count"), F.col("lab_id")]
+    lists = stored(with_positions(profiles, ["fields"], order))
     marks = stored(pairs(bookmarks))
-    held = marks.join(profiles.select("lab_id", "areas"), "lab_id")
+    held = stored(marks.join(lists.select("lab_id", "fields", "pos"), "lab_id"))
     users = stored(
-        held.groupBy("user_id").agg(
-            F.bit_or("areas").alias("interest"), F.count("*").alias("n_held")
-        )
+        held.groupBy("user_id").agg(F.bit_or("fields").alias("interest"), F.count("*").alias("n_held"))
     )
 
-    shared = F.col("areas").bitwiseAND(F.col("interest"))
-    every_set = F.expr(f"explode(sequence(1L, {(1 << len(AREAS)) - 1}L))").alias("interest")
-    scored = (
-        profiles.select("lab_id", "paper_count", "areas", every_set)
-        .where(shared != 0)
-        .join(users.select("interest").distinct(), "interest", "left_semi")
-        .select("interest", "lab_id", "paper_count", F.bit_count(shared).alias("score"))
-    )
-    lists = with_positions(
-        scored, ["interest"], [F.desc("score"), F.desc("paper_count"), F.col("lab_id")]
-    ).select("interest", "pos", "lab_id", "score")
-
-    taken = (
-        marks.join(users, "user_id")
-        .join(lists.select("interest", "lab_id", "pos"), ["interest", "lab_id"])
-        .where(F.col("pos") <= F.col("n_held") + k)
-        .select("user_id", "interest", "pos")
+    score = F.bit_count(F.col("fields").bitwiseAND(F.col("interest")))
+    interests = users.select("interest").distinct().withColumn("bit", _bits("interest"))
+    firsts = lists.where(F.col("pos") <= k).withColumn("bit", _bits("fields"))
+    met = firsts.join(interests, "bit").drop("bit").distinct().withColumn("score", score)
+    merged = Window.partitionBy("interest").orderBy(F.desc("score"), *order)
+    openers = met.withColumn("place", F.row_number().over(merged)).select(
+        "interest", F.col("place").cast("bigint").alias("place"), "lab_id", "paper_count", "score"
     )
-    first_places = F.expr(f"explode(sequence(1L, {k}L))").alias("pos")
+
+    first_places = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n_held") + k)).alias("place")
+    leading = users.select("user_id", "interest", first_places).join(openers, ["interest", "place"])
     next_places = F.explode(F.sequence(F.col("pos") + 1, F.col("pos") + k)).alias("pos")
+    following = (
+        held.select("user_id", "fields", next_places)
+        .distinct()
+        .join(lists, ["fields", "pos"])
+        .join(users, "user_id")
+        .withColumn("score", score)
+    )
+    names = ["user_id", "lab_id", "paper_count", "score"]
     free = (
-        users.select("user_id", "interest", first_places)
-        .unionByName(taken.select("user_id", "interest", next_places))
+        leading.select(*names)
+        .unionByName(following.select(*names))
         .distinct()
-        .join(taken, ["user_id", "interest", "pos"], "left_anti")
+        .join(marks, ["user_id", "lab_id"], "left_anti")
     )
-    place = Window.partitionBy("user_id").orderBy("pos")
+    place = Window.partitionBy("user_id").orderBy(F.desc("score"), *order)
     chosen = free.withColumn("rk", F.row_number().over(place)).where(F.col("rk") <= k)
-    return chosen.join(lists, ["interest", "pos"]).select(
-        "user_id",
-        "lab_id",
-        F.col("score").cast("bigint").alias("score"),
-        F.col("rk").cast("bigint").alias("rk"),
+    return chosen.select(
+        "user_id", "lab_id", F.col("score").cast("bigint").alias("score"), F.col("rk").cast("bigint").alias("rk")
     )
 
 
+def _bits(mask: str) -> Column:
+    """A row for each bit that is set."""
+    return F.expr(f"explode(filter(sequence(0, 62), i -> (shiftright({mask}, i) & 1) = 1))")
+
+
 def neighbour_pairs(placed: DataFrame) -> DataFrame:
     """Each lab with the next one in its university's list: pairs grow with the labs."""
     one = placed.select("university", "pos", F.col("id").alias("lab_a"))

@@ -1,30 +1,18 @@
 """Filters by field, sub-field and area.
 
-A selection is ``{field: [sub-field, ...]}``. Since the taxonomy is constant, a selection resolves to
-a set of sub-field ids before the query runs, and the nested test "has some selected field and shares
-one of its selected sub-fields" becomes an overlap of two id arrays.
+A selection is ``{field: [sub-field, ...]}``. With a taxonomy held in the plan it resolves to a set of
+sub-field ids before the query runs, and the nested test "has some selected field and shares one of its
+selected sub-fields" becomes an overlap of two id arrays.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scholarmill.constants import AREAS, taxonomy_rows
+from scholarmill.constants import AREAS
 from scholarmill.functions.literals import bigints
-
-Selection = dict[str, list[str]]
-
-
-def selected_ids(selection: Selection) -> list[int]:
-    return [row[4] for row in taxonomy_rows() if row[5] in selection.get(row[3], [])]
-
-
-def field_ids(fields: Iterable[str]) -> list[int]:
-    wanted = set(fields)
-    return [row[4] for row in taxonomy_rows() if row[3] in wanted]
+from scholarmill.operators.taxonomy import Selection, Taxonomy
 
 
 def overlaps(ids: Column, wanted: list[int]) -> Column:
@@ -34,18 +22,24 @@ def overlaps(ids: Column, wanted: list[int]) -> Column:
     return F.coalesce(F.arrays_overlap(ids, bigints(wanted)), F.lit(False))
 
 
-def ranking_filter(ids: Column, selection: Selection | None, enabled: list[str] | None) -> Column:
+def ranking_filter(
+    ids: Column, taxonomy: Taxonomy, selection: Selection | None, enabled: list[str] | None
+) -> Column:
     """Selected sub-fields override enabled fields; with neither, every lab passes."""
     if selection:
-        return overlaps(ids, selected_ids(selection))
+        return overlaps(ids, taxonomy.selected_ids(selection))
     if enabled:
-        return overlaps(ids, field_ids(enabled))
+        return overlaps(ids, taxonomy.field_ids(enabled))
     return F.lit(True)
 
 
-def drilldown_filter(ids: Column, selection: Selection | None, enabled: list[str] | None) -> Column:
+def drilldown_filter(
+    ids: Column, taxonomy: Taxonomy, selection: Selection | None, enabled: list[str] | None
+) -> Column:
     """Enabled fields or selected sub-fields; with neither, no lab passes."""
-    return overlaps(ids, field_ids(enabled or [])) | overlaps(ids, selected_ids(selection or {}))
+    return overlaps(ids, taxonomy.field_ids(enabled or [])) | overlaps(
+        ids, taxonomy.selected_ids(selection or {})
+    )
 
 
 def profile_filter(profile: Column, selection: Selection) -> Column:

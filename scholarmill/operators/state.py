@@ -157,8 +157,7 @@ def sub_fields_of(selected: Column) -> Column:
 def as_toggles(state: DataFrame) -> DataFrame:
     """The shortest log that leads to ``state``: a field toggle if enabled, then single sub-fields.
 
-    Lets a later batch of toggles be folded on top of stored state. Orders are negative, below any
-    order in a new batch.
+    Lets later toggles be folded on top of stored state: the orders are below any that a log has.
     """
     full = _bit_lookup()[F.col("field")]
     flipped = F.map_filter(
@@ -178,7 +177,7 @@ def as_toggles(state: DataFrame) -> DataFrame:
         *KEYS, F.posexplode(F.concat(field_press, sub_presses)).alias("_pos", "_press")
     ).select(
         "session",
-        (F.col("_pos") - 1000).cast("bigint").alias("ord"),
+        (F.col("_pos") + F.lit(-(1 << 63))).cast("bigint").alias("ord"),
         "_press.kind",
         "field",
         "_press.sub_field",

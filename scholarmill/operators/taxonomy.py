@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +46,44 @@ def research_sub_fields(spark: SparkSession) -> DataFrame:
     return constant_relation(spark, rows, schemas.RESEARCH_SUB_FIELDS)
 
 
+#: Sub-fields that a taxonomy may have to be held as a value in the plan. Beyond it, ``field_profile_rows``
+#: and ``keep_selected`` do the same by joins.
+MOST_SUB_FIELDS = 5000
+
+Selection = dict[str, list[str]]
+
+
+class Taxonomy:
+    """A taxonomy small enough to be held in the plan: rows as ``constants.taxonomy_rows`` has them."""
+
+    def __init__(self, rows: list[tuple[int, str, int, str, int, str]]):
+        self.rows = rows
+
+    @classmethod
+    def stored(cls, sub_fields: DataFrame, fields: DataFrame) -> Taxonomy:
+        """The taxonomy of two relations. Their size is checked; a larger one is refused."""
+        dim = sub_field_dim(sub_fields, fields).orderBy("sub_field_id").limit(MOST_SUB_FIELDS + 1).collect()
+        if len(dim) > MOST_SUB_FIELDS:
+            raise ValueError(f"over {MOST_SUB_FIELDS} sub-fields: use field_profile_rows and keep_selected")
+        return cls([(int(r.category), "", r.field_id, r.field, r.sub_field_id, r.sub_field) for r in dim])
+
+    def selected_ids(self, selection: Selection) -> list[int]:
+        return [row[4] for row in self.rows if row[5] in selection.get(row[3], [])]
+
+    def field_ids(self, fields: Iterable[str]) -> list[int]:
+        wanted = set(fields)
+        return [row[4] for row in self.rows if row[3] in wanted]
+
+    def by_id(self, place: int) -> Column:
+        """Map from sub-field id to one column of the rows."""
+        return constant_map([(row[4], row[place]) for row in self.rows])
+
+
+def listed() -> Taxonomy:
+    """The taxonomy of the fixed values."""
+    return Taxonomy(taxonomy_rows())
+
+
 def sub_field_dim(sub_fields: DataFrame, fields: DataFrame) -> DataFrame:
     """Sub-fields with the name and category of their field."""
     parent = fields.select(
@@ -58,17 +98,17 @@ def sub_field_dim(sub_fields: DataFrame, fields: DataFrame) -> DataFrame:
     )
 
 
-def with_field_profile(labs: DataFrame, rows: list[tuple] | None = None) -> DataFrame:
+def with_field_profile(labs: DataFrame, taxonomy: Taxonomy) -> DataFrame:
     """Add ``research_fields``: array<struct<category, field, sub_fields>> in first-seen order.
 
-    The taxonomy is a constant, so the id lookup is a map literal and nothing is shuffled. Unknown
+    The taxonomy is held in the plan, so the id lookup is a map literal and nothing is shuffled. Unknown
     ids are dropped, repeated ids give repeated names, a field found under two categories keeps the
     first, and a lab without any match keeps an empty profile.
     """
     lookup = constant_map(
         [
             (row[4], {"category": str(row[0]), "field": row[3], "sub_field": row[5]})
-            for row in rows or taxonomy_rows()
+            for row in taxonomy.rows
         ]
     )
 
@@ -109,7 +149,7 @@ def field_profile_rows(labs: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
-def sub_field_usage(spark: SparkSession, labs: DataFrame) -> DataFrame:
+def sub_field_usage(labs: DataFrame, sub_fields: DataFrame, fields: DataFrame) -> DataFrame:
     """Flat taxonomy with the labs and papers under each sub-field; unused sub-fields show 0."""
     used = (
         labs.select(
@@ -118,8 +158,7 @@ def sub_field_usage(spark: SparkSession, labs: DataFrame) -> DataFrame:
         .groupBy("sub_field_id")
         .agg(F.count("*").alias("n_labs"), F.sum(F.coalesce("paper_count", F.lit(0))).alias("papers"))
     )
-    dim = sub_field_dim(research_sub_fields(spark), research_fields(spark))
-    return dim.join(used, "sub_field_id", "left").select(
+    return sub_field_dim(sub_fields, fields).join(used, "sub_field_id", "left").select(
         "category",
         "field",
         "sub_field",

@@ -5,28 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scholarmill.constants import taxonomy_rows
-from scholarmill.functions.literals import constant_map
+from scholarmill.operators.taxonomy import Taxonomy, listed
 
 
-def fields_of(ids: Column) -> Column:
+def fields_of(ids: Column, taxonomy: Taxonomy) -> Column:
     """Distinct field names reached by an id array."""
-    lookup = constant_map([(row[4], row[3]) for row in taxonomy_rows()])
+    lookup = taxonomy.by_id(3)
     return F.array_distinct(
         F.filter(F.transform(ids, lambda i: lookup[i]), lambda f: f.isNotNull())
     )
 
 
-def paper_trend(papers: DataFrame, labs: DataFrame) -> DataFrame:
+def paper_trend(papers: DataFrame, labs: DataFrame, taxonomy: Taxonomy | None = None) -> DataFrame:
     """Papers per field and year with the change from the year before.
 
     ``papers`` is one row per paper (lab_id, year). Papers are counted per lab and year before they
     meet the labs, so a lab with a third of all papers adds one row per year to the join.
     """
     yearly = papers.groupBy("lab_id", "year").agg(F.count("*").alias("n"))
-    lab_fields = labs.select(
-        F.col("id").alias("lab_id"), F.explode(fields_of(F.col("research_sub_fields"))).alias("field")
-    )
+    reached = fields_of(F.col("research_sub_fields"), taxonomy or listed())
+    lab_fields = labs.select(F.col("id").alias("lab_id"), F.explode(reached).alias("field"))
     totals = yearly.join(lab_fields, "lab_id").groupBy("field", "year").agg(
         F.sum("n").alias("papers")
     )

@@ -28,8 +28,11 @@ from scholarmill.operators import (
     taxonomy,
     trends,
 )
-from scholarmill.session import stored
+from scholarmill.session import scratch_folder, stored
+from scholarmill.sources import files
+from scholarmill.sources.relations import Relations, publish
 from scholarmill.sources.tables import Tables
+from scholarmill.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,13 +72,13 @@ def query(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
 @query
 def q_ranking_by_subfield(t: Tables) -> DataFrame:
     labs = t.labs(papers=True, sub_fields=True)
-    return ranking.with_summary(ranking.rank_universities(labs, t.universities(), SELECTION))
+    return ranking.with_summary(ranking.rank_universities(labs, t.universities(), SELECTION, taxonomy=t.taxonomy()))
 
 
 @query
 def q_ranking_by_field(t: Tables) -> DataFrame:
     labs = t.labs(papers=True, sub_fields=True)
-    return ranking.rank_universities(labs, t.universities(), enabled=ENABLED)
+    return ranking.rank_universities(labs, t.universities(), enabled=ENABLED, taxonomy=t.taxonomy())
 
 
 @query
@@ -87,13 +90,13 @@ def q_ranking_all(t: Tables) -> DataFrame:
 def q_ranking_multi_selection(t: Tables) -> DataFrame:
     selections = taxonomy.constant_relation(t.spark, SELECTIONS, schemas.SELECTIONS)
     labs = t.labs(papers=True, sub_fields=True)
-    return ranking.rank_selections(labs, t.universities(), selections)
+    return ranking.rank_selections(labs, t.universities(), selections, t.sub_fields(), t.fields())
 
 
 @query
 def q_ranking_refresh_diff(t: Tables) -> DataFrame:
     labs = t.labs(papers=True, sub_fields=True)
-    return ranking.selection_diff(labs, t.universities(), SELECTION, LATER_SELECTION)
+    return ranking.selection_diff(labs, t.universities(), SELECTION, LATER_SELECTION, t.taxonomy())
 
 
 # ---- Labs --------------------------------------------------------------------------------------
@@ -106,7 +109,7 @@ def q_professor_directory(t: Tables) -> DataFrame:
 
 @query
 def q_field_profile(t: Tables) -> DataFrame:
-    profiles = taxonomy.with_field_profile(t.labs(sub_fields=True))
+    profiles = taxonomy.with_field_profile(t.labs(sub_fields=True), t.taxonomy())
     return profiles.select("id", F.explode("research_fields").alias("f")).select(
         "id",
         "f.field",
@@ -118,7 +121,7 @@ def q_field_profile(t: Tables) -> DataFrame:
 
 @query
 def q_lab_field_text(t: Tables) -> DataFrame:
-    profiles = taxonomy.with_field_profile(t.labs(sub_fields=True))
+    profiles = taxonomy.with_field_profile(t.labs(sub_fields=True), t.taxonomy())
     return profiles.select(
         "id",
         coll.names_text(F.col("research_fields")).alias("names_text"),
@@ -145,13 +148,13 @@ def q_lab_size(t: Tables) -> DataFrame:
 @query
 def q_drilldown(t: Tables) -> DataFrame:
     labs = t.labs(papers=True, sub_fields=True)
-    return ranking.drilldown(labs, t.universities(), DRILLDOWN_SELECTION, DRILLDOWN_ENABLED)
+    return ranking.drilldown(labs, t.universities(), DRILLDOWN_SELECTION, DRILLDOWN_ENABLED, t.taxonomy())
 
 
 @query
 def q_drilldown_totals(t: Tables) -> DataFrame:
     labs = t.labs(papers=True, sub_fields=True)
-    return ranking.drilldown_totals(labs, t.universities(), DRILLDOWN_SELECTION, DRILLDOWN_ENABLED)
+    return ranking.drilldown_totals(labs, t.universities(), DRILLDOWN_SELECTION, DRILLDOWN_ENABLED, t.taxonomy())
 
 
 @query
@@ -162,7 +165,7 @@ def q_labs_in_university(t: Tables) -> DataFrame:
 @query
 def q_university_lab_pages(t: Tables) -> DataFrame:
     labs = t.labs(papers=True, sub_fields=True)
-    pages = ranking.lab_pages(labs, t.universities(), LABS_PER_PAGE)
+    pages = ranking.lab_pages(labs, t.universities(), LABS_PER_PAGE, t.taxonomy())
     return pages.select(
         "university",
         "page",
@@ -177,7 +180,7 @@ def q_university_lab_pages(t: Tables) -> DataFrame:
 
 @query
 def q_taxonomy_flat(t: Tables) -> DataFrame:
-    return taxonomy.sub_field_usage(t.spark, t.labs(papers=True, sub_fields=True))
+    return taxonomy.sub_field_usage(t.labs(papers=True, sub_fields=True), t.sub_fields(), t.fields())
 
 
 @query
@@ -193,8 +196,8 @@ def q_professor_detail(t: Tables) -> DataFrame:
         t.universities(),
         lab_fields,
         lab_sub_fields,
-        taxonomy.research_fields(t.spark),
-        taxonomy.research_sub_fields(t.spark),
+        t.fields(),
+        t.sub_fields(),
     )
     return detail.detail_rows(nested)
 
@@ -322,12 +325,54 @@ def q_quality_split(t: Tables) -> DataFrame:
 @query
 def q_upsert_latest(t: Tables) -> DataFrame:
     events = t.read("events").select("user_id", "event_type", "value", "ts", "event_id")
-    earlier = events.where(F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz"))
-    later = events.where(F.col("ts") >= F.lit("2024-01-10").cast("timestamp_ntz"))
+    before = F.coalesce(F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz"), F.lit(True))
+    earlier, later = events.where(before), events.where(~before)
     merged = quality.upsert(earlier, later, ["user_id", "event_type"], ["ts", "event_id"])
     return merged.select("user_id", "event_type", "value")
 
 
+@query
+def q_staged_load(t: Tables) -> DataFrame:
+    """Events of the last days loaded over those before, in two stages; read back from the result."""
+    events = t.read("events").select("user_id", "event_type", "value", "ts", "event_id")
+    before = F.coalesce(F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz"), F.lit(True))
+    rules = [("small", F.col("value") < 1), ("error", F.col("event_type") == "error")]
+    folder = scratch_folder(t.spark)
+    files.staged_load(
+        t.spark, events.where(~before), rules, f"{folder}/staging", events.where(before),
+        f"{folder}/final", ["user_id", "event_type"], ["ts", "event_id"],
+    )
+    return files.read_relation(t.spark, f"{folder}/final", events.schema).select("user_id", "event_type", "value")
+
+
+@query
+def q_refresh_latest(t: Tables) -> DataFrame:
+    """The latest event per user and type, loaded as a stream of files into a table."""
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+    keys, order = ["user_id", "event_type"], ["ts", "event_id"]
+    folder = scratch_folder(t.spark)
+    stream = jobs.read_events(t.spark, f"{t.folder}/events*.parquet", schema)
+    jobs.refresh(stream, f"{folder}/table", f"{folder}/checkpoint", keys, order).awaitTermination()
+    return jobs.current(t.spark, f"{folder}/table", schema, keys, order).select(*keys, "value")
+
+
+@query
+def q_url_sheet(t: Tables) -> DataFrame:
+    """Page addresses written as a sheet and read back through its schema."""
+    sheet = t.read("pages").select(F.col("page_id").cast("string").alias("lab_id"), "url")
+    folder = scratch_folder(t.spark)
+    sheet.write.csv(folder, header=True, mode="overwrite")
+    return files.read_url_sheet(t.spark, folder)
+
+
+@query
+def q_stored_ranking(t: Tables) -> DataFrame:
+    """The flagship over stored relations, the taxonomy's tables among them."""
+    folder = scratch_folder(t.spark)
+    publish(t, folder)
+    return q_ranking_by_subfield(Relations(t.spark, folder))
+
+
 @query
 def q_paper_fallback(t: Tables) -> DataFrame:
     """Finished papers where a lab has any, all papers otherwise."""
@@ -402,7 +447,8 @@ def q_keyword_search(t: Tables) -> DataFrame:
 
 @query
 def q_name_search(t: Tables) -> DataFrame:
-    return search.name_search(t.labs(papers=True), t.universities(), NAME_TERM)
+    found = search.named_like(t.universities(), NAME_TERM)
+    return search.name_search(t.labs(papers=True, universities=found), found, NAME_TERM)
 
 
 @query
@@ -413,7 +459,7 @@ def q_vector_topk(t: Tables) -> DataFrame:
 
 @query
 def q_recommend(t: Tables) -> DataFrame:
-    return search.recommend(t.labs(papers=True, sub_fields=True), t.bookmarks(), TOP_K)
+    return search.recommend(t.labs(papers=True, sub_fields=True), t.bookmarks(), TOP_K, t.taxonomy())
 
 
 @query
@@ -425,4 +471,4 @@ def q_compare_labs(t: Tables) -> DataFrame:
 
 @query
 def q_paper_trend(t: Tables) -> DataFrame:
-    return trends.paper_trend(t.papers(), t.labs(sub_fields=True))
+    return trends.paper_trend(t.papers(), t.labs(sub_fields=True), t.taxonomy())

@@ -157,8 +157,19 @@ VISIBLE = _plain(
     "regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', ' ', 'g')"
 )
 TITLE = _plain("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")
-LINKS = "regexp_extract_all(html, 'href=\"([^\"]*)\"', 1)"
-HOST = "lower(regexp_extract({}, '^https?://([^/?#:]+)', 1))"
+# Opening tags of the markup that shows, of these the ones with an href, its value without quotes, decoded.
+SHOWN = r"""regexp_replace(html, '<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', ' ', 'gis')"""
+TAGS = rf"""regexp_extract_all({SHOWN}, '<[A-Za-z](?:[^>"'']|"[^"]*"|''[^'']*'')*>')"""
+RAW = r"""regexp_extract(t, '\shref\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1, 'i')"""
+QUOTED = """CASE WHEN v[1] IN ('"', '''') THEN substr(v, 2, length(v) - 2) ELSE v END"""
+DECODED = "v"
+for _entity, _char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+    DECODED = f"replace({DECODED}, '{_entity}', '{_char}')"
+LINKS = (
+    f"list_transform(list_transform(list_filter(list_transform({TAGS}, lambda t: {RAW}), lambda v: v <> ''), "
+    f"lambda v: {QUOTED}), lambda v: trim({DECODED}, ' '))"
+)
+HOST = "lower(regexp_extract({}, '^(?:https?:)?//(?:[^/?#@]*@)?([^/?#:]+)', 1, 'i'))"
 
 TRIMMED = f"regexp_replace(text, '^[{TRIM_CLASS}]+|[{TRIM_CLASS}]+\\z', '', 'g')"
 
@@ -348,6 +359,17 @@ SELECT page_id, CASE WHEN reasons = '' THEN 'valid' ELSE 'quarantine' END AS sta
     "q_upsert_latest": """
 SELECT user_id, event_type, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
+    "q_staged_load": """
+WITH row_kept AS (
+  SELECT *, ts IS NULL OR ts < TIMESTAMP '2024-01-10' AS earlier FROM events
+)
+SELECT user_id, event_type, value FROM row_kept
+WHERE earlier OR (value >= 1 AND event_type <> 'error')
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
+    "q_refresh_latest": """
+SELECT user_id, event_type, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1""",
+    "q_url_sheet": "SELECT CAST(page_id AS VARCHAR) AS lab_id, url FROM pages WHERE url <> ''",
     "q_paper_fallback": """
 WITH counts AS (
   SELECT c_custkey AS id, count(o_orderkey) AS known,
@@ -387,7 +409,8 @@ hosted AS (SELECT *, {HOST.format('link')} AS host, {HOST.format('url')} AS own
 SELECT page_id, link,
        CASE WHEN starts_with(host, 'scholar.google.') THEN 'scholar'
             WHEN host IN ('dblp.org', 'dblp.uni-trier.de') THEN 'dblp'
-            WHEN host = own OR starts_with(link, '/') THEN 'home' ELSE 'other' END AS kind
+            WHEN NOT starts_with(link, '//') AND NOT regexp_matches(split_part(link, '/', 1), '^[A-Za-z][A-Za-z0-9+.-]*:') THEN 'home'
+            WHEN host <> '' AND host = own THEN 'home' ELSE 'other' END AS kind
 FROM hosted""",
     "q_keyword_search": _keywords(),
     "q_name_search": f"""
@@ -407,12 +430,12 @@ scored AS (
 SELECT qid, vec_id, sim, row_number() OVER (PARTITION BY qid ORDER BY sim DESC, vec_id) AS rk
 FROM scored QUALIFY rk <= {cat.TOP_K}""",
     "q_recommend": f"""
-WITH {BOOKMARK}, {AREA}, {LABS},
-lab_area AS (SELECT DISTINCT s.id, a.area FROM lab_sub s JOIN area_member a USING (sub_field_id)),
-interest AS (SELECT DISTINCT b.user_id, l.area FROM bookmark b JOIN lab_area l ON l.id = b.lab_id),
+WITH {BOOKMARK}, {LABS},
+lab_field AS (SELECT DISTINCT id, field FROM lab_tax),
+interest AS (SELECT DISTINCT b.user_id, l.field FROM bookmark b JOIN lab_field l ON l.id = b.lab_id),
 scored AS (
   SELECT i.user_id, l.id AS lab_id, count(*) AS score
-  FROM interest i JOIN lab_area l USING (area) GROUP BY 1, 2
+  FROM interest i JOIN lab_field l USING (field) GROUP BY 1, 2
 )
 SELECT s.user_id, s.lab_id, s.score,
        row_number() OVER (PARTITION BY s.user_id ORDER BY s.score DESC, lab.paper_count DESC, s.lab_id) AS rk
@@ -438,3 +461,4 @@ total AS (
 )
 SELECT field, year, papers, papers - lag(papers) OVER (PARTITION BY field ORDER BY year) AS change FROM total""",
 }
+ORACLE["q_stored_ranking"] = ORACLE["q_ranking_by_subfield"]

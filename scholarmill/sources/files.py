@@ -9,7 +9,7 @@ from scholarmill import schemas
 from scholarmill.functions.labs import present
 from scholarmill.functions.rules import Rules
 from scholarmill.operators.bookmarks import PAIR, pairs
-from scholarmill.operators.quality import split, upsert
+from scholarmill.operators.quality import checked, upsert
 
 
 def read_relation(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -49,13 +49,13 @@ def staged_load(
     keys: list[str],
     order: list[str],
 ) -> None:
-    """Two-stage load: valid and quarantined rows go to staging, then the merged table to ``target``.
+    """Two-stage load: checked rows go to staging, by status, then the merged table to ``target``.
 
-    The final step reads the staged files, so a crawl is validated once. ``target`` is a new folder;
-    readers switch to it when it is complete.
+    The crawl is read and validated once: one write puts valid and quarantined rows (with their
+    reasons) in the folders ``status=valid`` and ``status=quarantine``, and the final step reads the
+    valid ones back. ``target`` is a new folder; readers switch to it when it is complete.
     """
-    valid, quarantined = split(rows, rules)
-    valid.write.mode("overwrite").parquet(f"{staging}/valid")
-    quarantined.write.mode("overwrite").parquet(f"{staging}/quarantine")
-    staged = spark.read.schema(valid.schema).parquet(f"{staging}/valid")
+    marked = checked(rows, rules)
+    marked.write.mode("overwrite").partitionBy("status").parquet(staging)
+    staged = spark.read.schema(marked.schema).parquet(staging).where("status = 'valid'").select(*rows.columns)
     upsert(current, staged, keys, order).write.parquet(target)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from scholarmill import schemas
 from scholarmill.operators.bookmarks import pairs
-from scholarmill.operators.taxonomy import research_fields, research_sub_fields
+from scholarmill.operators.taxonomy import Taxonomy
 from scholarmill.sources.files import read_relation
 from scholarmill.sources.tables import Tables
 
@@ -36,9 +36,23 @@ class Relations:
     def relation(self, name: str) -> DataFrame:
         return read_relation(self.spark, f"{self.folder}/{name}", SCHEMAS[name])
 
-    def labs(self, papers: bool = True, sub_fields: bool = True) -> DataFrame:
+    def labs(
+        self, papers: bool = True, sub_fields: bool = True, universities: DataFrame | None = None
+    ) -> DataFrame:
         """Stored labs have every column; unused ones are pruned by the reader."""
-        return self.relation("professors")
+        labs = self.relation("professors")
+        if universities is None:
+            return labs
+        return labs.join(universities.select(F.col("id").alias("university_id")), "university_id", "left_semi")
+
+    def fields(self) -> DataFrame:
+        return self.relation("research_fields")
+
+    def sub_fields(self) -> DataFrame:
+        return self.relation("research_sub_fields")
+
+    def taxonomy(self) -> Taxonomy:
+        return Taxonomy.stored(self.sub_fields(), self.fields())
 
     def universities(self) -> DataFrame:
         return self.relation("universities")
@@ -58,7 +72,6 @@ def _as(rows: DataFrame, name: str) -> DataFrame:
 
 def publish(tables: Tables, folder: str) -> None:
     """Derive the canonical relations once and store them, so that queries need not join again."""
-    spark = tables.spark
     professors = _as(tables.labs(papers=True, sub_fields=True), "professors")
     professors.write.parquet(f"{folder}/professors")
     ids = professors.sparkSession.read.schema(schemas.PROFESSORS).parquet(f"{folder}/professors")
@@ -66,8 +79,8 @@ def publish(tables: Tables, folder: str) -> None:
     lab_fields, lab_sub_fields = tables.lab_bridges(numbered)
     derived = {
         "universities": tables.universities(),
-        "research_fields": research_fields(spark),
-        "research_sub_fields": research_sub_fields(spark),
+        "research_fields": tables.fields(),
+        "research_sub_fields": tables.sub_fields(),
         "professor_research_fields": lab_fields,
         "professor_sub_fields": lab_sub_fields,
         "bookmarks": pairs(tables.bookmarks()),

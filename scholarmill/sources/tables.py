@@ -9,9 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarmill.constants import FIELDS, taxonomy_rows
-from scholarmill.functions.literals import constant_map
-from scholarmill.operators.taxonomy import constant_relation
+from scholarmill.constants import FIELDS
+from scholarmill.operators.taxonomy import (
+    Taxonomy,
+    constant_relation,
+    listed,
+    research_fields,
+    research_sub_fields,
+)
 from scholarmill.schemas import SOURCE_TABLES
 
 MEMBERS_PER_BALANCE = 400
@@ -33,6 +38,15 @@ class Tables:
             F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")
         )
 
+    def fields(self) -> DataFrame:
+        return research_fields(self.spark)
+
+    def sub_fields(self) -> DataFrame:
+        return research_sub_fields(self.spark)
+
+    def taxonomy(self) -> Taxonomy:
+        return listed()
+
     def _lab_ids(self) -> DataFrame:
         return self.read("customer").select(
             F.col("c_custkey").alias("id"),
@@ -72,12 +86,11 @@ class Tables:
             F.col("o_orderstatus").alias("status"),
         )
 
-    def _paper_counts(self) -> DataFrame:
-        return (
-            self.read("orders")
-            .groupBy(F.col("o_custkey").alias("id"))
-            .agg(F.count("*").alias("paper_count"))
-        )
+    def _paper_counts(self, labs: DataFrame | None = None) -> DataFrame:
+        orders = self.read("orders").select(F.col("o_custkey").alias("id"))
+        if labs is not None:
+            orders = orders.join(labs.select("id"), "id", "left_semi")
+        return orders.groupBy("id").agg(F.count("*").alias("paper_count"))
 
     def _sub_fields(self) -> DataFrame:
         """Distinct sub-field ids per lab. At most one id per brand, so the set is small."""
@@ -93,15 +106,27 @@ class Tables:
         return (
             lines.join(brands, lines["l_partkey"] == brands["p_partkey"])
             .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-            .groupBy(F.col("o_custkey").alias("id"))
-            .agg(F.array_sort(F.collect_set("sub_field_id")).alias("research_sub_fields"))
+            # Distinct pairs are a hash aggregate; what is left to collect is a row per lab and id.
+            .select(F.col("o_custkey").alias("id"), "sub_field_id")
+            .distinct()
+            .groupBy("id")
+            .agg(F.array_sort(F.collect_list("sub_field_id")).alias("research_sub_fields"))
         )
 
-    def labs(self, papers: bool = False, sub_fields: bool = False) -> DataFrame:
-        """Labs; paper counts and sub-field ids only where asked for."""
+    def labs(
+        self, papers: bool = False, sub_fields: bool = False, universities: DataFrame | None = None
+    ) -> DataFrame:
+        """Labs; paper counts and sub-field ids only where asked for.
+
+        With ``universities`` only their labs, and only these labs' papers are counted.
+        """
         labs = self._lab_ids()
+        if universities is not None:
+            wanted = universities.select(F.col("id").alias("university_id"))
+            labs = labs.join(wanted, "university_id", "left_semi")
         if papers:
-            labs = labs.join(self._paper_counts(), "id", "left").withColumn(
+            counts = self._paper_counts(None if universities is None else labs)
+            labs = labs.join(counts, "id", "left").withColumn(
                 "paper_count", F.coalesce("paper_count", F.lit(0))
             )
         if sub_fields:
@@ -113,7 +138,7 @@ class Tables:
 
     def lab_bridges(self, labs: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(professor_research_fields, professor_sub_fields) spelled out from the id arrays."""
-        field_of = constant_map([(row[4], row[2]) for row in taxonomy_rows()])
+        field_of = self.taxonomy().by_id(2)
         rows = labs.select(
             F.col("id").alias("professor_id"), F.explode("research_sub_fields").alias("sub_field_id")
         ).withColumn("field_id", field_of[F.col("sub_field_id")])

@@ -4,14 +4,46 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from scholarmill.operators.bookmarks import PAIR, toggle_counts
 from scholarmill.operators.state import KEYS, as_toggles, fold_selection, latest
+from scholarmill.session import remove, stored
 
-VERSION = "version"
+RUN, VERSION = "run", "version"
+BASE_RUN = 0
+
+
+def run_number(spark: SparkSession, table: str, checkpoint: str) -> int:
+    """The number under which a checkpoint writes to ``table``: from 1, a new one for a new checkpoint.
+
+    It is kept in the checkpoint itself, so batches of another checkpoint, or of one that was deleted,
+    never write to the same folders. One stream at a time starts on a table.
+    """
+    try:
+        return spark.read.schema("n long").json(f"{checkpoint}/run").first()[0]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+    taken = _folders(spark, f"{table}/runs", "n long").agg(F.max("n")).first()[0]
+    number = (taken or BASE_RUN) + 1
+    one = spark.range(1).select(F.lit(number).cast("long").alias("n"))
+    one.write.mode("append").json(f"{table}/runs")
+    one.write.json(f"{checkpoint}/run")
+    return number
+
+
+def _folders(spark: SparkSession, path: str, schema: str, reader: str = "json") -> DataFrame:
+    """A table that may not be there yet."""
+    try:
+        return getattr(spark.read.schema(schema), reader)(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def read_events(
@@ -38,9 +70,9 @@ def latest_stream(events: DataFrame, keys: list[str], order: list[str]) -> DataF
 
 
 def current(spark: SparkSession, table: str, schema: str, keys: list[str], order: list[str]) -> DataFrame:
-    """The latest row per key of a table that grows by one folder per batch."""
-    rows = spark.read.schema(f"{schema}, {VERSION} bigint").parquet(table)
-    return latest(rows, keys, order).drop(VERSION)
+    """The latest row per key of a table that grows by one folder per run and batch."""
+    rows = _folders(spark, f"{table}/rows", f"{schema}, {RUN} bigint, {VERSION} bigint", "parquet")
+    return latest(rows.drop(RUN, VERSION), keys, order)
 
 
 def refresh(
@@ -54,12 +86,14 @@ def refresh(
     """Load a stream into ``table``, latest row per key.
 
     A batch is reduced to its own latest rows and written to its own folder, which a replay
-    overwrites with the same rows; old rows are never rewritten. Read with ``current``.
+    overwrites with the same rows; old rows are never rewritten. Each checkpoint writes under a run
+    of its own, so a new one, or a second source, adds to the table. Read with ``current``.
     """
+    run = run_number(incoming.sparkSession, table, checkpoint)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         newest = latest(batch, keys, order)
-        newest.write.mode("overwrite").parquet(f"{table}/{VERSION}={batch_id}")
+        newest.write.mode("overwrite").parquet(f"{table}/rows/{RUN}={run}/{VERSION}={batch_id}")
 
     writer = incoming.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
@@ -67,28 +101,54 @@ def refresh(
 
 def compact(spark: SparkSession, table: str, schema: str, keys: list[str], order: list[str],
             target: str) -> None:
-    """Write the current rows to a new table folder, as its version 0."""
-    current(spark, table, schema, keys, order).write.parquet(f"{target}/{VERSION}=0")
+    """Write the current rows to a new table, under a run that no stream has."""
+    rows = current(spark, table, schema, keys, order)
+    rows.write.parquet(f"{target}/rows/{RUN}={BASE_RUN}/{VERSION}=0")
+
 
+# --- selection state ------------------------------------------------------------------------------
 
-SELECTION_SCHEMA = "session string, field string, enabled boolean, selected bigint"
+STATE = "session string, field string, enabled boolean, selected bigint, last_ord bigint"
+LOG = "session string, ord bigint, kind string, field string, sub_field string"
+PARTS = f"{RUN} bigint, {VERSION} bigint, bucket int"
+MARKS = f"{RUN} bigint, {VERSION} bigint, whole boolean"
 SNAPSHOT_EVERY = 100
+BUCKETS = 64
 
 
-def _versions(spark: SparkSession, table: str, first: int, last: int) -> DataFrame:
-    """Stored state written by batches ``first`` to ``last``; other folders are not opened."""
-    rows = spark.read.schema(f"{SELECTION_SCHEMA}, {VERSION} bigint").parquet(table)
-    return rows.where(F.col(VERSION).between(first, last))
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64(*KEYS), F.lit(BUCKETS)).cast("int")
 
 
-def selection_state(
-    spark: SparkSession, table: str, snapshot_every: int = SNAPSHOT_EVERY
-) -> DataFrame:
+def _place() -> Column:
+    return F.struct(RUN, VERSION)
+
+
+def _at(run: int, version: int) -> Column:
+    return F.struct(F.lit(run).cast("bigint").alias(RUN), F.lit(version).cast("bigint").alias(VERSION))
+
+
+def _last_whole(marks: DataFrame, place: Column | None = None) -> tuple[int, int]:
+    """Run and version of the newest complete snapshot (before ``place``); (0, 0) without any.
+
+    ``marks`` has one row a batch; neither states nor log are opened to find it.
+    """
+    known = marks.where("whole") if place is None else marks.where(F.col("whole") & (_place() < place))
+    newest = known.agg(F.max(_place()).alias("p")).first()["p"]
+    return (newest[RUN], newest[VERSION]) if newest else (BASE_RUN, 0)
+
+
+def _states(spark: SparkSession, table: str, since: tuple[int, int]) -> DataFrame:
+    rows = _folders(spark, f"{table}/state", f"{STATE}, {PARTS}", "parquet")
+    # Both conditions are on folder names, so folders before the snapshot are not opened.
+    return rows.where(F.col(RUN) >= since[0]).where((F.col(RUN) > since[0]) | (F.col(VERSION) >= since[1]))
+
+
+def selection_state(spark: SparkSession, table: str) -> DataFrame:
     """Current selection per session and field: the last snapshot and the batches after it."""
-    stored_by = spark.read.schema(f"{SELECTION_SCHEMA}, {VERSION} bigint").parquet(table)
-    newest = stored_by.agg(F.max(VERSION)).first()[0]
-    snapshot = newest // snapshot_every * snapshot_every
-    return latest(_versions(spark, table, snapshot, newest), KEYS, [VERSION]).drop(VERSION)
+    since = _last_whole(_folders(spark, f"{table}/marks", MARKS))
+    rows = latest(_states(spark, table, since).drop("bucket"), KEYS, [RUN, VERSION])
+    return rows.select("session", "field", "enabled", "selected")
 
 
 def selection_stream(
@@ -100,32 +160,67 @@ def selection_stream(
 ) -> StreamingQuery:
     """Fold a stream of toggles (session, ord, kind, field, sub_field) into ``table``.
 
-    The stored state of the sessions in a batch is turned back into a few toggles placed before the
-    batch's own, and the batch operator folds both. A hot session is thus split like in the batch
-    job instead of passing through one stateful task.
-
-    A batch writes the states it changed; every ``snapshot_every`` batches it writes all states, so
-    that a look-up reads at most that many folders.
+    ``table`` keeps the log of all toggles and the states after each batch. The stored state of the
+    keys in a batch is turned back into a few toggles placed before the batch's own, and the batch
+    operator folds both. A hot session is thus split like in the batch job instead of passing through
+    one stateful task. Where a toggle comes late, after one of the same session and field with a
+    greater ``ord`` has been folded, that key alone is folded anew from its log. So the state is that
+    of the whole log, however the input was cut and in whatever order it came.
+
+    Log and states lie in buckets of the key, and a batch opens only those that it touches. A batch
+    writes the states it changed; every ``snapshot_every`` batches it writes all states, after which
+    the states before the last snapshot but one are removed. Each checkpoint writes under a run of
+    its own (see ``run_number``); one stream at a time writes to a table.
     """
     scratch = hashlib.sha256(table.encode()).hexdigest()[:16]
+    run = run_number(toggles.sparkSession, table, checkpoint)
+    columns = ["session", "ord", "kind", "field", "sub_field"]
+
+    def write(rows: DataFrame, kind: str, batch_id: int) -> None:
+        path = f"{table}/{kind}/{RUN}={run}/{VERSION}={batch_id}"
+        rows.withColumn("bucket", _bucket()).write.mode("overwrite").partitionBy("bucket").parquet(path)
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.persist()  # read for its keys, for the sort boundaries and for the fold
-        presses = batch.select("session", "ord", "kind", "field", "sub_field")
-        earlier = None
-        if batch_id > 0:
-            snapshot = (batch_id - 1) // snapshot_every * snapshot_every
-            earlier = _versions(spark, table, snapshot, batch_id - 1)
-            touched = batch.select(*KEYS).distinct()
-            held = latest(earlier.join(touched, KEYS, "left_semi"), KEYS, [VERSION])
-            presses = as_toggles(held).unionByName(presses)
-        states = fold_selection(presses, stored_as=f"selection-{scratch}")
-        if earlier is not None and batch_id % snapshot_every == 0:
-            changed = states.withColumn(VERSION, F.lit(batch_id).cast("bigint"))
-            states = latest(earlier.unionByName(changed), KEYS, [VERSION]).drop(VERSION)
-        states.write.mode("overwrite").parquet(f"{table}/{VERSION}={batch_id}")
+        batch = batch.select(*columns).persist()  # for its keys, its log, the sort's ranges and the fold
+        touched = batch.groupBy(*KEYS).agg(F.min("ord").alias("first_ord"), F.max("ord").alias("newest_ord"))
+        touched = touched.withColumn("bucket", _bucket())
+        opened = [r[0] for r in touched.select("bucket").distinct().collect()]  # at most BUCKETS
+        write(batch, "log", batch_id)
+
+        here = _at(run, batch_id)
+        since = _last_whole(_folders(spark, f"{table}/marks", MARKS), here)
+        earlier = _states(spark, table, since).where(_place() < here)
+        own = latest(earlier.where(F.col("bucket").isin(opened)).join(touched.select(*KEYS), KEYS, "left_semi"), KEYS, [RUN, VERSION])
+        held = stored(
+            touched.drop("bucket").join(own.drop(RUN, VERSION, "bucket"), KEYS, "left"), f"held-{scratch}"
+        )
+        late = held.where("first_ord < last_ord").select(*KEYS)
+        timely = held.where("last_ord IS NOT NULL AND first_ord >= last_ord")
+        log = _folders(spark, f"{table}/log", f"{LOG}, {PARTS}", "parquet").where(_place() < here)
+        again = log.where(F.col("bucket").isin(opened)).select(*columns).join(late, KEYS, "left_semi")
+        presses = as_toggles(timely).select(*columns).unionByName(again).unionByName(batch)
+        states = fold_selection(presses, stored_as=f"selection-{scratch}").join(
+            held.select(*KEYS, F.greatest("last_ord", "newest_ord").alias("last_ord")), KEYS
+        )
+        whole = batch_id > 0 and batch_id % snapshot_every == 0
+        if whole:
+            changed = states.withColumn(RUN, F.lit(run).cast("bigint")).withColumn(VERSION, F.lit(batch_id).cast("bigint"))
+            states = latest(earlier.drop("bucket").unionByName(changed), KEYS, [RUN, VERSION]).drop(RUN, VERSION)
+        write(states, "state", batch_id)
+        mark = spark.range(1).select(F.lit(whole).alias("whole"))
+        mark.write.mode("overwrite").json(f"{table}/marks/{RUN}={run}/{VERSION}={batch_id}")
+        if whole:
+            _drop_states(spark, table, before=since)
         batch.unpersist()
 
     writer = toggles.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def _drop_states(spark: SparkSession, table: str, before: tuple[int, int]) -> None:
+    """Remove the states of batches before a snapshot that is no longer the newest; the log stays."""
+    marks = _folders(spark, f"{table}/marks", MARKS).where(_place() < _at(*before))
+    for run, version, _ in marks.select(RUN, VERSION, "whole").toLocalIterator():
+        remove(spark, f"{table}/state/{RUN}={run}/{VERSION}={version}")
+        remove(spark, f"{table}/marks/{RUN}={run}/{VERSION}={version}")

@@ -55,6 +55,46 @@ def test_links(spark):
     assert kinds == ["home", "home", "scholar", "dblp", "other", "other"]
 
 
+def test_links_of_every_form(spark):
+    html = (
+        """<A HREF='/one'>a</A><a class=x href=two.html>b</a><a title="a > b" href="/three?a=1&amp;b=2">c</a>"""
+        """<a href = "//scholar.google.com/citations?user=1">d</a><a href="HTTPS://Scholar.Google.de/x">e</a>"""
+        """<a href="//dblp.org/pid/2">f</a><!-- <a href="/not"> --><script>x='<a href="/nor">'</script>"""
+        """<a data-href="/no" href="">g</a><a href="mailto:a@b">h</a><a href="#top">i</a><a href="//other.org">j</a><a>k</a>"""
+        """<p title=">" >l</p>""" + "<p " + "a='b' " * 20000 + ">m</p>"
+    )
+    rows = [(1, "//lab.example.org/", html), (2, "no scheme", '<a href="mailto:x">a</a><a href="https://lab.org">b</a>'), (3, "u", None)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string")
+    found = sorted(tuples(ingest.page_link_rows(pages)))
+    assert found == sorted([
+        (1, "/one", "home"), (1, "two.html", "home"), (1, "/three?a=1&b=2", "home"),
+        (1, "//scholar.google.com/citations?user=1", "scholar"), (1, "HTTPS://Scholar.Google.de/x", "scholar"),
+        (1, "//dblp.org/pid/2", "dblp"), (1, "", "home"), (1, "mailto:a@b", "other"), (1, "#top", "home"),
+        (1, "//other.org", "other"), (2, "mailto:x", "other"), (2, "https://lab.org", "other")])
+
+
+def test_null_passes_no_rule(spark):
+    rows = spark.createDataFrame([(1, 5), (2, -1), (3, None)], "id int, v int")
+    rules = [("low", F.col("v") < 0), ("odd", F.coalesce(F.col("v") % 2 == 1, F.lit(False)))]
+    marked = quality.checked(rows, rules).select("id", "status", "reasons")
+    assert sorted(tuples(marked)) == [(1, "quarantine", "odd"), (2, "quarantine", "low"), (3, "quarantine", "low")]
+    page = spark.createDataFrame([(1, "u", None)], "page_id int, url string, html string")
+    (found,) = quality.checked(ingest.measured_pages(page), ingest.page_rules()).collect()
+    assert found["status"] == "quarantine" and found["reasons"] == "no_title,short_text,no_links"
+
+
+def test_parts_delivered_again_or_without_a_place(spark):
+    rows = [("m", 0, "a"), ("m", 1, "b"), ("m", 1, "b"), ("m", 1, "bb"), ("m", None, "x"), ("m", None, "y"), (None, 3, "z")]
+    parts = spark.createDataFrame(rows, "message_id string, seq bigint, text string")
+    assert tuples(conversations.message_text(parts)) == [("m", 0, "ab", 2)]
+    assert conversations.unplaced(parts, "message_id", "seq").count() == 3
+
+
+def test_no_keywords_find_nothing(spark):
+    docs = spark.createDataFrame([(1, "text")], "doc_id bigint, text string")
+    assert search.keyword_search(docs, []).count() == 0
+
+
 def test_message_class(spark):
     values = ["Error: Invalid login credentials", "Email not confirmed", "User already registered", "?",
               "Email not confirmed / Invalid login credentials"]
@@ -112,7 +152,7 @@ def test_staged_load(spark, tmp_path):
     target = str(tmp_path / "final")
     files.staged_load(spark, crawl, rules, str(tmp_path / "stage"), current, target, ["id"], ["at"])
     assert sorted(tuples(spark.read.parquet(target))) == [("a", 5, 2), ("b", 1, 1), ("c", 7, 2)]
-    bad = spark.read.parquet(str(tmp_path / "stage/quarantine"))
+    bad = spark.read.parquet(str(tmp_path / "stage/status=quarantine"))
     assert tuples(bad.select("id", "reasons")) == [("d", "no_papers")]
 
 
@@ -164,8 +204,8 @@ def test_keyword_search(spark):
     assert sorted(tuples(search.keyword_search(docs, ["Robot", "vision"]))) == [(1, 1, 2), (2, 1, 1), (3, 2, 2)]
 
 
-@pytest.mark.parametrize("inline_limit", [10, 1], ids=["inline", "blocks"])
-def test_vector_topk(spark, inline_limit):
+@pytest.mark.parametrize("per_block", [10, 2, 1])
+def test_vector_topk(spark, per_block):
     rng = np.random.default_rng(0)
     points = rng.normal(size=(500, 4)).round(1)
     points[100:300] = points[100]  # a large group of equal vectors
@@ -173,10 +213,12 @@ def test_vector_topk(spark, inline_limit):
     rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(7)
     queries = [(0, [1.0, 0.0, 0.0, 0.0]), (1, [float(x) for x in points[100]]), (2, [0.5, -1.0, 2.0, 0.0])]
-    asked = spark.createDataFrame(queries, "qid bigint, vector array<double>")
+    nowhere = [(8, [0.0] * 4), (9, None)]
+    asked = spark.createDataFrame(queries + nowhere, "qid bigint, vector array<double>")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
     try:
-        nearest = search.vector_topk(df, asked, 9, inline_limit, shard=60)
+        nearest = search.vector_topk(df, asked, 9, per_block)
+        assert "Cogroup" not in nearest._jdf.queryExecution().toString()
         found = sorted(tuples(nearest.select("qid", "rk", "vec_id")))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -14,12 +14,11 @@ from tests import fixtures
 from tests.fixtures import tuples
 
 
-@pytest.fixture
-def small_taxonomy(monkeypatch):
-    monkeypatch.setattr(selection, "taxonomy_rows", lambda: fixtures.ROWS)
+SMALL_TAXONOMY = taxonomy.Taxonomy(fixtures.ROWS)
 
 
 def rank(spark, **how):
+    how.setdefault("taxonomy", SMALL_TAXONOMY)
     found = ranking.rank_universities(fixtures.labs(spark), fixtures.universities(spark), **how)
     return sorted(tuples(found))
 
@@ -47,7 +46,7 @@ def test_ranking_without_filter(spark):
         (None, ["CS"], []),
     ],
 )
-def test_ranking_filters(spark, small_taxonomy, chosen, enabled, expected):
+def test_ranking_filters(spark, chosen, enabled, expected):
     assert rank(spark, selection=chosen, enabled=enabled) == expected
 
 
@@ -66,9 +65,9 @@ def test_same_name_merges_and_null_papers_count_zero(spark):
         (["p1", "p3"], {"Systems": ["Databases"]}, ["AI"], ["p1", "p3"]),
     ],
 )
-def test_drilldown(spark, small_taxonomy, ids, chosen, enabled, expected):
+def test_drilldown(spark, ids, chosen, enabled, expected):
     labs = fixtures.labs(spark).where(F.col("id").isin(ids))
-    found = ranking.drilldown(labs, fixtures.universities(spark), chosen, enabled)
+    found = ranking.drilldown(labs, fixtures.universities(spark), chosen, enabled, SMALL_TAXONOMY)
     assert sorted(r["id"] for r in found.collect()) == expected
 
 
@@ -85,7 +84,7 @@ def test_drilldown_totals_equal_ranking(spark):
 
 
 def test_profile(spark):
-    found = taxonomy.with_field_profile(fixtures.labs(spark), fixtures.ROWS)
+    found = taxonomy.with_field_profile(fixtures.labs(spark), SMALL_TAXONOMY)
     profile = {r["id"]: [tuple(f) for f in r["research_fields"]] for r in found.collect()}
     assert profile["p1"] == [
         ("1", "Systems", ["Databases", "Computer security"]),
@@ -97,7 +96,7 @@ def test_profile(spark):
 def test_profile_repeats_and_first_category(spark):
     rows = [*fixtures.ROWS, (7, "Other", 9, "Systems", 4, "Compilers")]
     labs = fixtures.labs(spark, [("a", "u1", 1, 1, [2, 2]), ("b", "u1", 1, 1, [4, 2]), ("c", "u1", 1, 1, None)])
-    found = taxonomy.with_field_profile(labs, rows).collect()
+    found = taxonomy.with_field_profile(labs, taxonomy.Taxonomy(rows)).collect()
     profile = {r["id"]: [tuple(f) for f in r["research_fields"]] for r in found}
     assert profile["a"] == [("1", "Systems", ["Databases", "Databases"])]
     assert profile["b"] == [("7", "Systems", ["Compilers", "Databases"])]
@@ -106,7 +105,7 @@ def test_profile_repeats_and_first_category(spark):
 
 def test_profile_by_join_is_the_same(spark):
     labs = fixtures.labs(spark, [(f"x{i}", "u1", 1, 1, [(i * 7 + j * 5) % 30 for j in range(i % 6)]) for i in range(60)])
-    flat = taxonomy.with_field_profile(labs).select("id", F.explode("research_fields").alias("f"))
+    flat = taxonomy.with_field_profile(labs, taxonomy.listed()).select("id", F.explode("research_fields").alias("f"))
     nested = {(r["id"], r["f"]["field"]): (r["f"]["category"], r["f"]["sub_fields"]) for r in flat.collect()}
     dim = taxonomy.sub_field_dim(taxonomy.research_sub_fields(spark), taxonomy.research_fields(spark))
     joined = {(r["id"], r["field"]): (r["category"], r["sub_fields"])
@@ -117,8 +116,8 @@ def test_profile_by_join_is_the_same(spark):
 def test_three_forms_of_the_sub_field_test_agree(spark):
     labs = fixtures.labs(spark, [(f"x{i}", "u1", 1, 1, [(i * 7 + j * 5) % 30 for j in range(i % 6)]) for i in range(90)])
     chosen = {"Systems": ["Databases", "Computer networks"], "Theory": ["Cryptography"], "AI": []}
-    by_ids = labs.where(selection.ranking_filter(F.col("research_sub_fields"), chosen, None))
-    profiled = taxonomy.with_field_profile(labs)
+    by_ids = labs.where(selection.ranking_filter(F.col("research_sub_fields"), taxonomy.listed(), chosen, None))
+    profiled = taxonomy.with_field_profile(labs, taxonomy.listed())
     by_names = profiled.where(selection.profile_filter(F.col("research_fields"), chosen))
     rows = [(f, s) for f, subs in chosen.items() for s in subs]
     wanted = spark.createDataFrame(rows, "field string, sub_field string")
@@ -135,7 +134,7 @@ def test_adding_a_sub_field_never_removes_a_lab(spark):
     chosen: dict = {}
     for _, _, _, field, _, sub in taxonomy_rows()[::5]:
         chosen.setdefault(field, []).append(sub)
-        kept = labs.where(selection.ranking_filter(F.col("research_sub_fields"), chosen, None))
+        kept = labs.where(selection.ranking_filter(F.col("research_sub_fields"), taxonomy.listed(), chosen, None))
         now = {r["id"] for r in kept.collect()}
         assert before <= now
         before = now
@@ -146,7 +145,9 @@ def test_multi_selection_equals_single_rankings(spark):
     labs, unis = fixtures.labs(spark, rows), fixtures.universities(spark)
     choices = {"a": {"Systems": ["Databases"], "AI": ["Machine learning"]}, "b": {"Theory": ["Cryptography"]}}
     table = [(k, f, s) for k, c in choices.items() for f, subs in c.items() for s in subs]
-    every = tuples(ranking.rank_selections(labs, unis, spark.createDataFrame(table, schemas.SELECTIONS)))
+    every = tuples(ranking.rank_selections(
+        labs, unis, spark.createDataFrame(table, schemas.SELECTIONS),
+        taxonomy.research_sub_fields(spark), taxonomy.research_fields(spark)))
     for key, chosen in choices.items():
         single = sorted(tuples(ranking.rank_universities(labs, unis, chosen)))
         assert sorted(r[1:] for r in every if r[0] == key) == single

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import pytest
 
+from scholarmill.operators import ranking, taxonomy
 from scholarmill.plans import catalogue
 from scholarmill.sources.relations import SCHEMAS, Relations, publish
 from scholarmill.sources.tables import Tables
+from tests import fixtures
 from tests.conftest import SMALL
 
 SHARED = [
     "q_ranking_by_subfield", "q_ranking_by_field", "q_ranking_all", "q_ranking_multi_selection",
     "q_professor_directory", "q_field_profile", "q_lab_field_text", "q_drilldown_totals",
     "q_taxonomy_flat", "q_area_members", "q_user_bookmarks", "q_bookmarks_in_area",
-    "q_bookmark_counts", "q_professor_detail", "q_name_search",
+    "q_bookmark_counts", "q_professor_detail", "q_name_search", "q_ranking_refresh_diff", "q_drilldown",
+    "q_university_lab_pages",
 ]
 
 
@@ -35,6 +38,20 @@ def test_same_on_stored_relations(spark, relations, name):
     assert texts(fn(relations)) == texts(fn(Tables(spark, SMALL)))
 
 
+def test_taxonomy_with_other_ids(spark, tmp_path):
+    """Rankings follow the stored taxonomy, not the listed one."""
+    fields = spark.createDataFrame([(1, "Systems", 1), (2, "AI", 1)], SCHEMAS["research_fields"])
+    subs = spark.createDataFrame([(101, "Databases", 1), (102, "Machine learning", 2)], SCHEMAS["research_sub_fields"])
+    for name, df in {"research_fields": fields, "research_sub_fields": subs}.items():
+        df.write.parquet(str(tmp_path / name))
+    found = Relations(spark, str(tmp_path)).taxonomy()
+    labs = fixtures.labs(spark, [("a", "u1", 3, 1, [101]), ("b", "u2", 5, 1, [9]), ("c", "u2", 2, 1, [102, 101])])
+    ranked = ranking.rank_universities(labs, fixtures.universities(spark), {"Systems": ["Databases"]}, taxonomy=found)
+    assert sorted(fixtures.tuples(ranked)) == [(1, "Alpha", 3, 1), (2, "Beta", 2, 1)]
+    profile = taxonomy.with_field_profile(labs, found).where("id = 'c'").first()["research_fields"]
+    assert [tuple(f) for f in profile] == [("1", "AI", ["Machine learning"]), ("1", "Systems", ["Databases"])]
+
+
 def test_stored_schema_and_pruning(spark, relations):
     for name in SCHEMAS:
         assert relations.relation(name).count() > 0

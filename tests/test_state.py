@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scholarmill import schemas
-from scholarmill.constants import FIELDS
+from scholarmill.constants import FIELDS, taxonomy_rows
 from scholarmill.operators import bookmarks, positions, search, state
 from tests import fixtures
 from tests.fixtures import tuples
@@ -151,13 +151,13 @@ def test_latest(spark):
 def test_recommend_skips_long_runs_of_bookmarks(spark):
     """A user who holds most of the top of the list still gets the best five of the rest."""
     rng = random.Random(8)
-    rows = [(f"p{i:03d}", "u1", rng.randint(0, 6), 1, rng.sample(range(1, 26), rng.randint(0, 3)))
+    rows = [(f"p{i:03d}", "u1", rng.randint(0, 6), 1, rng.sample([*range(1, 28), 55, 99], rng.randint(0, 3)))
             for i in range(120)]
     labs = fixtures.labs(spark, rows)
     held = {"few": {"p001", "p002"}, "many": {r[0] for r in rows if rng.random() < 0.9},
             "all": {r[0] for r in rows}, "odd": {"nowhere"}}
     marks = spark.createDataFrame([(u, l) for u, s in held.items() for l in s], schemas.BOOKMARKS)
-    area = lambda ids: {a for a, _, m in __import__("scholarmill.constants").constants.AREAS if set(m) & set(ids)}
+    area = lambda ids: {r[3] for r in taxonomy_rows() if r[4] in ids}
     expected = set()
     for user, mine in held.items():
         interest = set().union(*[area(r[4]) for r in rows if r[0] in mine])
@@ -166,3 +166,11 @@ def test_recommend_skips_long_runs_of_bookmarks(spark):
         for place, (score, _, lab) in enumerate(sorted(scored)[:5], start=1):
             expected.add((user, lab, -score, place))
     assert set(tuples(search.recommend(labs, marks, 5))) == expected and len(expected) >= 10
+
+
+def test_recommend_reaches_every_sub_field(spark):
+    """26 and 27 are in the interdisciplinary field though in no area; 55 is in the last field."""
+    rows = [("p1", "u1", 9, 1, [26]), ("p2", "u1", 5, 1, [27]), ("p3", "u1", 7, 1, [55]), ("p4", "u1", 1, 1, [55, 26]), ("p5", "u1", 8, 1, [1])]
+    marks = spark.createDataFrame([("a", "p1"), ("b", "p3")], schemas.BOOKMARKS)
+    found = sorted(tuples(search.recommend(fixtures.labs(spark, rows), marks, 5)))
+    assert found == [("a", "p2", 1, 1), ("a", "p4", 1, 2), ("b", "p4", 1, 1)]

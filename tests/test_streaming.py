@@ -51,7 +51,7 @@ def test_selection_stream(spark, tmp_path, cuts, every):
     run = jobs.selection_stream(stream, table, str(tmp_path / "cp"), {"processingTime": "0 seconds"}, every)
     run.processAllAvailable()
     run.stop()
-    assert folded(jobs.selection_state(spark, table, every)) == replay(events)
+    assert folded(jobs.selection_state(spark, table)) == replay(events)
 
 
 def test_selection_stream_goes_on_after_a_restart(spark, tmp_path):
@@ -64,6 +64,51 @@ def test_selection_stream_goes_on_after_a_restart(spark, tmp_path):
     assert folded(jobs.selection_state(spark, table)) == replay(events)
 
 
+def load_selection(spark, events, folder, table, cp, every=100):
+    spark.createDataFrame(events, schemas.TOGGLE_EVENTS).coalesce(1).write.mode("append").parquet(folder)
+    stream = jobs.read_events(spark, folder, schemas.TOGGLE_EVENTS, 1)
+    jobs.selection_stream(stream, table, cp, snapshot_every=every).awaitTermination(180)
+
+
+def test_selection_stream_with_a_new_checkpoint(spark, tmp_path):
+    """A second source with its own checkpoint adds to the table, also behind a snapshot."""
+    events = presses(4, 240, ["a", "b"])
+    table = str(tmp_path / "state")
+    for i, part in enumerate((events[:80], events[80:160], events[160:])):
+        load_selection(spark, part, str(tmp_path / f"in{i}"), table, str(tmp_path / f"cp{i}"), every=1)
+    assert folded(jobs.selection_state(spark, table)) == replay(events)
+
+
+def test_selection_stream_with_late_presses(spark, tmp_path):
+    events = presses(6, 200, ["a", "b"])
+    late = events[::3]
+    folder, table, cp = (str(tmp_path / n) for n in ("in", "state", "cp"))
+    for part in ([e for e in events if e not in late], late[50:], late[:50]):
+        load_selection(spark, part, folder, table, cp, every=2)
+    assert folded(jobs.selection_state(spark, table)) == replay(events)
+
+
+def test_table_keeps_its_rows(spark, tmp_path):
+    """Compacting, a new checkpoint, a second source: no row is lost."""
+    schema, keys, order = "id string, v bigint, ts bigint", ["id"], ["ts"]
+    parts = [[("a", 1, 1), ("b", 1, 1)], [("c", 2, 2)], [("b", 3, 3)], [("d", 4, 4), ("a", 0, 0)]]
+    table, small = str(tmp_path / "t"), str(tmp_path / "small")
+
+    def load(i, target):
+        folder = str(tmp_path / f"in{i}")
+        spark.createDataFrame(parts[i], schema).coalesce(1).write.parquet(folder)
+        jobs.refresh(jobs.read_events(spark, folder, schema), target, str(tmp_path / f"cp{i}"), keys, order).awaitTermination(120)
+
+    assert jobs.current(spark, table, schema, keys, order).count() == 0
+    load(0, table)
+    load(1, table)
+    jobs.compact(spark, table, schema, keys, order, small)
+    load(2, small)
+    load(3, small)
+    assert sorted(tuples(jobs.current(spark, small, schema, keys, order))) == [("a", 1, 1), ("b", 3, 3), ("c", 2, 2), ("d", 4, 4)]
+    assert sorted(tuples(jobs.current(spark, table, schema, keys, order))) == [("a", 1, 1), ("b", 1, 1), ("c", 2, 2)]
+
+
 def test_refresh_and_compact(spark, tmp_path):
     rng = random.Random(2)
     schema = "id string, papers bigint, ts bigint, seq bigint"
