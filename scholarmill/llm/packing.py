@@ -290,7 +290,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> Da
     places for their length. An empty table gives no rows.
     """
     unique = [c for c in ("doc_id", "piece", "start", "ids_crc32") if c in items.columns]
-    ranked = stored(with_positions(items, ["length"], [F.col(c) for c in unique], "rank"))
+    # The sort looks at its input twice, once for the ranges; stored, texts are tokenized once.
+    ranked = stored(with_positions(stored(items), ["length"], [F.col(c) for c in unique], "rank"))
     # One row per length: the capacity bounds what comes to the driver.
     counts = {r["length"]: r["count"] for r in ranked.groupBy("length").count().collect()}
     table = plan(counts, capacity, groups)
