@@ -11,6 +11,7 @@ every piece looks up its own place.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from bisect import bisect_left, bisect_right
@@ -37,9 +38,11 @@ GROUPS = 256
 
 #: White space to Python's split() but not to the tokenizer.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
-_MARK = "~"
 _LONGEST_CACHED = 64
 _CACHED = 600_000
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+#: How byte-level tokenizers write a byte: itself if it prints, else the next letter from U+0100 on.
+_BYTE_NAMES = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTED)}
 
 
 class Coder:
@@ -48,74 +51,80 @@ class Coder:
     A text's ids are those of its white-space separated parts, so parts are looked up in a bounded
     cache, and only unknown ones go through the tokenizer, many at once. A part of plain letters with
     one full stop or comma behind it is two tokens' worth: the letters and the mark.
+
+    Lower-cased letters are one word to the tokenizer's splitter. They skip it: a second tokenizer with
+    the same merges, which splits at spaces only, takes their bytes in the form the splitter would pass
+    on, and a word ends with the token that bears the end-of-word suffix. Everything else goes through
+    the tokenizer as it is.
     """
 
     def __init__(self, file: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True
+        with open(file, encoding="utf-8") as text:
+            plain = json.load(text)
+        plain |= {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}
+        self.words = Tokenizer.from_str(json.dumps(plain))
+        self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocabulary, suffix = plain["model"]["vocab"], plain["model"]["end_of_word_suffix"]
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.parts: dict[str, bytes] = {}
         self.bases: dict[str, bytes] = {}
-        (self.mark,) = self._whole(_MARK)
-        self.ends = {c: self._bytes(self._whole(c)) for c in ".,"}
-
-    def _whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    @staticmethod
-    def _bytes(ids) -> bytes:
-        return np.asarray(ids, "<u4").tobytes()
-
-    def _tokenize(self, parts: list[str]) -> list[bytes]:
-        """Ids of each part; parts without the mark are joined by it and cut at its id."""
-        out = {p: self._bytes(self._whole(p)) for p in parts if _MARK in p}
-        joined = [p for p in parts if _MARK not in p]
-        groups = [joined[i : i + 500] for i in range(0, len(joined), 500)]
-        texts = [f" {_MARK} ".join(g) for g in groups]
-        for group, coded in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.asarray(coded.ids, "<u4")
-            cuts = np.flatnonzero(ids == self.mark)
-            for part, a, b in zip(group, [0, *(cuts + 1)], [*cuts, len(ids)]):
-                out[part] = ids[a:b].tobytes()
-        return [out[p] for p in parts]
-
-    @staticmethod
-    def _split(part: str) -> tuple[str, str]:
-        """What to look up of a part, and the mark behind it."""
-        if part.isascii() or max(part) <= "\xff":  # where lower-casing is letter by letter
-            low = part.lower()
-            if low[-1] in ".," and low[:-1].isalpha():
-                return low[:-1], low[-1]
-            return low, ""
-        return part, ""
+        self.marks = {c: self._whole(c) for c in ".,"}
+
+    def _whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _letters(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of lower-cased words of letters."""
+        for i in range(0, len(words), 1000):
+            some = [w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_NAMES) for w in words[i : i + 1000]]
+            ids = np.asarray(self.words.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = (np.flatnonzero(self.ends_word[ids]) + 1) * 4
+            raw = ids.tobytes()
+            yield from (raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()))
 
     def learn(self, parts: set[str]) -> None:
         """Put parts that are not known into the cache."""
         if len(self.parts) + len(parts) > _CACHED:
             self.parts = {}
-        halves = {p: self._split(p) for p in parts}
-        new = list({base for base, _ in halves.values()} - self.bases.keys())
-        if len(self.bases) + len(new) > _CACHED:
+        if len(self.bases) + len(parts) > _CACHED:
             self.bases = {}
-            new = list({base for base, _ in halves.values()})
-        self.bases.update(zip(new, self._tokenize(new)))
-        for part, (base, end) in halves.items():
-            self.parts[part] = self.bases[base] + self.ends[end] if end else self.bases[base]
+        split, new = [], set()
+        for part in parts:
+            # Up to this letter lower-casing is letter by letter, and nothing composes or decomposes.
+            if part.isascii() or max(part) <= "\xff":
+                low, mark = part.lower(), ""
+                if low[-1] in ".,":
+                    low, mark = low[:-1], low[-1]
+                if low.isalpha():
+                    split.append((part, low, mark))
+                    if low not in self.bases:
+                        new.add(low)
+                    continue
+            self.parts[part] = self._whole(part)
+        new = list(new)
+        self.bases.update(zip(new, self._letters(new)))
+        bases, marks = self.bases, self.marks
+        self.parts.update((part, bases[low] + marks[mark] if mark else bases[low]) for part, low, mark in split)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         split = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
-        self.learn({p for parts in split if parts for p in parts if len(p) <= _LONGEST_CACHED} - self.parts.keys())
+        needed = set().union(*(parts for parts in split if parts))
+        self.learn({p for p in needed.difference(self.parts) if len(p) <= _LONGEST_CACHED})
         known = self.parts
         for text, parts in zip(texts, split):
             if parts is None:
-                yield self._bytes(self._whole(text))
+                yield self._whole(text)
                 continue
             try:
                 yield b"".join([known[p] for p in parts])
             except KeyError:  # long parts, or the cache was emptied by what came since
-                yield b"".join([known[p] if p in known else self._bytes(self._whole(p)) for p in parts])
+                yield b"".join([known[p] if p in known else self._whole(p) for p in parts])
 
 
 @cache
