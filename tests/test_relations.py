@@ -16,7 +16,6 @@ SHARED = [
     "q_professor_directory", "q_field_profile", "q_lab_field_text", "q_drilldown_totals",
     "q_taxonomy_flat", "q_area_members", "q_user_bookmarks", "q_bookmarks_in_area",
     "q_bookmark_counts", "q_professor_detail", "q_name_search", "q_ranking_refresh_diff", "q_drilldown",
-    "q_university_lab_pages",
 ]
 
 
