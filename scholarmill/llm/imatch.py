@@ -125,7 +125,8 @@ def _key() -> Column:
 
 
 def _neighbours(docs: DataFrame) -> DataFrame:
-    """key, copies, and of the one before it by falling doc_id to_key and wanted, a third of its length.
+    """key, doc_id, copies, and of the one before it by falling doc_id to_key and wanted, a third of its
+    length.
 
     Ties of doc_id go by key; a null doc_id comes last; the one before the first is the last one.
     """
@@ -133,12 +134,12 @@ def _neighbours(docs: DataFrame) -> DataFrame:
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _key().alias("key"), length.alias("n_chars"))
     once = thin.groupBy("doc_id", "key", "n_chars").agg(F.count("*").alias("copies"))
     placed = stored(with_positions(once, [], [F.col("doc_id").desc_nulls_last(), F.col("key")], "place"))
-    last = F.broadcast(placed.agg(F.max("place").alias("last")))
-    before = placed.crossJoin(last).select(
+    last = placed.agg(F.max("place")).first()[0]
+    before = placed.select(
         F.col("key").alias("to_key"), F.floor(F.col("n_chars") / 3).cast("int").alias("wanted"),
-        F.expr("if(place = last, 1, place + 1)").alias("place"),
+        F.when(F.col("place") == F.lit(last), 1).otherwise(F.col("place") + 1).alias("place"),
     )
-    return placed.join(before, "place").select("key", "copies", "to_key", "wanted")
+    return placed.join(before, "place").select("key", "doc_id", "copies", "to_key", "wanted")
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
@@ -150,10 +151,9 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     ties of doc_id go by the text's SHA-256; a null doc_id comes last. Other columns are ignored, an
     empty table gives no rows.
     """
-    texts = docs.select(
-        _key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
-    ).dropDuplicates(["key"])
-    # Whole texts move once, by their own key, and beginnings of texts once, to their predecessors.
+    texts = docs.select(_key().alias("key"), F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["key"])
+    # Whole texts move once, by their own key, and beginnings of texts once, to their predecessors. Both
+    # uses of the texts read the same columns, so that they share one shuffle.
     own = texts.join(_neighbours(docs), "key")
     graft = own.select(F.col("to_key").alias("key"), F.expr("substring(text, 1, wanted)").alias("graft"))
     n_chars = F.length("text").cast("long")
