@@ -42,10 +42,15 @@ def assign(sizes: DataFrame, loads: DataFrame, shards: int) -> DataFrame:
     ``loads`` has the bytes that each shard holds already. The fold runs over one array with a struct
     per slot, so its length is the number of slots whatever the data.
     """
-    start = F.array_agg(F.struct("shard", "load"))
-    held = loads.agg(F.transform(F.array_sort(start), lambda x: x.load).alias("held"))
-    queue = sizes.agg(F.array_sort(F.collect_list(F.struct((-F.col("bytes")).alias("minus"), "virtual_slot"))).alias("queue"))
-    folded = queue.crossJoin(F.broadcast(held)).select(
+    slot = F.struct((-F.col("bytes")).alias("minus"), F.col("virtual_slot"))
+    shard = F.struct("shard", "load")
+    both = sizes.select("virtual_slot", "bytes").unionByName(loads.select("shard", "load"), allowMissingColumns=True)
+    folded = both.agg(
+        F.array_sort(F.collect_list(F.when(F.col("virtual_slot").isNotNull(), slot))).alias("queue"),
+        F.transform(
+            F.array_sort(F.collect_list(F.when(F.col("shard").isNotNull(), shard))), lambda x: x.load
+        ).alias("held"),
+    ).select(
         F.expr(
             f"""aggregate(queue,
                 named_struct('held', transform(sequence(0, {shards - 1}), i -> coalesce(get(held, i), 0L)),
@@ -75,14 +80,11 @@ def edit_map(current: DataFrame, sizes: DataFrame, shards: int) -> DataFrame:
     dealt anew. With more shards of even load they all go to the new ones.
     """
     placed = current.join(sizes, "virtual_slot")
-    fair = sizes.agg(F.ceil(F.sum("bytes") / shards).alias("fair"))
+    fair = -(-sizes.agg(F.sum("bytes")).first()[0] // shards)
     # Windows over the rows of the map, whose number is fixed.
-    told = placed.crossJoin(F.broadcast(fair)).withColumn(
-        "up_to", F.expr("sum(bytes) OVER (PARTITION BY shard ORDER BY virtual_slot)")
-    )
-    told = stored(told)
-    stay = told.where("up_to <= fair").select("virtual_slot", "shard", "version", "bytes")
-    go = told.where("up_to > fair").select("virtual_slot", "bytes")
+    told = stored(placed.withColumn("up_to", F.expr("sum(bytes) OVER (PARTITION BY shard ORDER BY virtual_slot)")))
+    stay = told.where(F.col("up_to") <= fair).select("virtual_slot", "shard", "version", "bytes")
+    go = told.where(F.col("up_to") > fair).select("virtual_slot", "bytes")
     loads = (
         sizes.sparkSession.range(shards)
         .select(F.col("id").cast("int").alias("shard"))
