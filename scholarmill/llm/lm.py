@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholarmill.llm.common import doc_hash
-from scholarmill.session import stored
+from scholarmill.session import scratch_folder, stored
 
 HELD_OUT = (7, 2)  # crc32(doc_id as text) mod 7 is 2
 ORDER = 3
@@ -74,7 +74,11 @@ def _chunked(docs: DataFrame) -> DataFrame:
                 names=["doc_id", "held_out", "text", "n", "chunk"],
             )
 
-    return stored(rows.mapInArrow(run, "doc_id long, held_out boolean, text string, n long, chunk long"))
+    chunked = rows.mapInArrow(run, "doc_id long, held_out boolean, text string, n long, chunk long")
+    # The one stored table with whole texts; read three times, it is worth the better compression.
+    path = f"{scratch_folder(docs.sparkSession)}/chunked"
+    chunked.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(chunked.schema).parquet(path)
 
 
 def _by_bucket(words: Counter) -> Iterator[tuple[int, bytes, bytes]]:
