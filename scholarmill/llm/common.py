@@ -35,12 +35,12 @@ def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
     ``copies`` is the number of rows of ``docs`` with the key. Keys compare null-safe. Only rows that
     are repeated go through a grouping of whole rows.
     """
-    wanted = keys.select(F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"), F.col("copies").alias("_copies"))
-    told = docs.withColumn("_key", text_sha())
-    match = (F.col("_key") == F.col("_sha")) & docs["doc_id"].eqNullSafe(F.col("_id"))
-    once = told.join(wanted.where("_copies = 1"), match, "left_semi").drop("_key")
-    again = told.join(wanted.where("_copies > 1"), match, "left_semi").dropDuplicates(["doc_id", "_key"])
-    return once.unionByName(again.drop("_key"))
+    wanted = keys.select(F.col("doc_id").alias("_llm_id"), F.col("sha").alias("_llm_sha"), F.col("copies").alias("_llm_copies"))
+    told = docs.withColumn("_llm_key", text_sha())
+    match = (F.col("_llm_key") == F.col("_llm_sha")) & docs["doc_id"].eqNullSafe(F.col("_llm_id"))
+    once = told.join(wanted.where("_llm_copies = 1"), match, "left_semi").drop("_llm_key")
+    again = told.join(wanted.where("_llm_copies > 1"), match, "left_semi").dropDuplicates(["doc_id", "_llm_key"])
+    return once.unionByName(again.drop("_llm_key"))
 
 
 def doc_hash() -> Column:

@@ -282,10 +282,10 @@ def sanitise(docs: DataFrame) -> DataFrame:
     and the texts without spans stay as they are, nulls too.
     """
     changed = find(docs).where(F.size("spans") > 0).select(
-        F.col("doc_id").alias("_id"), F.col("sha").alias("_sha"), F.col("spans").alias("_spans")
-    ).dropDuplicates(["_id", "_sha"])
-    told = docs.withColumn("_key", text_sha())
-    match = (F.col("_key") == F.col("_sha")) & docs["doc_id"].eqNullSafe(F.col("_id"))
+        F.col("doc_id").alias("_llm_id"), F.col("sha").alias("_llm_sha"), F.col("spans").alias("_llm_spans")
+    ).dropDuplicates(["_llm_id", "_llm_sha"])
+    told = docs.withColumn("_llm_key", text_sha())
+    match = (F.col("_llm_key") == F.col("_llm_sha")) & docs["doc_id"].eqNullSafe(F.col("_llm_id"))
 
     @F.pandas_udf("string")
     def cleaned(texts, spans):
@@ -293,10 +293,10 @@ def sanitise(docs: DataFrame) -> DataFrame:
 
     found = told.join(changed, match, "left")
     # Texts without spans do not travel.
-    new = cleaned(F.when(F.col("_spans").isNotNull(), F.col("text")), F.col("_spans"))
-    found = found.withColumn("_new", new)
-    values = {"text": F.coalesce("_new", "text")}
+    new = cleaned(F.when(F.col("_llm_spans").isNotNull(), F.col("text")), F.col("_llm_spans"))
+    found = found.withColumn("_llm_new", new)
+    values = {"text": F.coalesce("_llm_new", "text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        values["n_chars"] = F.when(F.col("_new").isNotNull(), F.length("_new").cast(kind)).otherwise(F.col("n_chars"))
+        values["n_chars"] = F.when(F.col("_llm_new").isNotNull(), F.length("_llm_new").cast(kind)).otherwise(F.col("n_chars"))
     return found.select(*[values.get(c, F.col(c)).alias(c) for c in docs.columns])
