@@ -19,6 +19,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
 from itertools import accumulate
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +51,7 @@ class Coder:
 
     A text's ids are those of its white-space separated parts, so parts are looked up in a bounded
     cache, and only unknown ones go through the tokenizer, many at once. A part of plain letters with
-    one full stop or comma behind it is two tokens' worth: the letters and the mark.
+    marks behind it is split like the tokenizer does: the letters, and all marks as one.
 
     Lower-cased letters are one word to the tokenizer's splitter. They skip it: a second tokenizer with
     the same merges, which splits at spaces only, takes their bytes in the form the splitter would pass
@@ -73,16 +74,17 @@ class Coder:
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.parts: dict[str, bytes] = {}
         self.bases: dict[str, bytes] = {}
-        self.marks = {c: self._whole(c) for c in ".,"}
+        self.marks: dict[str, bytes] = {"": b""}  # of up to four ASCII marks; emptied with the words
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _letters(self, words: list[str]) -> Iterator[bytes]:
         """Ids of lower-cased words of letters."""
-        for i in range(0, len(words), 1000):
-            some = [w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_NAMES) for w in words[i : i + 1000]]
-            ids = np.asarray(self.words.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+        for i in range(0, len(words), 10_000):
+            some = [w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_NAMES) for w in words[i : i + 10_000]]
+            (coded,) = self.words.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.asarray(coded.ids, "<u4")
             ends = (np.flatnonzero(self.ends_word[ids]) + 1) * 4
             raw = ids.tobytes()
             yield from (raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()))
@@ -92,24 +94,26 @@ class Coder:
         if len(self.parts) + len(parts) > _CACHED:
             self.parts = {}
         if len(self.bases) + len(parts) > _CACHED:
-            self.bases = {}
+            self.bases, self.marks = {}, {"": b""}
         split, new = [], set()
         for part in parts:
             # Up to this letter lower-casing is letter by letter, and nothing composes or decomposes.
             if part.isascii() or max(part) <= "\xff":
-                low, mark = part.lower(), ""
-                if low[-1] in ".,":
-                    low, mark = low[:-1], low[-1]
-                if low.isalpha():
+                whole = part.lower()
+                low = whole.rstrip(punctuation)
+                mark = whole[len(low) :]
+                if low.isalpha() and len(mark) <= 4:
                     split.append((part, low, mark))
                     if low not in self.bases:
                         new.add(low)
+                    if mark not in self.marks:
+                        self.marks[mark] = self._whole(mark)
                     continue
             self.parts[part] = self._whole(part)
         new = list(new)
         self.bases.update(zip(new, self._letters(new)))
         bases, marks = self.bases, self.marks
-        self.parts.update((part, bases[low] + marks[mark] if mark else bases[low]) for part, low, mark in split)
+        self.parts.update((part, bases[low] + marks[mark]) for part, low, mark in split)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""

@@ -16,6 +16,7 @@ from tests.conftest import SMALL
 FILE = public_tokenizers.path("word_bpe_49k.json")
 ODD = ["", " ", "a~b ~", "x\x1cy\x1d", "It's 12 o'clock... ok,. A.b", "ÉÈ, ß. ſ K İi ǅ", "é ́x", "wor" * 40 + ".", "<|endoftext|> hi",
        "a b c\u0085d", "日本語 テスト。", "ª. º, µ. Σς ΣΣ.", "​ ﻿.", "9,9. ½."]
+ODD += ["ab### CD!! é&&& x's' y'll. z''' q'T, ___ a_b_ a__ ab#.,% ab#.,%% ~a~ a~~", "~ | ` a` ^b b^ µ! ß?"]
 
 
 def reference(texts):
