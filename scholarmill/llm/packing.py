@@ -40,7 +40,7 @@ GROUPS = 256
 #: White space to Python's split() but not to the tokenizer.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _LONGEST_CACHED = 64
-_CACHED = 600_000
+_CACHED = 400_000
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: How byte-level tokenizers write a byte: itself if it prints, else the next letter from U+0100 on.
 _BYTE_NAMES = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTED)}

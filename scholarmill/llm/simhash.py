@@ -33,7 +33,7 @@ SHINGLE = 4
 SEED = 42
 ROUTE_BITS = 12
 #: Variants held at once in a task.
-VARIANTS = 1 << 22
+VARIANTS = 1 << 21
 #: Bytes of text split into words at once.
 CHUNK = 1 << 20
 _SPACE = b" \t\n\x0b\x0c\r"
