@@ -39,13 +39,37 @@ GROUPS = 256
 
 #: White space to Python's split() but not to the tokenizer.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
+_SPACE = re.compile("[ \t\n\r]")
 _LONGEST_CACHED = 64
-_CACHED = 400_000
+#: Characters of text whose words are held at once.
+BATCH_CHARS = 4_000_000
+#: Words of a generation of a cache; there are two.
+_CACHED = 200_000
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: How byte-level tokenizers write a byte: itself if it prints, else the next letter from U+0100 on.
 _BYTE_NAMES = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTED)}
 
 
+class Recent:
+    """A bounded cache of two generations. What is asked for again lives on; the rest goes with its own."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def found(self, words: set[str]) -> dict[str, bytes]:
+        young, old = self.young, self.old
+        out = {w: young[w] for w in words & young.keys()}
+        again = {w: old[w] for w in (words - out.keys()) & old.keys()}
+        self.put(again)
+        return out | again
+
+    def put(self, items: dict[str, bytes]) -> None:
+        self.young.update(items)
+        if len(self.young) > _CACHED:
+            self.old, self.young = self.young, {}
+
+
 class Coder:
     """Ids of texts by a tokenizer that drops white space and never merges across it.
 
@@ -72,9 +96,7 @@ class Coder:
         vocabulary, suffix = plain["model"]["vocab"], plain["model"]["end_of_word_suffix"]
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-        self.parts: dict[str, bytes] = {}
-        self.bases: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {"": b""}  # of up to four ASCII marks; emptied with the words
+        self.parts, self.bases, self.marks = Recent(), Recent(), Recent()
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -89,46 +111,42 @@ class Coder:
             raw = ids.tobytes()
             yield from (raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()))
 
-    def learn(self, parts: set[str]) -> None:
-        """Put parts that are not known into the cache."""
-        if len(self.parts) + len(parts) > _CACHED:
-            self.parts = {}
-        if len(self.bases) + len(parts) > _CACHED:
-            self.bases, self.marks = {}, {"": b""}
-        split, new = [], set()
+    def learn(self, parts: set[str]) -> dict[str, bytes]:
+        """Ids of parts that are not in the cache, which then are."""
+        split, out = [], {}
         for part in parts:
             # Up to this letter lower-casing is letter by letter, and nothing composes or decomposes.
             if part.isascii() or max(part) <= "\xff":
                 whole = part.lower()
                 low = whole.rstrip(punctuation)
-                mark = whole[len(low) :]
-                if low.isalpha() and len(mark) <= 4:
-                    split.append((part, low, mark))
-                    if low not in self.bases:
-                        new.add(low)
-                    if mark not in self.marks:
-                        self.marks[mark] = self._whole(mark)
+                if low.isalpha():
+                    split.append((part, low, whole[len(low) :]))
                     continue
-            self.parts[part] = self._whole(part)
-        new = list(new)
-        self.bases.update(zip(new, self._letters(new)))
-        bases, marks = self.bases, self.marks
-        self.parts.update((part, bases[low] + marks[mark]) for part, low, mark in split)
+            out[part] = self._whole(part)
+        lows, ends = {low for _, low, _ in split}, {end for _, _, end in split if end}
+        bases, marks = self.bases.found(lows), self.marks.found(ends)
+        new = list(lows - bases.keys())
+        more = dict(zip(new, self._letters(new)))
+        more_marks = {end: self._whole(end) for end in ends - marks.keys()}
+        self.bases.put(more)
+        self.marks.put(more_marks)
+        bases |= more
+        marks |= more_marks
+        out.update((part, bases[low] + marks[end] if end else bases[low]) for part, low, end in split)
+        self.parts.put(out)
+        return out
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         split = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
         needed = set().union(*(parts for parts in split if parts))
-        self.learn({p for p in needed.difference(self.parts) if len(p) <= _LONGEST_CACHED})
-        known = self.parts
+        long = {p for p in needed if len(p) > _LONGEST_CACHED}
+        needed -= long
+        known = self.parts.found(needed)
+        known |= self.learn(needed - known.keys())
+        known |= {p: self._whole(p) for p in long}
         for text, parts in zip(texts, split):
-            if parts is None:
-                yield self._whole(text)
-                continue
-            try:
-                yield b"".join([known[p] for p in parts])
-            except KeyError:  # long parts, or the cache was emptied by what came since
-                yield b"".join([known[p] if p in known else self._whole(p) for p in parts])
+            yield self._whole(text) if parts is None else b"".join([known[p] for p in parts])
 
 
 @cache
@@ -137,6 +155,39 @@ def coder(file: str) -> Coder:
     return Coder(file)
 
 
+def _segments(text: str) -> Iterator[str]:
+    """A text in pieces of bounded length, cut at white space, whose ids follow each other."""
+    start = 0
+    while len(text) - start > BATCH_CHARS:
+        cut = _SPACE.search(text, start + BATCH_CHARS)
+        if not cut:
+            break
+        yield text[start : cut.start()]
+        start = cut.start()
+    yield text[start:]
+
+
+def _coded(code: Coder, texts: list[str]) -> list[bytes]:
+    """Ids of each text; no more than about ``BATCH_CHARS`` are split into words at once."""
+    out: list[list[bytes]] = [[] for _ in texts]
+    some: list[tuple[int, str]] = []
+    size = 0
+
+    def flush():
+        for (row, _), ids in zip(some, code.encode([s for _, s in some])):
+            out[row].append(ids)
+
+    for row, text in enumerate(texts):
+        for segment in _segments(text):
+            some.append((row, segment))
+            size += len(segment)
+            if size > BATCH_CHARS:
+                flush()
+                some, size = [], 0
+    flush()
+    return [b"".join(parts) for parts in out]
+
+
 def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids as bytes) of every piece of every row.
 
@@ -150,11 +201,11 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, with_
     def run(batches):
         code = coder(tokenizer_file)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
                 ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
                 rows = []
-                for doc, coded in zip(ids, code.encode([t or "" for t in texts])):
+                for doc, coded in zip(ids, _coded(code, [t or "" for t in texts])):
                     coded += END
                     for n, a in enumerate(range(0, len(coded), width)):
                         cut = coded[a : a + width]

@@ -33,6 +33,12 @@ def test_ids_are_the_tokenizers(spark):
         assert found == reference(texts)
 
 
+def test_long_texts_in_segments(monkeypatch):
+    monkeypatch.setattr(packing, "BATCH_CHARS", 9)
+    texts = [*ODD, "one two, three. four five six seven", "no" * 30, "a " * 40]
+    assert [np.frombuffer(b, "<u4").tolist() for b in packing._coded(packing.Coder(FILE), texts)] == reference(texts)
+
+
 def test_small_cache(monkeypatch):
     monkeypatch.setattr(packing, "_CACHED", 3)
     coder = packing.Coder(FILE)
