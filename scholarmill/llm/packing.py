@@ -42,7 +42,7 @@ _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _SPACE = re.compile("[ \t\n\r]")
 _LONGEST_CACHED = 64
 #: Characters of text whose words are held at once.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 8_000_000
 #: Words of a generation of a cache; there are two.
 _CACHED = 200_000
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -201,8 +201,8 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, with_
     def run(batches):
         code = coder(tokenizer_file)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
                 ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
                 rows = []
                 for doc, coded in zip(ids, _coded(code, [t or "" for t in texts])):
