@@ -1,24 +1,28 @@
 """Language-model scores by a weighted backoff automaton.
 
-Counting. Documents are stored once with a chunk number (a few MB of text each). Every chunk sends its
-distinct words, with their training counts, to fixed hash buckets; a bucket's counts are summed in one
-streaming pass that holds only the bucket's own words. The sums return to the chunks in the same way,
-so each chunk is scored with the exact count of each of its words and no table of all words is ever in
-one place.
-
-The automaton. Contexts are n-grams of frequent words (a fixed share of all training tokens), and a
-context has an arc for each frequent word that follows it often enough. Both thresholds are shares of
-the tokens, so the automaton's size is bounded whatever the input: at most 1 / ARC_SHARE arcs an order.
-Arcs carry discounted log-probabilities; a failure arc leads to the longest shorter context with the
-weight of what the discounts left over; the root has the add-one unigram of every word. Probabilities
-of a state sum to 1. A text is one walk from the start state, left to right, that adds up the weights.
+Counting. Documents are stored once in chunks of a few MB of text, as places in the chunk's own list of
+words. Every chunk sends its distinct words, with their training counts, to fixed hash buckets; a bucket
+sums its own words and answers each request with sums and numbers. So each chunk is scored with the
+exact count of each of its words and no table of all words is ever in one place.
+
+The automaton. Every word of the training documents is a context, and so is every n-gram that occurs
+``LEAST`` times; a context has an arc for each word that follows it as often. The threshold is a number,
+not a share, so the automaton grows with the input. Arcs carry discounted log-probabilities; a failure
+arc leads to the longest shorter context with the weight of what the discounts left over; the root has
+the add-one unigram of every word. Probabilities of a state sum to 1.
+
+It is never in one place. Words are numbered by bucket and place in it, n-grams of each order likewise,
+so an n-gram is the number of its context and of its last word. Order by order, a chunk sends its
+distinct n-grams with their training counts to the bucket of their context and gets back their sums,
+their numbers and the context's failure weight. An n-gram of which some part is no arc cannot be one
+and is not sent. Contexts with more than ``HOT`` occurrences are dealt out by last word as well, and
+their failure weights, one number each, are put together from partial sums.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,18 +32,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholarmill.llm.common import doc_hash
-from scholarmill.session import scratch_folder, stored
+from scholarmill.session import stored
 
 HELD_OUT = (7, 2)  # crc32(doc_id as text) mod 7 is 2
 ORDER = 3
-#: Share of the training tokens from which a word, or an n-gram as a context, is frequent.
-CONTEXT_SHARE = 1e-4
-#: Share from which an n-gram is an arc.
-ARC_SHARE = 2e-6
+#: Occurrences in training documents from which an n-gram is an arc, and a context of the next order.
+LEAST = 2
 DISCOUNT = 0.5
 CHUNK_BYTES = 4 << 20
 BUCKETS = 2048
-END, START = 0, 1  # numbers of the end and start marks; frequent words follow
+#: Buckets of n-grams: so many at least, and one for so many training tokens.
+GRAM_BUCKETS, GRAM_TOKENS = 256, 1 << 18
+#: Occurrences over which a context's n-grams are dealt to several buckets.
+HOT = 1 << 15
+END, START = 0, 1  # numbers of the end and start marks; words follow
 
 
 def words_of(text: str) -> list[bytes]:
@@ -50,157 +56,154 @@ def words_of(text: str) -> list[bytes]:
 # --- counts ---------------------------------------------------------------------------------------
 
 
+def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of eight-byte numbers and equal length, compressed byte plane by byte plane."""
+    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(-1, 8).T.tobytes() for a in arrays]
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, length: int, kinds: str) -> list[np.ndarray]:
+    """``kinds`` has an i or f for each array."""
+    raw = pa.decompress(data, decompressed_size=8 * length * len(kinds), codec="zstd", asbytes=True)
+    planes = np.frombuffer(raw, np.uint8).reshape(len(kinds), 8, length)
+    return [np.ascontiguousarray(p.T).view(f"<{k}8").ravel() for k, p in zip(kinds, planes)]
+
+
+_CODED = ("chunk long, doc_id array<long>, held array<boolean>, size array<long>, words binary, times binary, deal binary, "
+          "distinct long, line binary, tokens long, trained long, documents long")
+
+
 def _chunked(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, text, n (tokens with the end) and chunk of every row."""
+    """One row a chunk: its documents, as places in the chunk's own sorted list of words.
+
+    ``times`` are the words' training counts, ``deal`` their buckets; START and END are places 1 and 0
+    and words follow. ``trained`` and ``documents`` are the training tokens (ends too) and documents.
+    """
     divisor, rest = HELD_OUT
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.pmod(doc_hash(), F.lit(divisor)) == rest).alias("held_out"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
+    names = [c.split(" ")[0] for c in _CODED.split(", ")]
+    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), *[pa.binary()] * 3,
+             pa.int64(), pa.binary(), *[pa.int64()] * 3]
 
     def run(batches):
-        chunk, size = TaskContext.get().partitionId() << 33, 0
+        def send() -> pa.RecordBatch:
+            words = sorted(place)
+            moved = np.zeros(len(words) + 2, np.int32)
+            moved[START] = START
+            moved[[place[w] for w in words]] = np.arange(2, len(words) + 2)
+            coded = moved[np.concatenate(line)]
+            size = np.array(sizes, np.int64)
+            train = np.repeat(~np.array(held, bool), size)
+            times = np.bincount(coded[train], minlength=len(moved))[2:]
+            deal = np.array([zlib.crc32(w) % BUCKETS for w in words], "<i8")
+            out = ~np.array(held, bool)
+            values = [chunk, doc_ids, held, sizes, b"\n".join(words), _pack(times), _pack(deal), len(words),
+                      _pack(coded.astype("<i8")), len(coded), int((size[out] - 1).sum()), int(out.sum())]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=names)
+
+        chunk, read = TaskContext.get().partitionId() << 33, 0
+        place, doc_ids, held, sizes, line = {}, [], [], [], []
         for batch in batches:
-            counts, chunks = [], []
-            for text in batch.column(2).to_pylist():
-                if size > CHUNK_BYTES:
-                    chunk, size = chunk + 1, 0
-                size += len(text)
-                counts.append(len(words_of(text)) + 1)
-                chunks.append(chunk)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(counts, pa.int64()), pa.array(chunks, pa.int64())],
-                names=["doc_id", "held_out", "text", "n", "chunk"],
-            )
-
-    chunked = rows.mapInArrow(run, "doc_id long, held_out boolean, text string, n long, chunk long")
-    # The one stored table with whole texts; read three times, it is worth the better compression.
-    path = f"{scratch_folder(docs.sparkSession)}/chunked"
-    chunked.write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.schema(chunked.schema).parquet(path)
-
+            for doc_id, out, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if read > CHUNK_BYTES:
+                    yield send()
+                    chunk, read = chunk + 1, 0
+                    place, doc_ids, held, sizes, line = {}, [], [], [], []
+                read += len(text)
+                own = words_of(text)
+                line.append(np.array([START, *[place.setdefault(w, len(place) + 2) for w in own], END], np.int32))
+                doc_ids.append(doc_id)
+                held.append(out)
+                sizes.append(len(own) + 2)
+        if doc_ids:
+            yield send()
 
-def _by_bucket(words: Counter) -> Iterator[tuple[int, bytes, bytes]]:
-    """(bucket, words joined by line feeds, their counts) of a chunk."""
-    dealt: dict[int, list[bytes]] = defaultdict(list)
-    for w in words:
-        dealt[zlib.crc32(w) % BUCKETS].append(w)
-    for bucket, own in dealt.items():
-        own.sort()
-        yield bucket, b"\n".join(own), np.array([words[w] for w in own], "<i8").tobytes()
+    return stored(rows.mapInArrow(run, _CODED))
 
 
 def _requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (chunk, bucket, words, counts): the words of each chunk and their training counts."""
-
-    def send() -> pa.RecordBatch:
-        rows = list(_by_bucket(words))
-        columns = [pa.array([chunk] * len(rows), pa.int64())]
-        columns += [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))]
-        return pa.RecordBatch.from_arrays(columns, names=["chunk", "bucket", "words", "counts"])
-
-    chunk, words = None, Counter()
+    """Rows (bucket, chunk, length, words, times): the words of each chunk, dealt to buckets."""
     for batch in batches:
-        for now, held, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            if now != chunk:
-                if words:
-                    yield send()
-                chunk, words = now, Counter()
-            if held:
-                for w in set(words_of(text)):
-                    words[w] += 0
-            else:
-                words.update(words_of(text))
-    if words:
-        yield send()
+        for chunk, words, times, deal, distinct in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            if not distinct:
+                continue
+            (counts,), (buckets,) = _unpack(times, distinct, "i"), _unpack(deal, distinct, "i")
+            own = words.split(b"\n")
+            rows = [
+                (int(buckets[at[0]]), chunk, len(at), b"\n".join([own[i] for i in at.tolist()]), _pack(counts[at]))
+                for at in _runs(*_by(buckets))
+            ]
+            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["bucket", "chunk", "length", "words", "times"]
+            )
 
 
-def _merge(least: float):
-    """Sums of each bucket, for rows sorted by bucket; words over ``least`` come separately as well."""
+def _by(bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order by bucket, and the buckets in that order."""
+    order = np.argsort(bucket, kind="stable")
+    return order, bucket[order]
 
-    def run(batches):
-        def send():
-            # Words of held-out documents alone have no count and are not in the model.
-            known = sorted(w for w, c in total.items() if c)
-            top = [w for w in known if total[w] >= least]
-            pack = lambda own: np.array([total[w] for w in own], "<i8").tobytes()
-            row = [bucket, b"\n".join(known), pack(known), len(known), b"\n".join(top), pack(top)]
-            names = ["bucket", "words", "counts", "distinct", "top_words", "top_counts"]
-            kinds = [pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
-
-        bucket, total = None, {}
-        for batch in batches:
-            for now, words, counts in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if now != bucket:
-                    if total:
-                        yield send()
-                    bucket, total = now, {}
-                for w, c in zip(words.split(b"\n"), np.frombuffer(counts, "<i8").tolist()):
-                    total[w] = total.get(w, 0) + c
-        if total:
-            yield send()
 
-    return run
+def _runs(order: np.ndarray, bucket: np.ndarray) -> Iterator[np.ndarray]:
+    """The part of ``order`` of each bucket."""
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
+    for a, b in zip(starts, [*starts[1:], len(bucket)]):
+        yield order[a:b]
 
 
-def _replies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For rows sorted by (bucket, kind): the sums of a bucket, then its requests, which get them."""
-    bucket, total = None, {}
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """For rows sorted by their first column, the bucket: each bucket with the rest of its rows."""
+    bucket, held = None, []
     for batch in batches:
-        chunks, asked, counts = [], [], []
-        for now, kind, chunk, words, sums in zip(*(batch.column(i).to_pylist() for i in range(5))):
+        for now, *rest in zip(*(c.to_pylist() for c in batch.columns)):
             if now != bucket:
-                bucket, total = now, {}
-            if kind == 0:
-                total = dict(zip(words.split(b"\n"), np.frombuffer(sums, "<i8").tolist())) if words else {}
-                continue
-            chunks.append(chunk)
-            asked.append(words)
-            counts.append(np.array([total.get(w, 0) for w in words.split(b"\n")], "<i8").tobytes())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(chunks, pa.int64()), pa.array(asked, pa.binary()), pa.array(counts, pa.binary())],
-            names=["chunk", "words", "counts"],
-        )
+                if held:
+                    yield bucket, held
+                bucket, held = now, []
+            held.append(rest)
+    if held:
+        yield bucket, held
 
 
-def _gram_counts(ids: dict[bytes, int], contexts: list[tuple[int, ...]], size: int):
-    """Rows (context, word, n): how often each frequent word follows each context of ``size`` words."""
-    width = len(ids) + 2
-    keys = np.sort(np.array([sum(c * width**i for i, c in enumerate(reversed(t))) for t in contexts], np.int64))
+def _sent(rows: list[tuple]) -> pa.RecordBatch:
+    kinds, names = [pa.int64(), pa.int32(), pa.int64(), pa.binary()], ["chunk", "bucket", "length", "data"]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-    def run(batches):
-        get = ids.get
-        for batch in batches:
-            # A mark that is no word between documents keeps contexts from reaching over them.
-            line = []
-            for text in batch.column(0).to_pylist():
-                line += [-1] * size + [START] + [get(w, -1) for w in words_of(text)] + [END]
-            at = np.array(line or [-1], np.int64)
-            n = max(0, len(at) - size)
-            context = np.zeros(n, np.int64)
-            good = at[size : size + n] >= 0
-            good &= at[size : size + n] != START
-            for i in range(size):
-                context = context * width + at[i : i + n]
-                good &= at[i : i + n] >= 0
-            place = np.searchsorted(keys, context)
-            good &= keys[np.minimum(place, len(keys) - 1)] == context
-            found, times = np.unique(context[good] * width + at[size : size + n][good], return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found // width), pa.array((found % width).astype("int32")), pa.array(times.astype("int64"))],
-                names=["context", "word", "n"],
-            )
 
-    return run
+def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For requests sorted by bucket: the sums and numbers of the words, a row a request.
+
+    Words of held-out documents alone have no count and are not in the model: their number is -1.
+    One more row (chunk null) has the number of the bucket's words as its length.
+    """
+    for bucket, held in _held(batches):
+        total: dict[bytes, int] = {}
+        for _, length, words, times in held:
+            for w, c in zip(words.split(b"\n"), _unpack(times, length, "i")[0].tolist()):
+                total[w] = total.get(w, 0) + c
+        known = sorted(w for w, c in total.items() if c)
+        place = {w: 2 + bucket + BUCKETS * i for i, w in enumerate(known)}
+        rows = [(None, bucket, len(known), b"")]
+        for chunk, length, words, _ in held:
+            own = words.split(b"\n")
+            counts, ids = np.array([total[w] for w in own], "<i8"), np.array([place.get(w, -1) for w in own], "<i8")
+            rows.append((chunk, bucket, length, _pack(counts, ids)))
+        yield _sent(rows)
 
 
 # --- the automaton --------------------------------------------------------------------------------
 
 
 class Automaton:
-    """States are contexts, 0 is the root. Weights are base-10 logarithms."""
+    """The definition of the model, in one place. States are contexts, 0 is the root.
+
+    Weights are base-10 logarithms. ``score_documents`` gives the same scores from parts.
+    """
 
     def __init__(self, ids: dict[bytes, int], counts: list[int], tokens: int, kinds: int):
         self.ids = ids
@@ -266,73 +269,236 @@ class Automaton:
         return total + step(state, END)[0]
 
 
-def _build(chunked: DataFrame, model: DataFrame, tokens: int, documents: int, kinds: int) -> Automaton:
-    """The automaton, from tables that the shares bound: at most 1 / share rows come to the driver."""
-    top = model.where("length(top_words) > 0").select("top_words", "top_counts").collect()
-    frequent = {}
-    for row in top:
-        frequent.update(zip(bytes(row.top_words).split(b"\n"), np.frombuffer(row.top_counts, "<i8").tolist()))
-    ids = {w: i + 2 for i, w in enumerate(sorted(frequent))}
-    built = Automaton(ids, [documents, 0, *(frequent[w] for w in ids)], tokens, kinds)
-    seen = {(i,): frequent[w] for w, i in ids.items()}
-    if documents >= CONTEXT_SHARE * tokens:
-        seen[START,] = documents
-    training = chunked.where("NOT held_out").select("text")
-    width = len(ids) + 2
-    for size in range(1, ORDER):
-        contexts = sorted(c for c, n in seen.items() if n >= CONTEXT_SHARE * tokens and END not in c)
-        if not contexts:
-            break
-        rows = (
-            training.mapInArrow(_gram_counts(ids, contexts, size), "context long, word int, n long")
-            .groupBy("context", "word").agg(F.sum("n").alias("n"))
-            .where(F.col("n") >= max(1.0, ARC_SHARE * tokens)).collect()
-        )
-        followers: dict[tuple[int, ...], dict[int, int]] = defaultdict(dict)
-        for context, word, n in rows:
-            name = tuple(context // width**i % width for i in reversed(range(size)))
-            followers[name][word] = n
-        for context in contexts:
-            built.add(context, seen[context], followers[context])
-        seen = {(*c, w): n for c, f in followers.items() for w, n in f.items()}
-    built.finish()
-    return built
+# --- the automaton in parts ----------------------------------------------------------------------
 
 
-# --- scores ---------------------------------------------------------------------------------------
+class _Chunk:
+    """One chunk's n-grams, order by order, with what the buckets have answered so far.
 
+    ``at`` are its tokens but the start marks, as places in ``line``; ``word`` their places in the
+    chunk's words. For the last order done: ``p`` is each token's probability, ``gram`` the place of
+    its n-gram among the chunk's (-1 for none), ``n`` and ``total`` the n-grams' and contexts' counts,
+    ``ids`` the n-grams' numbers.
+    """
 
-def _score(shared):
-    """For rows sorted by (chunk, kind): the counts of a chunk's words, then its documents."""
+    def __init__(self, row: dict, replies: dict[int, bytes], tokens: int, documents: int, kinds: int):
+        self.denominator = tokens + kinds + 1
+        self.doc_id, self.held, self.size = row["doc_id"], np.array(row["held"], bool), np.array(row["size"], np.int64)
+        counts, self.words = np.zeros((2, row["distinct"] + 2), np.int64)
+        counts[[END, START]], self.words[[END, START]] = documents, (END, START)
+        if row["distinct"]:
+            (deal,) = _unpack(row["deal"], row["distinct"], "i")
+            for at in _runs(*_by(deal)):
+                counts[at + 2], self.words[at + 2] = _unpack(replies[int(deal[at[0]])], len(at), "ii")
+        (line,) = _unpack(row["line"], row["tokens"], "i")
+        self.line, self.at = line, np.flatnonzero(line != START)
+        self.word = line[self.at]
+        self.train = np.repeat(~self.held, self.size)[self.at]
+        # Order 1: every word of the model is a context, the start mark too.
+        self.n, self.ids, self.total = counts, np.where(counts > 0, self.words, -1), np.zeros_like(counts)
+        self.gram = self.word
+        self.base = self.p = (counts[self.word] + 1) / self.denominator
+        self.order = 1
+
+    def ask(self) -> None:
+        """The distinct n-grams of the next order."""
+        before = np.full(len(self.line), -1, np.int64)
+        before[self.at] = self.gram
+        if self.order == 1:
+            before[self.line == START] = START
+        context = before[self.at - 1]
+        numbers = np.append(self.ids, -1)  # the last for tokens without an n-gram, -1
+        good = numbers[context] >= 0
+        # Only an n-gram whose end is an arc of the order before can be one.
+        may = numbers[self.gram] >= 0
+        width = len(self.words) + 1
+        keys = context[good] * width + np.where(may, self.word, width - 1)[good]
+        found, first, place = np.unique(keys, return_index=True, return_inverse=True)
+        times = np.bincount(place, weights=(self.train & may)[good], minlength=len(found)).astype(np.int64)
+        of, last, end = found // width, found % width, self.gram[good][first]
+        none = last == width - 1
+        self.good, self.place = good, place
+        self.new_total = self.n[of]
+        self.context = self.ids[of]
+        self.last = np.where(none, -1, self.words[np.minimum(last, width - 2)])
+        self.times = times
+        self.lower_n = np.where(none, 0, self.n[end])
+        self.lower_total = np.where(none, 0, self.total[end])
+
+    def bucket(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """The order of the distinct n-grams by bucket, and the buckets in that order."""
+        odd = np.uint64(0x9E3779B97F4A7C15)
+        key = self.context.astype(np.uint64) * odd
+        hot = self.new_total > HOT
+        key[hot] = (key[hot] ^ self.last[hot].astype(np.uint64)) * odd
+        return _by(((key >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64))
+
+    def requests(self, buckets: int) -> Iterator[tuple[int, int, bytes]]:
+        order, bucket = self.bucket(buckets)
+        columns = (self.context, self.last, self.times, self.new_total, self.lower_n, self.lower_total)
+        for b, at in zip(np.unique(bucket).tolist(), _runs(order, bucket)):
+            yield b, len(at), _pack(*(c[at] for c in columns))
+
+    def answer(self, replies: dict[int, bytes], buckets: int, hot: tuple[np.ndarray, np.ndarray]) -> None:
+        """Take the buckets' answers in: probabilities of the order asked for last."""
+        order, bucket = self.bucket(buckets)
+        n, ids, back = np.zeros(len(order), np.int64), np.full(len(order), -1, np.int64), np.ones(len(order))
+        for b, at in zip(np.unique(bucket).tolist(), _runs(order, bucket)):
+            n[at], ids[at], back[at] = _unpack(replies[b], len(at), "iif")
+        if len(hot[0]):
+            at = np.minimum(np.searchsorted(hot[0], self.context), len(hot[0]) - 1)
+            back = np.where(hot[0][at] == self.context, hot[1][at], back)
+        p, gram = self.p.copy(), np.full(len(self.at), -1, np.int64)
+        with np.errstate(divide="ignore"):
+            arcs = (n - DISCOUNT) / self.new_total
+        p[self.good] = np.where(ids[self.place] >= 0, arcs[self.place], back[self.place] * self.p[self.good])
+        gram[self.good] = self.place
+        self.p, self.gram, self.n, self.ids, self.total = p, gram, n, ids, self.new_total
+        self.order += 1
+
+
+def _sums(of: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    found, place = np.unique(of, return_inverse=True)
+    return found, *(np.bincount(place, weights=v, minlength=len(found)) for v in values)
+
+
+def _failure(arcs: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    return np.maximum(1 - arcs, 1e-12) / np.maximum(1 - lower, 1e-12)
+
+
+def _answer(order: int, buckets: int, denominator: int):
+    """For rows sorted by bucket: its requests' sums, numbers and failure weights, a row a request.
+
+    One more row (chunk null) has the partial sums of the bucket's contexts over ``HOT``. A bucket's
+    requests are held compressed; its n-grams are bounded by ``GRAM_TOKENS`` and ``HOT`` on average.
+    """
+
+    def solve(bucket: int, held: list[tuple[int, int, bytes]]) -> Iterator[tuple]:
+        parts = [_unpack(data, length, "iiiiii") for _, length, data in held]
+        context, last, times, total, lower_n, lower_total = (np.concatenate(c) for c in zip(*parts))
+        by = np.lexsort((last, context))
+        new = np.r_[True, (context[by][1:] != context[by][:-1]) | (last[by][1:] != last[by][:-1])]
+        place = np.empty(len(by), np.int64)
+        place[by] = np.cumsum(new) - 1
+        first = by[new]
+        n = np.bincount(place, weights=times).astype(np.int64)
+        arc = (n >= LEAST) & (last[first] >= 0)
+        ids = np.where(arc, bucket + buckets * (np.cumsum(arc) - 1), -1)
+        at = first[arc]
+        weight = (n[arc] - DISCOUNT) / total[at]
+        if order == 2:
+            lower = (lower_n[at] + 1) / denominator
+        else:
+            lower = (lower_n[at] - DISCOUNT) / lower_total[at]
+        many = total[at] > HOT
+        parted = _sums(context[at][many], weight[many], lower[many])
+        yield (None, bucket, len(parted[0]), _pack(*parted))
+        back = np.ones(len(first))
+        if (~many).any():
+            known, a, b = _sums(context[at][~many], weight[~many], lower[~many])
+            spot = np.minimum(np.searchsorted(known, context[first]), len(known) - 1)
+            back = np.where(known[spot] == context[first], _failure(a, b)[spot], 1.0)
+        n = np.where(arc, n, 0)
+        start = 0
+        for chunk, length, _ in held:
+            own = place[start : start + length]
+            start += length
+            yield chunk, bucket, length, _pack(n[own], ids[own], back[own])
 
     def run(batches):
-        automaton: Automaton = shared.value
-        low = math.log10(1 / automaton.denominator)
-        end = math.log10(automaton.unigram[END])
-        chunk, unigram = None, {}
-        for batch in batches:
+        for bucket, held in _held(batches):
+            yield _sent(list(solve(bucket, held)))
+
+    return run
+
+
+def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for length, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in _unpack(data, length, "iff")], names=["context", "arcs", "lower"]
+            )
+
+
+def _hot(answers: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts over ``HOT`` that have arcs, sorted, and their failure weights: at most tokens / HOT."""
+    rows = answers.where("chunk IS NULL AND length > 0").select("length", "data").mapInArrow(
+        _partial, "context long, arcs double, lower double"
+    )
+    found = rows.groupBy("context").agg(F.sum("arcs").alias("arcs"), F.sum("lower").alias("lower")).orderBy("context").collect()
+    arcs, lower = (np.array([r[c] for r in found], float) for c in ("arcs", "lower"))
+    return np.array([r["context"] for r in found], np.int64), _failure(arcs, lower)
+
+
+def _chunks(batches, model: tuple, buckets: int, shared: list) -> Iterator[tuple[int, _Chunk]]:
+    """For rows sorted by (chunk, order), the coded chunk first: each chunk with all answers taken in."""
+    row, replies = None, {}
+
+    def complete() -> tuple[int, _Chunk]:
+        chunk = _Chunk(row, replies.get(1, {}), *model)
+        for i, hot in enumerate(shared):
+            chunk.ask()
+            chunk.answer(replies.get(i + 2, {}), buckets, hot)
+        return row["chunk"], chunk
+
+    for batch in batches:
+        names = batch.schema.names
+        order, bucket, data = (batch.column(names.index(c)).to_pylist() for c in ("order", "bucket", "data"))
+        for i, k in enumerate(order):
+            if k:
+                replies.setdefault(k, {})[bucket[i]] = data[i]
+                continue
+            if row is not None:
+                yield complete()
+            row, replies = {c: batch.column(names.index(c))[i].as_py() for c in names}, {}
+    if row is not None:
+        yield complete()
+
+
+def _ask(model: tuple, buckets: int, shared: list):
+    def run(batches):
+        for number, chunk in _chunks(batches, model, buckets, [h.value for h in shared]):
+            chunk.ask()
+            for bucket, length, data in chunk.requests(buckets):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v], k) for v, k in zip((bucket, number, length, data), (pa.int32(), pa.int64(), pa.int64(), pa.binary()))],
+                    names=["bucket", "chunk", "length", "data"],
+                )
+
+    return run
+
+
+def _score(model: tuple, buckets: int, shared: list):
+    """Scores of every document, from its chunk with all answers."""
+
+    def run(batches):
+        for _, chunk in _chunks(batches, model, buckets, [h.value for h in shared]):
+            ends = np.cumsum(chunk.size - 1)
+            base, score = np.log10(chunk.base), np.log10(chunk.p)
+            known = np.r_[0, np.cumsum(chunk.base * chunk.denominator > 1.5)]
             out = []
-            columns = [batch.column(i).to_pylist() for i in range(7)]
-            for now, kind, words, counts, doc_id, held, text in zip(*columns):
-                if now != chunk:
-                    chunk, unigram = now, {}
-                if kind == 0:
-                    sums = np.frombuffer(counts, "<i8")
-                    unigram.update(zip(words.split(b"\n"), np.log10((sums + 1) / automaton.denominator).tolist()))
-                    continue
-                own = words_of(text)
-                each = np.array([unigram[w] for w in own] + [end])
-                base = math.fsum(each)
-                known = int((each > low).sum())
-                out.append((doc_id, held, len(own) + 1, known, base, base + automaton.gain(own)))
+            for doc_id, held, a, b in zip(chunk.doc_id, chunk.held.tolist(), (ends - chunk.size + 1).tolist(), ends.tolist()):
+                out.append((doc_id, held, b - a, int(known[b] - known[a]), math.fsum(base[a:b]), math.fsum(score[a:b])))
             kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
             names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"]
-            rows = list(zip(*out)) or [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
     return run
 
 
+def _met(coded: DataFrame, answers: list[DataFrame]) -> DataFrame:
+    """Coded chunks with the answers to each, sorted by chunk and order."""
+    none = F.lit(None)
+    rows = coded.select(F.lit(0).alias("order"), none.cast("int").alias("bucket"), none.cast("binary").alias("data"), "*")
+    names = [f for f in coded.schema.fields if f.name != "chunk"]
+    for i, answer in enumerate(answers):
+        more = answer.where("chunk IS NOT NULL").select(
+            F.lit(i + 1).alias("order"), "bucket", "data", "chunk", *[none.cast(f.dataType).alias(f.name) for f in names]
+        )
+        rows = rows.unionByName(more)
+    return rows.repartition("chunk").sortWithinPartitions("chunk", "order")
+
+
 def score_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
 
@@ -341,41 +507,33 @@ def score_documents(docs: DataFrame) -> DataFrame:
     occur. Other columns are ignored, an empty table gives no rows. With nothing to learn from, every
     token has probability 1 over (0 + 0 + 1).
     """
+    spark = docs.sparkSession
     chunked = _chunked(docs)
-    sums = chunked.where("NOT held_out").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    sums = chunked.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("trained", "documents")]).first()
     tokens, documents = int(sums[0]), int(sums[1])
-    asked = stored(
-        chunked.select("chunk", "held_out", "text").mapInArrow(
-            _requests, "chunk long, bucket int, words binary, counts binary"
-        )
-    )
-    model = stored(
-        asked.select("bucket", "words", "counts").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-            _merge(max(1.0, CONTEXT_SHARE * tokens)),
-            "bucket int, words binary, counts binary, distinct long, top_words binary, top_counts binary",
-        )
+    reply = "chunk long, bucket int, length long, data binary"
+    asked = chunked.select("chunk", "words", "times", "deal", "distinct").mapInArrow(
+        _requests, "bucket int, chunk long, length long, words binary, times binary"
     )
-    kinds = int(model.agg(F.coalesce(F.sum("distinct"), F.lit(0))).first()[0]) + (documents > 0)
-    automaton = _build(chunked, model, tokens, documents, kinds)
-    shared = docs.sparkSession.sparkContext.broadcast(automaton)
-    none = F.lit(None)
-    both = model.select("bucket", F.lit(0).alias("kind"), none.cast("long").alias("chunk"), "words", "counts").unionByName(
-        asked.select("bucket", F.lit(1).alias("kind"), "chunk", "words", none.cast("binary").alias("counts"))
-    )
-    replies = both.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(
-        _replies, "chunk long, words binary, counts binary"
-    )
-    met = replies.select(
-        "chunk", F.lit(0).alias("kind"), "words", "counts", none.cast("long").alias("doc_id"),
-        none.cast("boolean").alias("held_out"), none.cast("string").alias("text"),
-    ).unionByName(
-        chunked.select(
-            "chunk", F.lit(1).alias("kind"), none.cast("binary").alias("words"), none.cast("binary").alias("counts"),
-            "doc_id", "held_out", "text",
+    answers = [stored(asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_number, reply))]
+    words = answers[0].where("chunk IS NULL").agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    kinds = int(words) + (documents > 0)
+    coded = chunked.drop("words", "times", "trained", "documents")
+    numbers, buckets = (tokens, documents, kinds), max(GRAM_BUCKETS, tokens // GRAM_TOKENS)
+    shared = []
+    for order in range(2, ORDER + 1):
+        requests = _met(coded, answers).mapInArrow(
+            _ask(numbers, buckets, list(shared)), "bucket int, chunk long, length long, data binary"
         )
-    )
-    scored = met.repartition("chunk").sortWithinPartitions("chunk", "kind").mapInArrow(
-        _score(shared), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+        answers.append(stored(
+            requests.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+                _answer(order, buckets, tokens + kinds + 1), reply
+            )
+        ))
+        shared.append(spark.sparkContext.broadcast(_hot(answers[-1])))
+    scored = _met(coded, answers).mapInArrow(
+        _score(numbers, buckets, shared),
+        "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double",
     )
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score"

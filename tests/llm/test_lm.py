@@ -98,3 +98,52 @@ def test_odd_rows(spark, monkeypatch):
     left = docs.where(docs.doc_id.isin(alone))
     only = lm.score_documents(left).collect()
     assert only and all(r.train_tokens == 0 and r.n_known == 0 and r.base_score == 0 for r in only)
+
+
+def whole(rows):
+    """The automaton of all n-grams of at least LEAST occurrences, built in one place."""
+    train = [tokens(t)[:-1] for d, t in rows if not held(d)]
+    ids = {w.encode(): i + 2 for i, w in enumerate(sorted({w for t in train for w in t}))}
+    lines = [[lm.START, *(ids[w.encode()] for w in t), lm.END] for t in train]
+    grams = {n: Counter(tuple(x[i : i + n]) for x in lines for i in range(len(x) - n + 1)) for n in (1, 2, 3)}
+    counts = [grams[1][i,] for i in range(len(ids) + 2)]
+    a = lm.Automaton(ids, counts, sum(counts) - counts[lm.START], len(ids) + 1)
+    for n in (1, 2):
+        followers = {}
+        for g, c in grams[n + 1].items():
+            if c >= lm.LEAST:
+                followers.setdefault(g[:-1], {})[g[-1]] = c
+        for context in sorted(c for c in grams[n] if lm.END not in c and (n == 1 or grams[n][c] >= lm.LEAST)):
+            a.add(context, grams[n][context], followers.get(context, {}))
+    a.finish()
+    return a
+
+
+@pytest.mark.parametrize("hot", [1 << 15, 3])
+def test_model_has_every_repeated_ngram(spark, monkeypatch, hot):
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 2000)
+    monkeypatch.setattr(lm, "HOT", hot)
+    rng = random.Random(3)
+    words = [a + b for a in "bdfgklmnpr" for b in "aeiou"]
+    rows = [(i, " ".join(rng.choices(words, [1 / (j + 1) for j in range(50)], k=rng.randint(0, 60)))) for i in range(300)]
+    # Rare beside the rest: no share of the tokens, but twice in the training documents.
+    rows += [(1000 + i, f"{'ka ' * 2000}quartz vixen jumps") for i in range(20)]
+    rows += [(2000 + i, "quartz vixen jumps unseen ka ba") for i in range(20)]
+    a = whole(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r for r in lm.score_documents(docs).collect()}
+    for d, text in rows:
+        gain = found[d].score - found[d].base_score
+        assert gain == pytest.approx(a.gain([w.encode() for w in tokens(text)[:-1]]), abs=1e-7)
+    assert any(r.held_out for r in found.values())
+
+
+def test_rare_pair_is_an_arc(spark):
+    """Two occurrences among 400,000 tokens: a share of the tokens would leave them out."""
+    ids = [d for d in range(400) if not held(d)]
+    rows = [(d, "ka " * 1200) for d in ids] + [(5000, "quartz vixen"), (5001, "quartz vixen")]
+    rows = [(d + (5 if held(d) else 0), t) for d, t in rows]
+    tested = next(d for d in range(6000, 7000) if held(d))
+    docs = spark.createDataFrame([*rows, (tested, "quartz vixen")], "doc_id long, text string")
+    found = lm.score_documents(docs).where(f"doc_id = {tested}").first()
+    assert found.score - found.base_score > 3
