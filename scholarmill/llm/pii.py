@@ -1,15 +1,19 @@
 """Personal data: fixed patterns, and information-theoretic sanitisation of what gives it away.
 
 The patterns find e-mail addresses, IP addresses, card and phone numbers; each distinct value is a
-protected entity. A term is a word within ``WINDOW`` words of an entity. Over the whole corpus,
+protected entity. A term is a word of a document with an entity, wherever it stands in it. Over the
+whole corpus,
 
     disclosure(t, e) = PMI(t, e) / IC(e) = log(n(t, e) N / (n(t) n(e))) / log(N / n(e)),
 
 with numbers of documents: 1 means that whoever reads the term knows the entity, 0 that it tells
-nothing. Copies of one passage are one piece of evidence, so a pair also needs ``SUPPORT`` different
-windows. A term of at least ``GENERALISE`` is replaced by its kind of word, one of at least ``REMOVE`` is
-taken out, wherever it stands near the entity. A document without an entity is left alone.
+nothing. The ``WINDOW`` words on each side of an entity name the passage it stands in. Copies of one
+passage are one piece of evidence, so a pair also needs ``SUPPORT`` different passages: each document
+with both gives one, and each other passage of it that the term is part of another. A term of at least
+``GENERALISE`` is replaced by its kind of word, one of at least ``REMOVE`` is taken out, wherever it
+stands in the documents with the entity. A document without an entity is left alone.
 
+Only entities in ``SUPPORT`` passages can have such a pair, so only their documents are taken apart.
 Document frequencies are counted over all documents, but only of terms that some pair still needs: a
 bit map of fixed size says which words may be among them, and a join then decides.
 """
@@ -96,20 +100,19 @@ def _entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind == 'email' else re.sub('[^0-9.]' if kind == 'ip' else '[^0-9]', '', value)}"
 
 
-def nearby(text: str, spans: list[Span]) -> list[tuple[str, str, int, int, int]]:
-    """(entity, term, window, start, end) of the words around each span that lie in no span.
+def nearby(text: str, spans: list[Span]) -> list[tuple[str, str | None, int]]:
+    """(entity, term, window) of the words around each span that lie in no span; term None for a span alone.
 
     The window is a number drawn from its words, the same wherever the passage is copied to.
     """
     taken = sorted((a, b) for _, a, b in spans)
-    out = []
+    out = set()
     for kind, start, end in spans:
         around = [(m.start() + a, m.end() + a) for a, part in _sides(text, start, end) for m in part]
-        words = [w for w in around if not any(a < w[1] and w[0] < b for a, b in taken)]
-        window = zlib.crc32(" ".join(text[a:b].lower() for a, b in words).encode())
-        entity = _entity(kind, text[start:end])
-        out += [(entity, text[a:b].lower(), window, a, b) for a, b in words]
-    return out
+        words = [text[a:b].lower() for a, b in around if not any(x < b and a < y for x, y in taken)]
+        window = zlib.crc32(" ".join(words).encode())
+        out.update((_entity(kind, text[start:end]), w, window) for w in words or [None])
+    return sorted(out, key=lambda w: (w[0], w[1] or "", w[2]))
 
 
 def _sides(text: str, start: int, end: int) -> Iterator[tuple[int, list]]:
@@ -133,13 +136,29 @@ def _sides(text: str, start: int, end: int) -> Iterator[tuple[int, list]]:
         reach *= 2
 
 
-_NEAR = "array<struct<entity:string,term:string,window:long,start:int,end:int>>"
+def _free(text: str) -> Iterator[re.Match]:
+    """All words that lie in no base span, in time proportional to the text."""
+    spans: list[list[int]] = []
+    for a, b in sorted((a, b) for _, a, b in base_spans(text)):
+        if spans and a < spans[-1][1]:
+            spans[-1][1] = max(b, spans[-1][1])
+        else:
+            spans.append([a, b])
+    i = 0
+    for m in _WORD.finditer(text):
+        while i < len(spans) and spans[i][1] <= m.start():
+            i += 1
+        if i == len(spans) or m.end() <= spans[i][0]:
+            yield m
+
+
+_NEAR = "array<struct<entity:string,term:string,window:long>>"
 _SPANS = "array<struct<kind:string,start:int,end:int>>"
 
 
 def detect(docs: DataFrame) -> DataFrame:
     """doc_id, sha, base (spans) and near (the words around them) of every row."""
-    near_kind = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("window", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
+    near_kind = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("window", pa.int64())]))
     span_kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches):
@@ -148,7 +167,7 @@ def detect(docs: DataFrame) -> DataFrame:
             for text in batch.column(2).to_pylist():
                 spans = base_spans(text)
                 base.append([dict(zip(("kind", "start", "end"), s)) for s in spans])
-                near.append([dict(zip(("entity", "term", "window", "start", "end"), w)) for w in nearby(text, spans)])
+                near.append([dict(zip(("entity", "term", "window"), w)) for w in nearby(text, spans)])
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array(base, span_kind), pa.array(near, near_kind)],
                 names=["doc_id", "sha", "base", "near"],
@@ -191,40 +210,89 @@ def _document_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return found.groupBy("term").agg(F.sum("n").alias("n_term")).join(terms, "term", "left_semi")
 
 
-def disclosures(docs: DataFrame, detected: DataFrame) -> DataFrame:
-    """entity, term and disclosure of the pairs of at least ``GENERALISE``."""
-    # Once a document, with the first window that both are in.
-    rows = detected.select("doc_id", "sha", F.explode("near").alias("w")).select("doc_id", "sha", "w.entity", "w.term", "w.window")
-    once = rows.groupBy("doc_id", "sha", "entity", "term").agg(F.min("window").alias("window"))
-    pairs = stored(
-        once.groupBy("entity", "term", "window").agg(F.count("*").alias("n"))
-        .groupBy("entity", "term").agg(F.count("*").alias("windows"), F.sum("n").alias("n_pair"))
-        .where(F.col("windows") >= SUPPORT)
+def _same(a: DataFrame, b: DataFrame):
+    return (a["sha"] == b["sha"]) & a["doc_id"].eqNullSafe(b["doc_id"])
+
+
+def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """doc_id, sha and text of the documents named by ``keys`` (doc_id, sha), with its other columns."""
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_sha().alias("sha"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    return rows.join(keys, _same(rows, keys)).select(rows["doc_id"], rows["sha"], rows["text"], *[
+        keys[c] for c in keys.columns if c not in ("doc_id", "sha")
+    ])
+
+
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, sha and the distinct words of a text that lie in no span."""
+    for batch in batches:
+        terms = [sorted({m[0].lower() for m in _free(t)}) for t in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:2], pa.array(terms, pa.list_(pa.string()))], names=["doc_id", "sha", "terms"]
+        )
+
+
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, sha and added: the spans of a document's terms that give something away."""
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+    for batch in batches:
+        added = []
+        for text, told in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            most = {x["term"]: x["d"] for x in told}
+            found = [(most[w], *m.span()) for m in _free(text) if (w := m[0].lower()) in most]
+            added.append([{"kind": ADDED[d < REMOVE], "start": a, "end": b} for d, a, b in found])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(added, kind)], names=["doc_id", "sha", "added"])
+
+
+def _added(docs: DataFrame, detected: DataFrame) -> DataFrame | None:
+    """doc_id, sha and added: the spans of terms that give an entity of their document away.
+
+    None if no entity stands in enough passages to have such terms.
+    """
+    near = detected.select("doc_id", "sha", F.explode("near").alias("w")).select("doc_id", "sha", "w.entity", "w.term", "w.window")
+    # Documents with each entity, with one passage that stands for all words far from it.
+    placed = stored(near.groupBy("doc_id", "sha", "entity").agg(F.min("window").alias("window")))
+    able = stored(
+        near.select("entity", "window").distinct().groupBy("entity").agg(F.count("*").alias("windows"))
+        .where(F.col("windows") >= SUPPORT).select("entity")
     )
-    entities = (
-        rows.groupBy("doc_id", "sha", "entity").agg(F.lit(1).alias("one"))
-        .groupBy("entity").agg(F.count("*").alias("n_entity"))
+    if able.isEmpty():
+        return None
+    entities = placed.groupBy("entity").agg(F.count("*").alias("n_entity")).join(able, "entity")
+    held = stored(placed.join(entities, "entity"))
+    keys = held.select("doc_id", "sha").distinct()
+    terms = stored(
+        _texts(docs, keys).dropDuplicates(["doc_id", "sha"]).mapInArrow(_terms, "doc_id long, sha binary, terms array<string>")
+        .select("doc_id", "sha", F.explode("terms").alias("term"))
     )
-    frequencies = _document_frequencies(docs, pairs.select("term").distinct())
+    frequencies = stored(_document_frequencies(docs, terms.select("term").distinct()))
     n = docs.count()
+    known = terms.join(frequencies, "term")
+    # n(t, e) is at most n(e), so a term in too many documents cannot reach the threshold with e.
+    rest = float(n) ** (1 - GENERALISE)
+    possible = F.col("n_term") <= F.pow("n_entity", F.lit(GENERALISE)) * rest * (1 + 1e-9)
+    both = stored(known.join(held, _same(known, held) & possible).select(
+        known["doc_id"], known["sha"], "entity", "term", "window", "n_term", "n_entity"
+    ))
+    pairs = both.groupBy("entity", "term", "n_term", "n_entity").agg(F.count("*").alias("n_pair"))
+    passages = (
+        both.select("entity", "term", "window")
+        .unionByName(near.where("term IS NOT NULL").join(able, "entity", "left_semi").select("entity", "term", "window"))
+        .distinct().groupBy("entity", "term").agg(F.count("*").alias("windows")).where(F.col("windows") >= SUPPORT)
+    )
     value = F.log(F.col("n_pair") * n / (F.col("n_term") * F.col("n_entity"))) / F.greatest(
         F.log(F.lit(float(n)) / F.col("n_entity")), F.lit(1e-9)
     )
-    return (
-        pairs.join(entities, "entity").join(frequencies, "term")
-        .select("entity", "term", F.least(value, F.lit(1.0)).alias("disclosure"))
+    told = (
+        pairs.join(passages, ["entity", "term"]).select("entity", "term", F.least(value, F.lit(1.0)).alias("disclosure"))
         .where(F.col("disclosure") >= GENERALISE)
     )
-
-
-def _added(detected: DataFrame, told: DataFrame) -> DataFrame:
-    """doc_id, sha and added: the spans of terms that give an entity nearby away."""
-    near = detected.select("doc_id", "sha", F.explode("near").alias("w")).select(
-        "doc_id", "sha", "w.entity", "w.term", "w.start", "w.end"
+    most = both.join(told, ["entity", "term"]).groupBy("doc_id", "sha", "term").agg(F.max("disclosure").alias("d"))
+    marked = stored(most.groupBy("doc_id", "sha").agg(F.collect_list(F.struct("term", "d")).alias("told")))
+    return _texts(docs, marked).dropDuplicates(["doc_id", "sha"]).mapInArrow(
+        _occurrences, f"doc_id long, sha binary, added {_SPANS}"
     )
-    most = near.join(told, ["entity", "term"]).groupBy("doc_id", "sha", "start", "end").agg(F.max("disclosure").alias("d"))
-    kind = F.when(F.col("d") >= REMOVE, ADDED[0]).otherwise(ADDED[1])
-    return most.groupBy("doc_id", "sha").agg(F.collect_list(F.struct(kind.alias("kind"), "start", "end")).alias("added"))
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -234,14 +302,17 @@ def find(docs: DataFrame) -> DataFrame:
     and get the same spans. Other columns are ignored, an empty table gives no rows.
     """
     detected = stored(detect(docs))
-    added = _added(detected, disclosures(docs, detected)).withColumnsRenamed({"doc_id": "_id", "sha": "_sha"})
+    added = _added(docs, detected)
+    rows = detected.drop("near")
+    if added is None:
+        return rows.select("doc_id", "sha", "base", F.col("base").alias("spans"))
+    added = added.withColumnsRenamed({"doc_id": "_id", "sha": "_sha"})
     match = (F.col("sha") == F.col("_sha")) & F.col("doc_id").eqNullSafe(F.col("_id"))
     both = F.concat("base", F.coalesce("added", F.expr(f"cast(array() as {_SPANS})")))
     rank = F.map_from_arrays(F.array(*map(F.lit, KINDS)), F.array(*map(F.lit, range(len(KINDS)))))
     keyed = F.transform(both, lambda s: F.struct(s["start"].alias("start"), rank[s["kind"]].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))
     ordered = F.transform(F.array_sort(keyed), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    # Only documents with some span have words near one.
-    return detected.drop("near").join(added, match, "left").select("doc_id", "sha", "base", ordered.alias("spans"))
+    return rows.join(added, match, "left").select("doc_id", "sha", "base", ordered.alias("spans"))
 
 
 def _text(spans: str):

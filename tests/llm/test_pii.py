@@ -141,3 +141,33 @@ def test_sanitised_rows(spark):
     assert pii.report(docs).count() == 7
     assert pii.report(docs.limit(0)).count() == 0
     assert pii.clean("Ab cd ef", [("generalised", 0, 2), ("removed", 3, 5)]) == "[Name]  ef"
+
+
+def _filler(rng, n):
+    return " ".join(rng.choice("bdfgkl") + rng.choice("aeiou") + rng.choice("mnrst") for _ in range(n))
+
+
+def test_terms_far_from_the_entity(spark):
+    """A name in a letter's first line, the address in its signature, and the name once more after it."""
+    rng = random.Random(4)
+    texts = [f"Dear Wilhelmina {_filler(rng, 60)} w.k@x.org {_filler(rng, 30)} Wilhelmina" for _ in range(5)]
+    texts += [_filler(rng, 90) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.find(docs).collect():
+        words = [texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == "removed"]
+        assert words.count("Wilhelmina") == (2 if r.doc_id < 5 else 0)
+
+
+def test_passages_of_one_document(spark):
+    """An address in one document only, where one name stands beside it in three passages."""
+    rng = random.Random(6)
+    texts = ["  ".join(f"{_filler(rng, 20)} Quentin q.z@x.org {_filler(rng, 20)}" for _ in range(3))]
+    texts += [_filler(rng, 90) for _ in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    (row,) = pii.find(docs).where("doc_id = 0").collect()
+    assert [texts[0][s.start : s.end] for s in row.spans if s.kind == "removed"].count("Quentin") == 3
+
+
+def test_free_words_as_by_all_spans():
+    text = "ab a.b@c.de cd +49 (30) 123-4567 ef 1.2.3.4 gh"
+    assert [m[0] for m in pii._free(text)] == ["ab", "cd", "ef", "gh"]
