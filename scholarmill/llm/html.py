@@ -6,7 +6,8 @@ and blocks under the same element, are tied by smoothness edges, so a block that
 takes the label of its surroundings. Max-flow finds the cheapest labelling of the whole page at once.
 
 The weights are fixed and stated below. What an element's own name or role says outweighs all edges a
-block can have, so smoothness decides only where the markup is silent.
+block can have, so smoothness decides only where the markup is silent. A class or id word is only a cost,
+except within an article or main element, which begins without the words of what is around it.
 """
 
 from __future__ import annotations
@@ -21,11 +22,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Elements without text of the page.
-SKIPPED = {"script", "style", "noscript", "template", "title", "svg", "math", "iframe", "object", "canvas", "textarea", "select", "button"}
+SKIPPED = {"script", "style", "noscript", "template", "title", "svg", "annotation", "annotation-xml", "iframe", "object", "canvas", "textarea", "select", "button"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins",
           "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt",
-          "u", "var", "wbr"}
+          "u", "var", "wbr",
+          "math", "semantics", "annotation", "annotation-xml", "maction", "menclose", "merror", "mfenced", "mfrac", "mi", "mmultiscripts", "mn",
+          "mo", "mover", "mpadded", "mphantom", "mprescripts", "mroot", "mrow", "ms", "mspace", "msqrt", "mstyle", "msub", "msubsup", "msup",
+          "mtable", "mtd", "mtext", "mtr", "munder", "munderover"}
+FOREIGN = {"svg", "math"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: A new one of these ends an open one of the same kind, up to the named elements.
 CLOSES = {"p": (), "li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 BOILERPLATE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "head"}
@@ -34,11 +40,15 @@ _BAD = re.compile(
     r"(?:^|[\s_-])(?:nav(?:igation|bar)?|menu|breadcrumbs?|header|masthead|footer|sidebar|side|aside|ads?|adverts?|advertisement"
     r"|banner|sponsor(?:ed)?|promo|cookies?|consent|notice|popup|modal|newsletter|subscribe|signup|login|search|share|sharing|social"
     r"|related|recommended|comments?|commentlist|disqus|replies|pagination|pager|toolbar|widget|copyright|legal|tags)(?:$|[\s_-])", re.I)
+#: Class words that tell what a page has or lacks beside its text.
+_MODIFIER = re.compile(r"(?:^|(?<=\s))(?:has|with|without|no)[_-]\S*", re.I)
 _GOOD = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|entry|story|body|text)(?:$|[\s_-])", re.I)
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
 
 # Costs of a wrong label, and of a boundary between two blocks. One block has at most two edges of each kind.
-MARKED, INSIDE, HINT, LINKS, PROSE, SHORT = 12.0, 5.0, 1.5, 3.0, 1.2, 0.4
+MARKED, NAMED, INSIDE, HINT, LINKS, PROSE, SHORT = 12.0, 2.5, 5.0, 1.5, 3.0, 1.2, 0.4
+#: What an element's name or role adds to the marks; a class or id word adds 1.
+SURE = 1000
 NEXT, SIBLING = 0.3, 1.0
 
 
@@ -48,16 +58,17 @@ class _Blocks(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int, bool]] = []  # name, number, hidden
-        self.marks: list[tuple[int, int]] = [(0, 0)]  # of the open elements: boilerplate, content
+        # Of the open elements: boilerplate, content, and boilerplate for a heading.
+        self.marks: list[tuple[int, int, int]] = [(0, 0, 0)]
         self.blocks: list[tuple[str, int, int, int, int]] = []
         self.parts: list[str] = []
-        self.linked = self.links = self.hidden = self.number = 0
+        self.linked = self.links = self.hidden = self.number = self.foreign = 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
             home = next((n for name, n, _ in reversed(self.open) if name not in INLINE and name not in ("p", "li")), 0)
-            self.blocks.append((text, self.linked, *self.marks[-1], home))
+            self.blocks.append((text, self.linked, *self.marks[-1][:2], home))
         self.parts, self.linked = [], 0
 
     def handle_starttag(self, name, attrs):
@@ -72,22 +83,36 @@ class _Blocks(HTMLParser):
         hidden = name in SKIPPED or "hidden" in given or given.get("aria-hidden") == "true" or bool(
             re.search(r"display\s*:\s*none", given.get("style") or "", re.I))
         named = f"{given.get('class') or ''} {given.get('id') or ''}"
-        bad, good = self.marks[-1]
-        if name in BOILERPLATE or (given.get("role") or "").lower() in _ROLES or name not in INLINE | {"body", "html"} | CONTENT and _BAD.search(named):
-            # A header or footer of the article itself is marked too; a heading in it is not, see below.
-            bad += 1
-        elif name in CONTENT or given.get("role") == "main":
-            good += 2
+        role = (given.get("role") or "").lower()
+        bad, good, heading = self.marks[-1]
+        sure = name in BOILERPLATE or role in _ROLES
+        if sure or name not in INLINE | {"body", "html"} | CONTENT and role != "main" and _BAD.search(_MODIFIER.sub("", named)):
+            # Where all is content but for such marks, a word is as good as a name.
+            more = SURE if sure or good > 1 else 1
+            bad += more
+            if not (good >= SURE and (name == "header" or re.search(r"(?:^|[\s_-])header(?:$|[\s_-])", named, re.I))):
+                heading += more
+        elif name in CONTENT or role == "main":
+            if good < SURE and bad < SURE:
+                bad = heading = 0
+            good += SURE
         elif name not in ("body", "html") and _GOOD.search(named):
             good += 1
+        if name in HEADINGS:
+            # The title in an article's own header is content.
+            bad = heading
         self.number += 1
         self.open.append((name, self.number, hidden))
-        self.marks.append((bad, good))
+        self.marks.append((bad, good, heading))
+        self.foreign += name in FOREIGN
         self.hidden += hidden
         self.links += name == "a"
 
     def handle_startendtag(self, name, attrs):
         self.handle_starttag(name, attrs)
+        # Only in SVG and MathML does "/>" end an element.
+        if self.foreign and name not in VOID:
+            self.handle_endtag(name)
 
     def _end_implied(self, name: str) -> None:
         if name not in CLOSES and name in INLINE:
@@ -107,6 +132,7 @@ class _Blocks(HTMLParser):
         for name, _, hidden in self.open[i:]:
             self.hidden -= hidden
             self.links -= name == "a"
+            self.foreign -= name in FOREIGN
         del self.open[i:], self.marks[i + 1 :]
 
     def handle_endtag(self, name):
@@ -136,9 +162,11 @@ def costs(block: tuple[str, int, int, int, int]) -> tuple[float, float]:
     """What it costs to call a block boilerplate, and to call it content."""
     text, linked, bad, good, _ = block
     for_content = for_boilerplate = 0.0
-    if bad:
+    if bad >= SURE:
         for_boilerplate += MARKED
-    elif good:
+    else:
+        for_boilerplate += min(NAMED * bad, MARKED)
+    if good and bad < SURE:
         for_content += INSIDE if good > 1 else HINT
     letters = len("".join(text.split()))
     if 2 * linked > letters:

@@ -78,3 +78,20 @@ def test_odd_rows(spark):
     assert found[3, "u"].text == "\n".join(["Is so."] * 4000)
     assert found[5, "u"].text == "deep words end here."
     assert html.extract(pages.limit(0)).count() == 0
+
+
+def test_words_of_elements_around_the_article():
+    text = "This is the article, and it has a whole sentence that is long enough to count as prose."
+    for mark in ("class='layout has-sidebar'", "class='with-sidebar'", "class='no-sidebar'", "id='legal'", "class='search tags'"):
+        assert html.main_text(f"<body><div {mark}><article><p>{text}</p></article></div></body>") == text
+        assert html.main_text(f"<body><div {mark}><div class='post-content'><p>{text}</p></div></div></body>") == text or "has" not in mark
+    # One word gives way to the cut, more of them do not.
+    assert html.main_text(f"<div id='legal'><div class='post-content'><p>{text}</p></div></div>") == text
+    assert html.main_text(f"<div class='comments'><div class='comment'><div class='text'><p>{text}</p></div></div></div>") == ""
+    assert html.main_text(f"<article><p>{text}</p><section class='comments'><article><p>Mine. {text}</p></article></section></article>") == text
+
+
+def test_title_formula_and_closed_svg():
+    page = """<body><header><h1>Site</h1></header><article><header class="entry-header"><h1>Title</h1><p>By someone, who wrote this on a day.</p></header>
+    <p>So <math><msup><mi>x</mi><mn>2</mn></msup><annotation>x^2</annotation></math> is a square.</p><svg viewBox="0"/><p>It goes on.</p></article></body>"""
+    assert html.main_text(page) == "Title\nSo x2 is a square.\nIt goes on."
