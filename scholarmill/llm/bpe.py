@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SEGMENT = 1 << 16
-_SAFE = re.compile(r"(?<=\S)(?=\s)")
+# U+001C to U+001F are white space to Python, but not to the tokenizer.
+_SAFE = re.compile(r"(?<=\S)(?=[^\S\x1c-\x1f])")
 
 
 @cache

@@ -46,3 +46,9 @@ def test_round_trip_of_odd_rows(spark):
     assert bpe.token_digests(docs.limit(0), FILE, public_tokenizers.PATTERN).count() == 0
     none = bpe.token_digests(docs.where("doc_id = 1"), FILE, public_tokenizers.PATTERN).first()
     assert none.n_tokens == 0 and none.ids_sha256 == none.decoded_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_no_cut_before_separators_the_tokenizer_takes_for_marks():
+    text = "ab!\x1c\x1d\x1e\x1f cd"
+    assert [list(bpe.segments(text, n)) for n in range(1, 7)] == [["ab!\x1c\x1d\x1e\x1f cd"]] * 6
+    assert list(bpe.segments("ab!\x1c cd ef", 2)) == ["ab!\x1c cd", " ef"]
