@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from scholarmill.llm import bpe, exact, html, imatch, lm, packing, pii, quality, shards, simhash
+from scholarmill.llm import (
+    alignment, bpe, exact, html, imatch, lm, packing, pii, quality, sentencepieces, shards, simhash, whitening,
+)
 from scholarmill.llm.common import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +91,28 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(
         table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")
     )
+
+
+@query
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.alignment_counts(
+        table(spark, folder, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
+@query
+def op12_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepieces.token_digests(
+        table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
+@query
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    # A deviation beyond a long is null here; the column after the contract's has it.
+    found = whitening.whiten(table(spark, folder, "embeddings"))
+    whole = F.expr("try_cast(deviation AS long)").alias("deviation")
+    return found.select("vec_id", "component", "n", whole, "whitened", "explained", "identity_error",
+                        F.col("deviation").alias("deviation_decimal"))

@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from sentencepiece import SentencePieceProcessor
+
+from scholarmill.llm import queries, sentencepieces
+from tests.conftest import SMALL
+
+FILE = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def code():
+    return sentencepieces.Codec(FILE)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return SentencePieceProcessor(model_file=FILE)
+
+
+def ids(code, text):
+    return np.frombuffer(code.encode(text), "<u4").tolist()
+
+
+@pytest.mark.parametrize("text", [
+    "", " ", "a", " a", "a b", "a  b ", "x\n\ny\tz", "▁q", "\x00a", "é é", "<s> </s> <unk> <0x41>", "ﬁ ＡＢ", "\xa0x　y",
+    "\r\n};\r", "日本語テキスト", "🙂🙃 🙂", "   " * 7 + "x", "aaaaaaaaaaaaaaaaaaaa" * 9, "�﻿",
+])
+def test_ids_are_those_of_the_library(code, library, text):
+    assert ids(code, text) == library.encode(text, add_bos=True, add_eos=True)
+
+
+def test_random_texts(code, library):
+    pick = random.Random(5)
+    letters = " ▁abcdeé\n\t日本語<>0x1\r;{}().\x00ＡB🙂  "
+    pieces = ["   ", "  ", " ", "a", "the", "ing", "▁▁", "nn", "\n", "ational"]
+    for n in range(4000):
+        text = "".join(pick.choice(letters if n % 2 else pieces) for _ in range(pick.randint(0, 30)))
+        assert ids(code, text) == library.encode(text, add_bos=True, add_eos=True), text
+
+
+def test_search_is_merging(code):
+    """The definition, merged symbol by symbol, against the search, on cuts and whole lines."""
+    pick = random.Random(7)
+    for _ in range(500):
+        text = "".join(pick.choice("▁▁abeinorst日;\r🙂") for _ in range(pick.randint(1, 25)))
+        assert code.search(text) == code.merge(text)
+
+
+def test_dead_ends_are_left_and_marked():
+    """A model in which the longest first piece is wrong, and so is what follows it."""
+
+    class Small(sentencepieces.Codec):
+        def __init__(self, order):
+            import ahocorasick
+
+            self.ids = {p: i for i, p in enumerate(order)}
+            self.score = {p: -i for i, p in enumerate(order)}
+            self.pairs = {}
+            whole = {p for p in order if len(p) == 1 or self.merge(p) == [p]}
+            self.matcher = ahocorasick.Automaton()
+            for p in whole:
+                self.matcher.add_word(p, p)
+            self.matcher.make_automaton()
+            self.shorter = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in whole), None) for p in whole}
+
+    pick = random.Random(3)
+    for n in range(300):
+        order = ["a", "b", "c"]
+        while len(order) < 12:
+            new = pick.choice(order) + pick.choice(order)
+            if new not in order:
+                order.insert(pick.randint(3, len(order)) if n % 2 else len(order), new)
+        small = Small(order)
+        for _ in range(30):
+            text = "".join(pick.choice("abc") for _ in range(pick.randint(1, 18)))
+            assert small.search(text) == small.merge(text), (order, text)
+
+
+def test_caches_stay_bounded(code, library, monkeypatch):
+    monkeypatch.setattr(sentencepieces, "CACHED", 50)
+    pick = random.Random(1)
+    for _ in range(200):
+        text = " ".join("".join(pick.choice("abcdef") for _ in range(6)) for _ in range(9))
+        assert ids(code, text) == library.encode(text, add_bos=True, add_eos=True)
+    assert len(code.young) <= 50
+
+
+def test_query(spark, library):
+    expected = {}
+    for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect():
+        coded = library.encode(r.text, add_bos=True, add_eos=True)
+        raw = np.array(coded, "<u4").tobytes()
+        expected[r.doc_id] = (len(coded), hashlib.sha256(raw).hexdigest(), hashlib.sha256(library.decode(coded).encode()).hexdigest())
+    assert {r.doc_id: tuple(r)[1:] for r in queries.op12_sentencepiece(spark, SMALL).collect()} == expected
+
+
+def test_odd_rows(spark, library):
+    rows = [(1, None), (2, ""), (2, "é🙂 \x00\n"), (2, "é🙂 \x00\n"), (None, "null id"), (3, "long " * 500_000), (4, "x" * 300_000)]
+    docs = spark.createDataFrame([(*r, 5, "k") for r in rows], "doc_id long, text string, ids int, _llm_key string")
+    coded = sentencepieces.encode(docs, FILE)
+    key = lambda r: (r[0] or 0, r[1])
+    expected = [(i, library.encode(t or "", add_bos=True, add_eos=True)) for i, t in rows]
+    assert sorted((tuple(r) for r in coded.collect()), key=key) == sorted(expected, key=key)
+    back = sentencepieces.decode(coded, FILE)
+    assert sorted((tuple(r) for r in back.collect()), key=key) == sorted(((i, t or "") for i, t in rows), key=key)
+    assert sentencepieces.token_digests(docs.limit(0), FILE).count() == 0
+    none = sentencepieces.token_digests(docs.where("doc_id = 1"), FILE).first()
+    assert none.n_tokens == 2 and none.decoded_sha256 == hashlib.sha256(b"").hexdigest()

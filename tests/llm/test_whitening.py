@@ -1,0 +1,179 @@
+from __future__ import annotations
+
+import math
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from scholarmill.llm import queries, whitening
+from tests.conftest import SMALL
+
+
+def table(spark, vectors, **columns):
+    rows = [(i, None if v is None else [None if c is None else float(c) for c in v]) for i, v in enumerate(vectors)]
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+
+
+def plain(vectors, wanted=4):
+    """The definition in NumPy: (n, deviations, whitened, explained) of all vectors."""
+    x = np.floor(256 * np.array(vectors, np.float64)).astype(np.int64)
+    fit = np.unique(x, axis=0)
+    n, s = len(fit), fit.sum(axis=0)
+    e, v = np.linalg.eigh(np.cov(fit.T.astype(float), bias=True).reshape(len(s), len(s)))
+    e, v = e[::-1][:wanted], v[:, ::-1][:, :wanted]
+    return n, ((n * x - s) ** 2).sum(axis=1), (x - s / n) @ v / np.sqrt(e), e / np.trace(np.cov(fit.T.astype(float), bias=True).reshape(len(s), len(s)))
+
+
+def check(found, vectors, tolerance=1e-9):
+    n, deviation, white, explained = plain(vectors)
+    d = white.shape[1]
+    rows = {(r.vec_id, r.component): r for r in found}
+    assert len(rows) == len(found) == len(vectors) * d
+    got = np.array([[rows[i, k + 1].whitened for k in range(d)] for i in range(len(vectors))])
+    sign = np.sign((got * white).sum(axis=0))
+    assert np.abs(got * sign - white).max() < tolerance
+    for (i, k), r in rows.items():
+        assert (r.n, int(r.deviation)) == (n, deviation[i])
+        assert math.isclose(r.explained, explained[k - 1], rel_tol=1e-9)
+        assert r.identity_error < 1e-9
+
+
+def test_query(spark):
+    found = queries.op13_whitening(spark, SMALL)
+    assert found.columns[:7] == ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"]
+    vectors = [r.embedding for r in spark.read.parquet(f"{SMALL}/embeddings.parquet").orderBy("vec_id").collect()]
+    check(found.collect(), vectors)
+
+
+def test_repeated_vectors_are_fitted_once(spark):
+    pick = np.random.default_rng(2)
+    vectors = pick.normal(size=(60, 5)).round(2).tolist()
+    vectors += [vectors[0]] * 900  # more than the rest together
+    check(whitening.whiten(table(spark, vectors).repartition(7)).collect(), vectors)
+
+
+def test_less_than_four_dimensions(spark):
+    pick = np.random.default_rng(3)
+    for d in (1, 2, 3):
+        check(whitening.whiten(table(spark, v := pick.normal(size=(20, d)).tolist())).collect(), v)
+
+
+def test_odd_rows(spark):
+    good = [[0.5, -0.25, 3.0], [1.0, 2.0, -1.0], [0.125, 0.0, 0.75], [7.0, 1.5, 2.5], [-2.0, 0.25, 1.0]]
+    odd = [None, [1.0, None, 2.0], [math.nan, 0, 0], [math.inf, 0, 0], [0, -math.inf, 0]]
+    found = whitening.whiten(table(spark, good + odd)).collect()
+    check(found, good)
+    short = whitening.whiten(table(spark, [*good, [1.0]])).collect()
+    check(short, [*good, [1.0, 0.0, 0.0]])
+    assert whitening.whiten(table(spark, odd)).count() == 0
+    assert whitening.whiten(table(spark, [[], []])).count() == 0
+    clash = table(spark, good).selectExpr("CAST(NULL AS string) AS vec_id", "embedding", "1 AS x", "2 AS component", "3 AS width")
+    rows = whitening.whiten(clash).collect()
+    assert len(rows) == 15 and all(r.vec_id is None for r in rows)
+
+
+def test_no_variance(spark):
+    rows = whitening.whiten(table(spark, [[1.0, 2.0]] * 3)).collect()
+    assert len(rows) == 6
+    assert all((r.n, r.deviation, r.whitened, r.explained, r.identity_error) == (1, 0, None, None, None) for r in rows)
+    line = whitening.whiten(table(spark, [[t, 2 * t, -t] for t in (0.0, 1.0, 2.0, 5.0)])).collect()
+    assert {r.component: (r.whitened is None, r.explained) for r in line} == {1: (False, 1.0), 2: (True, 0.0), 3: (True, 0.0)}
+    assert all(r.identity_error < 1e-12 for r in line)
+
+
+def test_numbers_beyond_eight_bytes(spark):
+    pick = np.random.default_rng(4)
+    vectors = (pick.normal(size=(30, 3)) * 1e15).tolist() + [[1e300, -1e300, 0.0]]
+    rows = whitening.whiten(table(spark, vectors)).collect()
+    x = [[max(-(2**63), min(2**63 - 1, math.floor(256 * Fraction(c)))) for c in v] for v in vectors]
+    sums = [sum(c) for c in zip(*x)]
+    exact = [sum((31 * a - s) ** 2 for a, s in zip(v, sums)) for v in x]
+    assert {r.vec_id: r.deviation for r in rows} == {i: v if v < 10**38 else None for i, v in enumerate(exact)}
+    assert all(abs(r.identity_error) < 1e-6 for r in rows)
+
+
+def minors(matrix):
+    """det(t I - matrix) over fractions, by evaluation and interpolation."""
+    d = len(matrix)
+
+    def det(m):
+        m, out = [[Fraction(v) for v in row] for row in m], Fraction(1)
+        for k in range(d):
+            at = next((i for i in range(k, d) if m[i][k]), None)
+            if at is None:
+                return Fraction(0)
+            if at != k:
+                m[k], m[at], out = m[at], m[k], -out
+            out *= m[k][k]
+            for i in range(k + 1, d):
+                u = m[i][k] / m[k][k]
+                m[i] = [a - u * b for a, b in zip(m[i], m[k])]
+        return out
+
+    points = [(t, det([[(t if i == j else 0) - matrix[i][j] for j in range(d)] for i in range(d)])) for t in range(d + 1)]
+    total = [Fraction(0)] * (d + 1)
+    for t, value in points:
+        basis, scale = [Fraction(1)], Fraction(1)
+        for s, _ in points:
+            if s != t:
+                basis = [a - s * b for a, b in zip([*basis, 0], [0, *basis])]
+                scale *= t - s
+        total = [a + value / scale * b for a, b in zip(total, basis)]
+    return [int(v) for v in total]
+
+
+def gram(rows):
+    return [[sum(a * b for a, b in zip(u, v)) for v in rows] for u in rows]
+
+
+@pytest.mark.parametrize("rows", [
+    [[3, 1, -2, 5], [0, 7, 2, 2], [1, 1, 1, -9], [4, 0, 0, 3]],
+    [[1, 2, 3], [2, 4, 6], [0, 1, 1]],  # singular
+    [[2, 0, 0, 0], [0, 2, 0, 0], [0, 0, 2, 0], [0, 0, 0, 1]],  # a triple root
+    [[0, 0], [0, 0]],
+])
+def test_polynomial_is_exact(spark, rows):
+    matrix = gram(rows)
+    assert whitening.characteristic_polynomial(spark, matrix) == minors(matrix)
+
+
+def test_roots_and_their_multiplicity():
+    def product(roots):
+        f = [1]
+        for r in roots:
+            f = [a - r * b for a, b in zip([*f, 0], [0, *f])]
+        return f
+
+    for roots in ([9, 9, 9, 5, 4, 4, 0, 0], [7, 6, 5, 4, 3], [0, 0, 0], [2**70, 2**70 - 1, 2**70 - 1, 1]):
+        found = whitening.largest_roots(product(roots), 4, max(roots))
+        expected = [(v, roots.count(v)) for v in sorted(set(roots), reverse=True)]
+        assert [r.times for r in found] == [t for _, t in expected][: len(found)]
+        assert len(found) == len(expected) or sum(r.times for r in found[:-1]) >= 4
+        simple = whitening.without_repeats(product(roots))
+        assert simple == product(sorted(set(roots), reverse=True))
+        for r, (v, _) in zip(found, expected):
+            r.sharpen(simple, 80)
+            assert Fraction(r.low, 2**r.bits) < v <= Fraction(r.low + 1, 2**r.bits)
+
+
+def test_nearly_tied_components(spark):
+    """Eigenvalues apart by a part in 10^14: double arithmetic mixes their vectors, exact roots do not."""
+    c, s, big = 3, 4, 5 * 10**7
+    # Along (3, 4) and (-4, 3), with lengths that differ by one part in 5 * 10^7 twice over.
+    x = [(c * big, s * big), (-c * big, -s * big), (-s * (big + 1), c * (big + 1)), (s * (big + 1), -c * (big + 1))]
+    sums, squares = [0, 0], gram([list(v) for v in zip(*x)])
+    found = whitening.components(spark, 4, sums, squares)
+    assert np.abs(np.abs(found.vectors) - [[0.8, 0.6], [0.6, 0.8]]).max() < 1e-15
+    tied = [(c * big, s * big), (-c * big, -s * big), (-s * big, c * big), (s * big, -c * big)]
+    equal = whitening.components(spark, 4, sums, gram([list(v) for v in zip(*tied)]))
+    assert np.abs(equal.vectors @ equal.vectors.T - np.eye(2)).max() < 1e-15 and equal.values[0] == equal.values[1]
+
+
+def test_exact_sums_of_any_cut(spark, monkeypatch):
+    pick = np.random.default_rng(8)
+    x = pick.integers(-(2**40), 2**40, (500, 3)).tolist()
+    monkeypatch.setattr(whitening, "BATCH", 7)
+    df = spark.createDataFrame([(v,) for v in x], "x array<long>").repartition(5)
+    count, sums, squares = whitening.exact_sums(df, 3)
+    assert (count, sums, squares) == (500, [sum(c) for c in zip(*x)], gram([list(c) for c in zip(*x)]))
