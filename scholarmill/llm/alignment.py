@@ -1,7 +1,8 @@
 """Alignment of the tokens of two tokenizers over a corpus, by whitespace-token anchors.
 
 A text is tokenized whole by both: byte-level BPE (A) over a space and the text, pieces (B) over the
-text, before which the model sets the space itself. Token bytes are joined and held against the text's.
+text, before which the model sets the space itself. The libraries are asked about parts between which no
+token of either crosses, and mostly about new ones. Token bytes are joined and held against the text's.
 Where a token of either side begins with a space at the same byte, both sides have a token that ends
 there: an anchor. Anchors split a document into windows of token ids on both sides, mostly a word each.
 What a window's groups and links are depends on its ids alone, so windows are aligned once and looked up
@@ -16,13 +17,14 @@ and texts are tokenized once.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +34,6 @@ from pyspark.sql import functions as F
 
 from scholarmill.session import stored
 
-#: Characters over which a text is cut for the tokenizers, at a place that no token of either crosses.
-SEGMENT = 1 << 16
 #: Bytes of texts whose links share a list of pairs.
 CHUNK_BYTES = 16 << 20
 #: Windows of a generation of the memory; there are two.
@@ -41,33 +41,21 @@ REMEMBERED = 120_000
 #: Numbered pairs of ids over which a worker begins anew with its next chunk.
 PAIRS = 1 << 20
 MARK = "▁"
-_CUT = re.compile(r"(?<=\S)(?= .)", re.DOTALL)
+#: Longest part of a text whose ids are remembered.
+LONGEST = 48
+#: From a space behind something else, or the start, to the next.
+_UNIT = re.compile(r" (?:[^ ]+|(?<=\s) )*")
+_APART = b"\xff" * 4
+_NONE = np.empty(0, "<u4"), np.empty(0, "<u4")
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: The byte for each letter that byte-level vocabularies write: itself if it prints, else the next from U+0100 on.
 _BYTE_OF = {chr(b): b for b in _PRINTED} | {chr(256 + i): b for i, b in enumerate(x for x in range(256) if x not in _PRINTED)}
 
 
-def _table(names: dict[int, bytes], size: int) -> tuple[list[bytes], list[int], np.ndarray]:
+def _table(names: dict[int, bytes], size: int) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Bytes by id, their lengths, and whether they begin with a space."""
     table = [names.get(i, b"") for i in range(size)]
-    return table, [len(t) for t in table], np.array([t[:1] == b" " for t in table])
-
-
-def window(a: tuple[int, ...], b: tuple[int, ...], length_a: list[int], length_b: list[int]) -> list[tuple[int, int]]:
-    """The groups of ids that cover the same bytes: where each ends in ``a`` and in ``b``, end exclusive.
-
-    Groups are cut wherever both sides end, so two tokens end together only at the end of a group.
-    Lengths are by id.
-    """
-    ends, ahead, j = [], 0, 0
-    for i, one in enumerate(a, 1):
-        ahead += length_a[one]
-        while ahead > 0:
-            ahead -= length_b[b[j]]
-            j += 1
-        if not ahead:
-            ends.append((i, j))
-    return ends
+    return table, np.array([len(t) for t in table]), np.array([t[:1] == b" " for t in table])
 
 
 class Aligner:
@@ -91,78 +79,124 @@ class Aligner:
         self.bytes_b, self.length_b, self.space_b = _table(raw, len(pieces))
         self.can_cut = not any(MARK in p.lstrip(MARK) for p in pieces.values())
         self.told = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
-        self.sizes_a, self.sizes_b = np.array(self.length_a), np.array(self.length_b)
+        self.young_units: dict[str, tuple[bytes, bytes] | None] = {}
+        self.old_units: dict[str, tuple[bytes, bytes] | None] = {}
         self.forget()
 
     def forget(self) -> None:
-        self.young: dict[tuple, tuple[str, tuple[int, ...]]] = {}
-        self.old: dict[tuple, tuple[str, tuple[int, ...]]] = {}
-        self.numbers: dict[int, int] = {}  # of pairs a << 32 | b
-
-    def segments(self, text: str) -> Iterator[str]:
-        """A text that begins with a space in pieces that do so too, and are tokenized one by one."""
-        start = 0
-        while self.can_cut and len(text) - start > SEGMENT:
-            cut = _CUT.search(text, start + SEGMENT)
-            if not cut:
-                break
-            yield text[start : cut.start()]
-            start = cut.start()
-        yield text[start:]
-
-    def tokens(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of both sides for each text; none if the text is empty or either side's bytes differ from it."""
-        parts = [list(self.segments(" " + t)) if t else [] for t in texts]
-        flat = [p for some in parts for p in some]
-        side_a = iter([e.ids for e in self.a.encode_batch_fast(flat, add_special_tokens=False)])
-        side_b = iter(self.b.encode([p[1:] for p in flat], num_threads=1))
-        for some in parts:
-            a = list(chain.from_iterable(next(side_a) for _ in some))
-            b = list(chain.from_iterable(next(side_b) for _ in some))
-            whole = "".join(some).encode()
-            same = all(b"".join(map(names.__getitem__, ids)) == whole for names, ids in ((self.bytes_a, a), (self.bytes_b, b)))
-            yield (a, b) if same else ([], [])
-
-    def _align(self, key: tuple[tuple[int, ...], tuple[int, ...]]) -> tuple[str, tuple[int, ...]]:
+        self.young: dict[bytes, tuple[str, bytes]] = {}
+        self.old: dict[bytes, tuple[str, bytes]] = {}
+        self.pairs: dict[int, tuple[int, str]] = {}  # number and text of a << 32 | b
+
+    def units(self, text: str) -> list[str]:
+        """A text that begins with a space in parts that do so too, between which no token of either side crosses."""
+        return _UNIT.findall(text) if self.can_cut else [text]
+
+    def _coded(self, units: set[str]) -> dict[str, tuple[bytes, bytes] | None]:
+        """Ids of both sides by unit; None if either side's bytes are not the unit's. Known ones are looked up."""
+        young, old = self.young_units, self.old_units
+        found = {u: young[u] for u in units & young.keys()}
+        again = {u: old[u] for u in (units - found.keys()) & old.keys()}
+        new = units - found.keys() - again.keys()
+        # A unit that ends with white space, the last of a text, would run on into the next one.
+        plain = [u for u in new if self.can_cut and MARK not in u and not u[-1].isspace()]
+        again |= self._in_one(plain)
+        again |= {u: self._alone(u) for u in new - again.keys()}
+        young.update((u, ids) for u, ids in again.items() if len(u) <= LONGEST)
+        if len(young) >= REMEMBERED:
+            self.old_units, self.young_units = young, {}
+        return found | again
+
+    def _in_one(self, units: list[str]) -> dict[str, tuple[bytes, bytes]]:
+        """Ids of units one after the other, from one text of all; none if some token crosses or bytes differ."""
+        text = "".join(units)
+        if not text:
+            return {}
+        whole, ends, sides = text.encode(), np.cumsum([len(u.encode()) for u in units]), []
+        coded = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text[1:])
+        for ids, table, length in zip(coded, (self.bytes_a, self.bytes_b), (self.length_a, self.length_b)):
+            line = np.array(ids, "<u4")
+            at = length[line].cumsum()
+            cuts = np.searchsorted(at, ends)
+            if cuts[-1] >= len(at) or (at[cuts] != ends).any() or b"".join([table[i] for i in ids]) != whole:
+                return {}
+            raw, places = line.tobytes(), [0, *(4 * cuts + 4).tolist()]
+            sides.append([raw[i:j] for i, j in zip(places, places[1:])])
+        return dict(zip(units, zip(*sides)))
+
+    def _alone(self, unit: str) -> tuple[bytes, bytes] | None:
+        (a,) = self.a.encode_batch_fast([unit], add_special_tokens=False)
+        # A last space has nothing for B to set it before.
+        b = self.b.encode(unit[1:]) if len(unit) > 1 else [self.b.piece_to_id(MARK)]
+        sides = [(a.ids, self.bytes_a), (b, self.bytes_b)]
+        if all(b"".join([table[i] for i in ids]) == unit.encode() for ids, table in sides):
+            return tuple(array("I", ids).tobytes() for ids, _ in sides)
+        return None
+
+    def tokens(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of both sides for each text; none if the text is empty or either side's bytes differ from it.
+
+        Neither side drops anything or joins what a space behind another character parts, so a text's ids
+        are those of its units, most of which have been met before.
+        """
+        parts = [self.units(" " + t) if t else [] for t in texts]
+        known = self._coded(set().union(*parts))
+        for units in parts:
+            coded = [known[u] for u in units]
+            yield _NONE if None in coded else tuple(np.frombuffer(b"".join(side), "<u4") for side in zip(*coded)) or _NONE
+
+    def windows(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[str, bytes]]:
+        """The groups of each window of a document, and the numbers of its links (four bytes each).
+
+        Groups are cut wherever both sides end, so two tokens end together only at the end of a group: a
+        group is a link of its last ids.
+        """
+        if not len(a):
+            return
+        ends_a, ends_b = self.length_a[a].cumsum(), self.length_b[b].cumsum()
+        ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        cut_a, cut_b = np.searchsorted(ends_a, ends) + 1, np.searchsorted(ends_b, ends) + 1
+        # Anchors: shared ends before tokens that begin with a space on both sides.
+        anchors = np.flatnonzero(self.space_a[a[cut_a[:-1]]] & self.space_b[b[cut_b[:-1]]]) + 1
+        raw_a, raw_b = a.tobytes(), b.tobytes()
+        at = [0, *anchors.tolist(), len(ends)]
+        byte_a, byte_b = ([0, *(4 * cut[anchors - 1]).tolist(), 4 * len(ids)] for cut, ids in ((cut_a, a), (cut_b, b)))
+        known, groups = self.young.get, None
+        for n in range(len(at) - 1):
+            key = raw_a[byte_a[n] : byte_a[n + 1]] + _APART + raw_b[byte_b[n] : byte_b[n + 1]]
+            found = known(key)
+            if found is None:
+                if groups is None:
+                    last = (a[cut_a - 1].astype(np.int64) << 32 | b[cut_b - 1]).tolist()
+                    groups = last, [0, *cut_a.tolist()], [0, *cut_b.tolist()], a.tolist(), b.tolist()
+                found = self._align(key, at[n], at[n + 1], *groups)
+                known = self.young.get
+            yield found
+
+    def _align(self, key: bytes, start: int, end: int, last: list, cut_a: list, cut_b: list, a: list, b: list) -> tuple[str, bytes]:
+        """The window with ids ``key``: groups ``start`` to ``end`` of a document with ids ``a`` and ``b``.
+
+        A group has the ids from one cut to the next on either side; ``last`` are its last ids.
+        """
         found = self.old.get(key)
-        if not found:
-            a, b = key
-            groups, links, i, j = [], [], 0, 0
-            told, numbers = self.told, self.numbers
-            for i2, j2 in window(a, b, self.length_a, self.length_b):
-                if i2 - i == 1 == j2 - j:
-                    groups.append(told[a[i]] + "|" + told[b[j]])
+        if found is None:
+            texts, links, pairs, told = [], [], self.pairs, self.told
+            for g in range(start, end):
+                pair = pairs.get(last[g])
+                if pair is None:
+                    pair = pairs[last[g]] = len(pairs), f"{last[g] >> 32}|{last[g] & 0xFFFFFFFF}"
+                links.append(pair[0])
+                i, i2, j, j2 = cut_a[g], cut_a[g + 1], cut_b[g], cut_b[g + 1]
+                if i2 - i + j2 - j == 2:
+                    texts.append(pair[1])
                 else:
-                    groups.append(",".join([told[x] for x in a[i:i2]]) + "|" + ",".join([told[x] for x in b[j:j2]]))
-                links.append(numbers.setdefault(a[i2 - 1] << 32 | b[j2 - 1], len(numbers)))
-                i, j = i2, j2
-            found = ";".join(groups), tuple(links)
+                    texts.append(",".join([told[x] for x in a[i:i2]]) + "|" + ",".join([told[x] for x in b[j:j2]]))
+            found = ";".join(texts), array("I", links).tobytes()
         if len(self.young) >= REMEMBERED:
             self.old, self.young = self.young, {}
         self.young[key] = found
         return found
 
-    def windows(self, a: list[int], b: list[int]) -> Iterator[tuple[str, tuple[int, ...]]]:
-        """The groups of each window of a document, and the numbers of its links."""
-        if not a:
-            return
-        ids_a, ids_b = np.array(a), np.array(b)
-        ends_a, ends_b = self.sizes_a[ids_a].cumsum(), self.sizes_b[ids_b].cumsum()
-        # Ends before a token that begins with a space, on both sides alike.
-        anchors = np.intersect1d(
-            ends_a[:-1][self.space_a[ids_a[1:]]], ends_b[:-1][self.space_b[ids_b[1:]]], assume_unique=True
-        )
-        at_a = [0, *(np.searchsorted(ends_a, anchors) + 1).tolist(), len(a)]
-        at_b = [0, *(np.searchsorted(ends_b, anchors) + 1).tolist(), len(b)]
-        line_a, line_b, known, align = tuple(a), tuple(b), self.young.get, self._align
-        for i, i2, j, j2 in zip(at_a, at_a[1:], at_b, at_b[1:]):
-            key = (line_a[i:i2], line_b[j:j2])
-            found = known(key)
-            if found is None:
-                found = align(key)
-                known = self.young.get
-            yield found
-
 
 @cache
 def aligner(byte_file: str, piece_file: str) -> Aligner:
@@ -190,6 +224,16 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str
             yield ids, texts
 
 
+def _uncollected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, with cyclic garbage collection off until the last: the memory has no cycles, but walking
+    it again and again would take a fifth of the time."""
+    gc.disable()
+    try:
+        yield from batches
+    finally:
+        gc.enable()
+
+
 def align(docs: DataFrame, byte_file: str, piece_file: str) -> DataFrame:
     """doc_id and groups of every row: (a, b), the ids of both sides between two places where both end.
 
@@ -239,7 +283,7 @@ def chunks(docs: DataFrame, byte_file: str, piece_file: str) -> DataFrame:
         lines: list[np.ndarray] = []
 
         def row() -> pa.RecordBatch:
-            every, pairs = np.concatenate(lines), np.fromiter(both.numbers, np.int64, len(both.numbers))
+            every, pairs = np.concatenate(lines), np.fromiter(both.pairs, np.int64, len(both.pairs))
             counts = np.bincount(every, minlength=len(pairs))
             order = np.argsort(pairs)
             order = order[counts[order] > 0]
@@ -250,15 +294,12 @@ def chunks(docs: DataFrame, byte_file: str, piece_file: str) -> DataFrame:
             values = [number, *map(list, zip(*rows)), _pack(place[every]), pairs[order], counts[order]]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, _KINDS)], names=names)
 
-        for ids, texts in _batches(batches):
+        for ids, texts in _batches(_uncollected(batches)):
             for doc_id, text, (a, b) in zip(ids, texts, both.tokens(texts)):
-                groups, links = [], []
-                for told, ends in both.windows(a, b):
-                    groups.append(told)
-                    links.extend(ends)
+                groups, links = zip(*both.windows(a, b)) if len(a) else ((), ())
                 sha = hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else ""
-                rows.append((doc_id, len(a), len(b), len(links), sha))
-                lines.append(np.array(links, np.int64))
+                lines.append(np.frombuffer(b"".join(links), np.uint32))
+                rows.append((doc_id, len(a), len(b), len(lines[-1]), sha))
                 size += len(text)
                 if size > CHUNK_BYTES:
                     yield row()

@@ -116,14 +116,18 @@ def test_chunks_close_and_numbers_begin_anew(spark, plain, monkeypatch):
     assert len(both.young) <= 3
 
 
-def test_long_texts_are_cut_where_no_token_crosses(monkeypatch, plain):
+def test_parts_of_a_text_have_the_tokens_of_the_whole():
     both = alignment.Aligner(BYTES, PIECES)
-    texts = ["a  b   c    d " * 9, "no-space" * 40, "line\n\n next \t x " * 9, " lead", "trail ", "é 日 本 's 's"]
-    whole = [tuple(map(list, t)) for t in both.tokens(texts)]
-    for size in (1, 3, 10):
-        monkeypatch.setattr(alignment, "SEGMENT", size)
-        assert [tuple(map(list, t)) for t in both.tokens(texts)] == whole
-        assert all("".join(both.segments(" " + t)) == " " + t for t in texts)
+    pick = random.Random(9)
+    texts = ["a  b   c    d " * 9, "no-space" * 40, "line\n\n next \t x " * 9, " lead", "trail ", " ", "é 日 本 's 's", "a\n  x", "a \x1c x"]
+    texts += ["".join(pick.choice("ab's \n\t1!é日\x1c\u3000") for _ in range(pick.randint(1, 25))) for _ in range(3000)]
+    for text, (a, b) in zip(texts, both.tokens(texts)):
+        assert "".join(both.units(" " + text)) == " " + text
+        assert a.tolist() == both.a.encode(" " + text, add_special_tokens=False).ids, repr(text)
+        assert b.tolist() == both.b.encode(text), repr(text)
+    both.can_cut = False
+    for text, (a, b) in zip(texts[:20], both.tokens(texts[:20])):
+        assert a.tolist() == both.a.encode(" " + text, add_special_tokens=False).ids and b.tolist() == both.b.encode(text)
 
 
 def test_a_text_of_some_megabytes(spark, plain):
