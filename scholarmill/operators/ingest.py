@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholarmill.functions.rules import Rules
-from scholarmill.functions.text import link_kind, page_links, page_text, page_title
+from scholarmill.functions.text import host_of, link_kind, page_links, page_text, page_title
 
 CORRUPT = "_corrupt_record"
 MIN_PAGE_TEXT = 500
@@ -44,8 +44,10 @@ def cleaned_pages(pages: DataFrame) -> DataFrame:
 
 def page_link_rows(pages: DataFrame) -> DataFrame:
     """Every link of every page with its kind."""
-    links = pages.select("page_id", "url", F.explode(page_links(F.col("html"))).alias("link"))
-    return links.select("page_id", "link", link_kind(F.col("link"), F.col("url")).alias("kind"))
+    links = pages.select(
+        "page_id", host_of(F.col("url")).alias("own_host"), F.explode(page_links(F.col("html"))).alias("link")
+    ).withColumn("host", host_of(F.col("link")))
+    return links.select("page_id", "link", link_kind(F.col("link"), F.col("host"), F.col("own_host")).alias("kind"))
 
 
 def page_rules() -> Rules:

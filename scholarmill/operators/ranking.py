@@ -85,6 +85,12 @@ def with_summary(ranking: DataFrame) -> DataFrame:
     return ranking.withColumn("summary", ranking_summary(F.col("paper_count"), F.col("lab_count")))
 
 
+def lab_cells(labs: DataFrame) -> DataFrame:
+    """Papers and labs per university and set of sub-field ids: labs of a cell always match together."""
+    ids = F.array_sort(F.array_distinct("research_sub_fields")).alias("ids")
+    return labs.groupBy("university_id", ids).agg(F.sum(papers()).alias("paper_count"), F.count("*").alias("lab_count"))
+
+
 def rank_selections(
     labs: DataFrame,
     universities: DataFrame,
@@ -98,17 +104,21 @@ def rank_selections(
     same sub-fields rank alike. Both sides are reduced to their distinct sets first, so a popular
     sub-field meets a popular selection once, not once per lab and selection.
     """
+    return rank_cells(lab_cells(labs), universities, selections, sub_fields, fields)
+
+
+def rank_cells(
+    cells: DataFrame, universities: DataFrame, selections: DataFrame, sub_fields: DataFrame, fields: DataFrame
+) -> DataFrame:
+    """``rank_selections`` from the cells of the labs."""
     chosen = (
         selections.join(sub_field_dim(sub_fields, fields), ["field", "sub_field"])
         .groupBy("selection_id")
         .agg(F.array_sort(F.collect_set("sub_field_id")).alias("wanted"))  # at most the taxonomy
     )
     wanted = chosen.select("wanted").distinct().withColumn("sub_field_id", F.explode("wanted"))
-    groups = labs.groupBy(
-        "university_id", F.array_sort(F.array_distinct("research_sub_fields")).alias("ids")
-    ).agg(F.sum(papers()).alias("paper_count"), F.count("*").alias("lab_count"))
     matched = (
-        groups.withColumn("sub_field_id", F.explode("ids"))
+        cells.withColumn("sub_field_id", F.explode("ids"))
         .join(wanted, "sub_field_id")
         .groupBy("wanted", "university_id", "ids")
         .agg(F.max("paper_count").alias("paper_count"), F.max("lab_count").alias("lab_count"))

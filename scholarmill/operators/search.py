@@ -19,7 +19,8 @@ from scholarmill.operators.bookmarks import pairs
 from scholarmill.operators.positions import with_positions
 from scholarmill.operators.ranking import roll_up
 from scholarmill.operators.taxonomy import Taxonomy, listed
-from scholarmill.session import stored
+from scholarmill.session import scratch_folder, stored
+from scholarmill.sources.folders import folders
 
 
 def keyword_search(documents: DataFrame, keywords: list[str]) -> DataFrame:
@@ -104,9 +105,10 @@ def vector_topk(
 
     Queries are stored once, numbered, and taken in blocks of ``per_block``, whatever their number. A
     block travels with the tasks of one pass over the vectors, which are not shuffled; each Arrow batch
-    keeps its own best ``k`` per query, and only those are. So neither a third of equal vectors nor
-    their number reaches one task, and no more than a block is ever on the driver. Vectors and queries
-    without direction (all zero, or empty) are left out.
+    keeps its own best ``k`` per query, and only those are. Each pass is run and stored before the next
+    block is fetched, so no more than a block is ever on the driver, and the plan that is returned reads
+    the stored rows alone. Neither a third of equal vectors nor their number reaches one task. Vectors
+    and queries without direction (all zero, or empty) are left out. For many queries see ``cells``.
     """
     spark = vectors.sparkSession
     directed = F.coalesce(F.exists(F.col("v"), lambda x: x != 0), F.lit(False))
@@ -127,8 +129,10 @@ def vector_topk(
 
         return points.mapInPandas(best, NEAREST)
 
-    passes = [one_pass(first) for first in range(1, n_queries + 1, per_block)]
-    nearest = reduce(DataFrame.unionByName, passes) if passes else spark.createDataFrame([], NEAREST)
+    folder = scratch_folder(spark)
+    for first in range(1, n_queries + 1, per_block):
+        one_pass(first).write.parquet(f"{folder}/block={first}")
+    nearest = folders(spark, folder, NEAREST, "parquet").select("qid", "vec_id", "sim")
     place = Window.partitionBy("qid").orderBy(F.desc("sim"), "vec_id")
     return (
         nearest.withColumn("rk", F.row_number().over(place))
@@ -137,16 +141,64 @@ def vector_topk(
     )
 
 
-def field_bits(ids: Column, taxonomy: Taxonomy) -> Column:
-    """One bit per field reached by an id array."""
-    order = {field: i for i, field in enumerate(dict.fromkeys(row[3] for row in taxonomy.rows))}
-    bits = constant_map([(row[4], 1 << order[row[3]]) for row in taxonomy.rows])
-    none = F.lit(0).cast("bigint")
-    return F.aggregate(
-        F.coalesce(ids, F.array().cast("array<bigint>")),
-        none,
-        lambda acc, i: acc.bitwiseOR(F.coalesce(bits[i], none)),
-    )
+class FieldBits:
+    """Sets of fields as the bits of a bigint, for a taxonomy of at most 62 fields."""
+
+    MOST = 62
+
+    def __init__(self, taxonomy: Taxonomy):
+        order = {field: i for i, field in enumerate(dict.fromkeys(row[3] for row in taxonomy.rows))}
+        self.bits = constant_map([(row[4], 1 << order[row[3]]) for row in taxonomy.rows])
+
+    def of(self, ids: Column) -> Column:
+        """The fields reached by an id array; NULL for none."""
+        none = F.lit(0).cast("bigint")
+        every = F.aggregate(
+            F.coalesce(ids, F.array().cast("array<bigint>")),
+            none,
+            lambda acc, i: acc.bitwiseOR(F.coalesce(self.bits[i], none)),
+        )
+        return F.nullif(every, none)
+
+    def united(self, held: DataFrame) -> DataFrame:
+        """(user_id, interest, n_held) of the labs that users hold."""
+        return held.groupBy("user_id").agg(F.bit_or("fields").alias("interest"), F.count("*").alias("n_held"))
+
+    def shared(self) -> Column:
+        return F.bit_count(F.col("fields").bitwiseAND(F.col("interest")))
+
+    def each(self, mask: str) -> Column:
+        """A row for each field of the set."""
+        return F.expr(f"explode(filter(sequence(0, 62), i -> (shiftright({mask}, i) & 1) = 1))")
+
+
+class FieldLists:
+    """Sets of fields as sorted arrays of their numbers, for any taxonomy."""
+
+    def __init__(self, taxonomy: Taxonomy):
+        order = {field: i for i, field in enumerate(dict.fromkeys(row[3] for row in taxonomy.rows))}
+        self.numbers = constant_map([(row[4], order[row[3]]) for row in taxonomy.rows])
+
+    def of(self, ids: Column) -> Column:
+        known = F.array_compact(F.transform(F.coalesce(ids, F.array().cast("array<bigint>")), lambda i: self.numbers[i]))
+        return F.when(F.size(known) > 0, F.array_sort(F.array_distinct(known)))
+
+    def united(self, held: DataFrame) -> DataFrame:
+        sets = held.groupBy("user_id", "fields").agg(F.count("*").alias("n"))
+        reached = sets.select("user_id", F.explode("fields").alias("f")).distinct()
+        interest = reached.groupBy("user_id").agg(F.array_sort(F.collect_list("f")).alias("interest"))  # at most all fields
+        return interest.join(sets.groupBy("user_id").agg(F.sum("n").alias("n_held")), "user_id")
+
+    def shared(self) -> Column:
+        return F.size(F.array_intersect("fields", "interest"))
+
+    def each(self, fields: str) -> Column:
+        return F.explode(fields)
+
+
+def field_sets(taxonomy: Taxonomy) -> FieldBits | FieldLists:
+    n_fields = len({row[3] for row in taxonomy.rows})
+    return FieldBits(taxonomy) if n_fields <= FieldBits.MOST else FieldLists(taxonomy)
 
 
 def recommend(
@@ -159,28 +211,28 @@ def recommend(
 
     Labs are put in order once, within those of the same fields. A free lab that a user can be
     recommended is then in one of two places: among the first k of its own list, or among the k after
-    one of the user's bookmarks there. The first kind is a small table: the first k of every list, put
-    in order for every interest (both bounded by the sets of fields), of which a user with n bookmarks
-    needs the first n + k. Only these places are looked up.
+    one of the user's bookmarks there. The first kind is a table of the first k of every list, put in
+    order for every interest that shares a field with it; lists and interests are sets of fields, of which
+    there are few if fields are, and never more than labs and users. A user with n bookmarks needs the
+    first n + k. Only these places are looked up.
     """
+    sets = field_sets(taxonomy or listed())
     profiles = stored(
         labs.select(
             F.col("id").alias("lab_id"),
             F.coalesce("paper_count", F.lit(0)).alias("paper_count"),
-            field_bits(F.col("research_sub_fields"), taxonomy or listed()).alias("fields"),
-        ).where(F.col("fields") > 0)
+            sets.of(F.col("research_sub_fields")).alias("fields"),
+        ).where(F.col("fields").isNotNull())
     )
     order = [F.desc("paper_count"), F.col("lab_id")]
     lists = stored(with_positions(profiles, ["fields"], order))
     marks = stored(pairs(bookmarks))
     held = stored(marks.join(lists.select("lab_id", "fields", "pos"), "lab_id"))
-    users = stored(
-        held.groupBy("user_id").agg(F.bit_or("fields").alias("interest"), F.count("*").alias("n_held"))
-    )
+    users = stored(sets.united(held))
 
-    score = F.bit_count(F.col("fields").bitwiseAND(F.col("interest")))
-    interests = users.select("interest").distinct().withColumn("bit", _bits("interest"))
-    firsts = lists.where(F.col("pos") <= k).withColumn("bit", _bits("fields"))
+    score = sets.shared()
+    interests = users.select("interest").distinct().withColumn("bit", sets.each("interest"))
+    firsts = lists.where(F.col("pos") <= k).withColumn("bit", sets.each("fields"))
     met = firsts.join(interests, "bit").drop("bit").distinct().withColumn("score", score)
     merged = Window.partitionBy("interest").orderBy(F.desc("score"), *order)
     openers = met.withColumn("place", F.row_number().over(merged)).select(
@@ -211,11 +263,6 @@ def recommend(
     )
 
 
-def _bits(mask: str) -> Column:
-    """A row for each bit that is set."""
-    return F.expr(f"explode(filter(sequence(0, 62), i -> (shiftright({mask}, i) & 1) = 1))")
-
-
 def neighbour_pairs(placed: DataFrame) -> DataFrame:
     """Each lab with the next one in its university's list: pairs grow with the labs."""
     one = placed.select("university", "pos", F.col("id").alias("lab_a"))

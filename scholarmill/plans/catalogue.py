@@ -11,16 +11,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholarmill import schemas
-from scholarmill.constants import AUTH_MESSAGE_RULES
+from scholarmill.constants import AREAS, AUTH_MESSAGE_RULES
 from scholarmill.functions import collections as coll
 from scholarmill.functions.labs import size_class, size_criteria, size_label, size_text
 from scholarmill.functions.rules import first_failure
 from scholarmill.functions.text import first_match
 from scholarmill.operators import (
+    bitmaps,
     bookmarks,
     conversations,
     detail,
     ingest,
+    inverted,
     quality,
     ranking,
     search,
@@ -30,9 +32,12 @@ from scholarmill.operators import (
 )
 from scholarmill.session import scratch_folder, stored
 from scholarmill.sources import files
+from scholarmill.sources.buckets import BucketTable
+from scholarmill.sources.rankings import KeptRankings
 from scholarmill.sources.relations import Relations, publish
 from scholarmill.sources.tables import Tables
 from scholarmill.streaming import jobs
+from scholarmill.streaming.assembly import Assembly
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,6 +98,41 @@ def q_ranking_multi_selection(t: Tables) -> DataFrame:
     return ranking.rank_selections(labs, t.universities(), selections, t.sub_fields(), t.fields())
 
 
+@query
+def q_kept_ranking(t: Tables) -> DataFrame:
+    """The rankings of all selections from kept sums, after two feeds of edits that overlap in time."""
+    labs = stored(t.labs(papers=True, sub_fields=True))
+    kept = KeptRankings(t.spark, scratch_folder(t.spark), "bigint", "bigint", buckets=16)
+    columns = ["id", "university_id", "paper_count", "research_sub_fields"]
+    kept.apply(labs.select(*columns, F.lit(False).alias("deleted"), F.lit(-1).cast("bigint").alias("ord")))
+    edits = stored(t.lab_edits(labs))
+    for rest in (1, 0):
+        kept.apply(edits.where(F.col("ord") % 2 == rest))
+    selections = taxonomy.constant_relation(t.spark, SELECTIONS, schemas.SELECTIONS)
+    return kept.rank(t.universities(), selections, t.sub_fields(), t.fields())
+
+
+def _wanted(t: Tables) -> DataFrame:
+    """Sub-fields of the selections and of the areas, by name."""
+    selections = taxonomy.constant_relation(t.spark, SELECTIONS, schemas.SELECTIONS)
+    named = selections.join(taxonomy.sub_field_dim(t.sub_fields(), t.fields()), ["field", "sub_field"])
+    areas = [(f"area {area}", i) for area, _, ids in AREAS for i in ids]
+    listed = taxonomy.constant_relation(t.spark, areas, "selection_id string, sub_field_id bigint")
+    return named.select("selection_id", "sub_field_id").unionByName(listed)
+
+
+@query
+def q_selection_lab_counts(t: Tables) -> DataFrame:
+    index = stored(bitmaps.lab_index(t.labs(sub_fields=True), "id"))
+    return bitmaps.matching_labs(index, _wanted(t))
+
+
+@query
+def q_selection_university_counts(t: Tables) -> DataFrame:
+    index = stored(bitmaps.lab_index(t.labs(sub_fields=True), "id"))
+    return bitmaps.matching_labs_by_university(index, _wanted(t))
+
+
 @query
 def q_ranking_refresh_diff(t: Tables) -> DataFrame:
     labs = t.labs(papers=True, sub_fields=True)
@@ -356,6 +396,33 @@ def q_refresh_latest(t: Tables) -> DataFrame:
     return jobs.current(t.spark, f"{folder}/table", schema, keys, order).select(*keys, "value")
 
 
+@query
+def q_bucketed_load(t: Tables) -> DataFrame:
+    """Events loaded in three parts, the last ones first, into a table hashed by key."""
+    schema = "user_id bigint, event_type string, value double, ts timestamp_ntz, event_id bigint"
+    events = t.read("events").select("user_id", "event_type", "value", "ts", "event_id")
+    table = BucketTable(t.spark, scratch_folder(t.spark), schema, ["user_id", "event_type"], buckets=16)
+    for rest in (2, 0, 1):
+        table.upsert(events.where(F.col("event_id") % 3 == rest), ["ts", "event_id"])
+    return table.read().select("user_id", "event_type", "value")
+
+
+@query
+def q_set_rules(t: Tables) -> DataFrame:
+    """Purchases staged under row rules, a key that must not repeat and a lab that must exist."""
+    rows = t.read("events").where(F.col("event_type") == "purchase").select(
+        "event_id", "user_id", F.get_json_object("props", "$.k").cast("bigint").alias("lab_id"), "value"
+    )
+    open_labs = t.labs().where("lab_member_count IS NOT NULL")
+    sets = [quality.Unique("repeated", ["user_id", "lab_id"]), quality.Reference("unknown_lab", "lab_id", open_labs, "id")]
+    staging = scratch_folder(t.spark)
+    files.stage(rows, [("small", F.col("value") < 10)], staging, sets)
+    staged = files.read_relation(
+        t.spark, staging, "event_id bigint, user_id bigint, lab_id bigint, value double, reasons string, status string"
+    )
+    return staged.select("event_id", "status", "reasons")
+
+
 @query
 def q_url_sheet(t: Tables) -> DataFrame:
     """Page addresses written as a sheet and read back through its schema."""
@@ -413,6 +480,22 @@ def q_message_text(t: Tables) -> DataFrame:
     return conversations.message_text(chunks, per_segment=4)
 
 
+@query
+def q_message_stream(t: Tables) -> DataFrame:
+    """The deltas of ``q_message_text`` as a stream of files: what has closed and what is still open."""
+    turns = jobs.read_events(
+        t.spark, f"{t.folder}/conversations*.parquet", "conv_id bigint, turn bigint, role string, text string", 1
+    )
+    sent = turns.where(F.col("role") == "assistant").select(
+        F.col("conv_id").alias("message_id"), F.col("turn").alias("seq"), "text",
+        F.timestamp_seconds(F.col("conv_id") * 60 + F.col("turn")).alias("ts"),
+    )
+    folder = scratch_folder(t.spark)
+    replies = Assembly(f"{folder}/replies", kind="bigint", per_segment=4)
+    replies.start(sent, f"{folder}/checkpoint").awaitTermination()
+    return replies.whole(t.spark)
+
+
 # ---- Ingest ------------------------------------------------------------------------------------
 
 
@@ -445,6 +528,15 @@ def q_keyword_search(t: Tables) -> DataFrame:
     return search.keyword_search(t.read("documents"), KEYWORDS)
 
 
+@query
+def q_text_search(t: Tables) -> DataFrame:
+    """The best documents for every benchmark item, from an inverted index."""
+    folder = scratch_folder(t.spark)
+    inverted.build_index(t.read("documents"), folder)
+    items = t.read("benchmark").select(F.col("item_id").alias("qid"), "text")
+    return inverted.TextIndex(t.spark, folder).search(items, TOP_K)
+
+
 @query
 def q_name_search(t: Tables) -> DataFrame:
     found = search.named_like(t.universities(), NAME_TERM)

@@ -14,6 +14,8 @@ from scholarmill.constants import (
     UNKNOWN,
     taxonomy_rows,
 )
+from scholarmill.functions.text import ENTITIES, REFERENCE
+from scholarmill.operators import inverted
 from scholarmill.plans import catalogue as cat
 
 
@@ -141,15 +143,23 @@ final AS (
   FROM step GROUP BY 1, 2
 )"""
 
-ENTITY_OPEN = "replace(replace(replace(replace(replace(replace("
-ENTITY_CLOSE = (
-    ", '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&')"
-)
+NAMED = "MAP {" + ", ".join(f"{_text(n)}: {_text(c)}" for n, c in ENTITIES) + "}"
+
+
+def _decoded(text: str) -> str:
+    """Character references one by one: what follows an ampersand is looked at up to its semicolon."""
+    name = f"regexp_extract(p, '{REFERENCE}', 1)"
+    hexadecimal = f"lower(substr({name}, 1, 2)) = '#x'"
+    digits = f"CASE WHEN {hexadecimal} THEN CAST('0x' || substr({name}, 3) AS INTEGER) ELSE CAST(substr({name}, 2) AS INTEGER) END"
+    point = f"CASE WHEN {digits} BETWEEN 1 AND 55295 OR {digits} BETWEEN 57344 AND 1114111 THEN chr({digits}) ELSE chr(65533) END"
+    character = f"CASE WHEN {name} LIKE '#%' THEN {point} ELSE {NAMED}[{name}] END"
+    one = f"coalesce({character} || substr(p, length({name}) + 2), '&' || p)"
+    return f"array_to_string(list_transform(string_split({text}, '&'), lambda p, i: CASE WHEN i = 1 THEN p ELSE {one} END), '')"
 
 
 def _plain(markup: str) -> str:
-    tagless = f"regexp_replace({markup}, '(?s)<[^>]*>', ' ', 'g')"
-    decoded = f"{ENTITY_OPEN}{tagless}{ENTITY_CLOSE}"
+    tag = r"""(?s)<[A-Za-z/!?](?:[^>"'']|"[^"]*"|''[^'']*'')*>|<[^>]*>"""
+    decoded = _decoded(f"regexp_replace({markup}, '{tag}', ' ', 'g')")
     return f"trim(regexp_replace({decoded}, '[\\s\\x{{00a0}}]+', ' ', 'g'))"
 
 
@@ -162,12 +172,9 @@ SHOWN = r"""regexp_replace(html, '<!--.*?-->|<script\b.*?</script\s*>|<style\b.*
 TAGS = rf"""regexp_extract_all({SHOWN}, '<[A-Za-z](?:[^>"'']|"[^"]*"|''[^'']*'')*>')"""
 RAW = r"""regexp_extract(t, '\shref\s*=\s*("[^"]*"|''[^'']*''|[^\s"''>]+)', 1, 'i')"""
 QUOTED = """CASE WHEN v[1] IN ('"', '''') THEN substr(v, 2, length(v) - 2) ELSE v END"""
-DECODED = "v"
-for _entity, _char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
-    DECODED = f"replace({DECODED}, '{_entity}', '{_char}')"
 LINKS = (
     f"list_transform(list_transform(list_filter(list_transform({TAGS}, lambda t: {RAW}), lambda v: v <> ''), "
-    f"lambda v: {QUOTED}), lambda v: trim({DECODED}, ' '))"
+    f"lambda v: {QUOTED}), lambda v: trim({_decoded('v')}, ' '))"
 )
 HOST = "lower(regexp_extract({}, '^(?:https?:)?//(?:[^/?#@]*@)?([^/?#:]+)', 1, 'i'))"
 
@@ -458,7 +465,80 @@ lab_field AS (SELECT DISTINCT id, field FROM lab_tax),
 total AS (
   SELECT f.field, CAST(extract(year FROM o.o_orderdate) AS BIGINT) AS year, count(*) AS papers
   FROM lab_field f JOIN orders o ON o.o_custkey = f.id GROUP BY 1, 2
-)
-SELECT field, year, papers, papers - lag(papers) OVER (PARTITION BY field ORDER BY year) AS change FROM total""",
+),
+calendar AS (
+  SELECT field, unnest(generate_series(min(year), max(year))) AS year FROM total GROUP BY field
+),
+known AS (SELECT c.field, c.year, coalesce(t.papers, 0) AS papers FROM calendar c LEFT JOIN total t USING (field, year))
+SELECT a.field, a.year, a.papers, a.papers - b.papers AS change
+FROM known a LEFT JOIN known b ON b.field = a.field AND b.year = a.year - 1""",
 }
 ORACLE["q_stored_ranking"] = ORACLE["q_ranking_by_subfield"]
+ORACLE["q_bucketed_load"] = ORACLE["q_upsert_latest"]
+ORACLE["q_message_stream"] = ORACLE["q_message_text"]
+ORACLE["q_kept_ranking"] = f"""
+WITH {LABS}, {_values('sel', 'selection_id, field, sub_field', cat.SELECTIONS)},
+edit AS (
+  SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS id, event_type, event_id
+  FROM events WHERE event_type IN ('error', 'signup')
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY event_id DESC) = 1
+),
+edited AS (
+  SELECT lab.id, coalesce(n.n_name, lab.university) AS university,
+         CASE WHEN e.id IS NULL THEN lab.paper_count ELSE e.event_id % 100 END AS paper_count
+  FROM lab LEFT JOIN edit e USING (id) LEFT JOIN nation n ON n.n_nationkey = (e.id + e.event_id) % 25
+  WHERE e.id IS NULL OR e.event_type <> 'error'
+),
+hit AS (
+  SELECT DISTINCT s.selection_id, l.id FROM lab_tax l
+  JOIN sel s ON s.field = l.field AND s.sub_field = l.sub_field
+),
+total AS (
+  SELECT selection_id, university, CAST(sum(paper_count) AS BIGINT) AS paper_count, count(*) AS lab_count
+  FROM hit JOIN edited USING (id) GROUP BY 1, 2
+)
+SELECT selection_id,
+       row_number() OVER (PARTITION BY selection_id ORDER BY paper_count DESC, university) AS rnk,
+       university, paper_count, lab_count FROM total"""
+WANTED = f"""
+{_values('sel', 'selection_id, field, sub_field', cat.SELECTIONS)},
+wanted AS (
+  SELECT selection_id, sub_field_id FROM sel JOIN taxonomy USING (field, sub_field)
+  UNION ALL SELECT 'area ' || area, sub_field_id FROM area_member
+)"""
+ORACLE["q_selection_lab_counts"] = f"""
+WITH {AREA}, {LABS}, {WANTED}
+SELECT w.selection_id, count(DISTINCT s.id) AS n_labs
+FROM wanted w LEFT JOIN lab_sub s ON s.sub_field_id = w.sub_field_id
+  AND s.id IN (SELECT c_custkey FROM customer) GROUP BY 1"""
+ORACLE["q_selection_university_counts"] = f"""
+WITH {AREA}, {LABS}, {WANTED}
+SELECT w.selection_id, CAST(c.c_nationkey AS VARCHAR) AS university_id, count(DISTINCT s.id) AS n_labs
+FROM wanted w JOIN lab_sub s ON s.sub_field_id = w.sub_field_id JOIN customer c ON c.c_custkey = s.id GROUP BY 1, 2"""
+ORACLE["q_set_rules"] = """
+WITH purchase AS (
+  SELECT event_id, user_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS lab_id, value
+  FROM events WHERE event_type = 'purchase'
+),
+reason AS (
+  SELECT event_id, concat_ws(',', CASE WHEN value IS NULL OR value < 10 THEN 'small' END,
+    CASE WHEN lab_id IS NULL OR user_id IS NULL OR count(*) OVER (PARTITION BY user_id, lab_id) > 1 THEN 'repeated' END,
+    CASE WHEN lab_id IS NULL OR lab_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) THEN 'unknown_lab' END
+  ) AS reasons FROM purchase
+)
+SELECT event_id, CASE WHEN reasons = '' THEN 'valid' ELSE 'quarantine' END AS status, reasons FROM reason"""
+WORDS = "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+')"
+ORACLE["q_text_search"] = f"""
+WITH word AS (SELECT doc_id, unnest({WORDS}) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS times FROM word GROUP BY 1, 2),
+df AS (SELECT term, count(*) AS n_docs FROM tf GROUP BY 1),
+size AS (SELECT doc_id, len({WORDS}) AS length FROM documents),
+total AS (SELECT count(*) AS n, avg(length) AS mean_length FROM size),
+asked AS (SELECT DISTINCT item_id AS qid, unnest({WORDS}) AS term FROM benchmark),
+scored AS (
+  SELECT qid, doc_id, count(*) AS n_terms,
+         round(sum(ln(1 + (n - n_docs + 0.5) / (n_docs + 0.5)) * times * {inverted.K1 + 1}
+               / (times + {inverted.K1} * (1 - {inverted.B} + {inverted.B} * length / mean_length))), {inverted.DIGITS}) AS score
+  FROM asked JOIN tf USING (term) JOIN df USING (term) JOIN size USING (doc_id), total GROUP BY 1, 2
+)
+SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rk FROM scored QUALIFY rk <= {cat.TOP_K}"""

@@ -162,6 +162,22 @@ class Tables:
             "user_id", "ts", "event_id", "event_type", F.json_tuple("props", "k").alias("k")
         )
 
+    def lab_edits(self, labs: DataFrame) -> DataFrame:
+        """Errors read as deletions of a lab, sign-ups as a new number of papers at another university.
+
+        (id, university_id, paper_count, research_sub_fields, deleted, ord) of labs that are there.
+        """
+        events = self._keyed_events().where(F.col("event_type").isin("error", "signup"))
+        edits = events.select(F.col("k").cast("bigint").alias("id"), "event_type", F.col("event_id").alias("ord"))
+        return edits.join(labs.select("id", "research_sub_fields"), "id").select(
+            "id",
+            F.pmod(F.col("id") + F.col("ord"), F.lit(25)).cast("bigint").alias("university_id"),
+            (F.col("ord") % 100).alias("paper_count"),
+            "research_sub_fields",
+            (F.col("event_type") == "error").alias("deleted"),
+            "ord",
+        )
+
     def bookmarks(self) -> DataFrame:
         return self.event_pairs("purchase")
 

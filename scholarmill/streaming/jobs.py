@@ -12,6 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from scholarmill.operators.bookmarks import PAIR, toggle_counts
 from scholarmill.operators.state import KEYS, as_toggles, fold_selection, latest
 from scholarmill.session import remove, stored
+from scholarmill.sources.buckets import BucketTable
+from scholarmill.sources.folders import folders
 
 RUN, VERSION = "run", "version"
 BASE_RUN = 0
@@ -28,7 +30,7 @@ def run_number(spark: SparkSession, table: str, checkpoint: str) -> int:
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-    taken = _folders(spark, f"{table}/runs", "n long").agg(F.max("n")).first()[0]
+    taken = folders(spark, f"{table}/runs", "n long").agg(F.max("n")).first()[0]
     number = (taken or BASE_RUN) + 1
     one = spark.range(1).select(F.lit(number).cast("long").alias("n"))
     one.write.mode("append").json(f"{table}/runs")
@@ -36,16 +38,6 @@ def run_number(spark: SparkSession, table: str, checkpoint: str) -> int:
     return number
 
 
-def _folders(spark: SparkSession, path: str, schema: str, reader: str = "json") -> DataFrame:
-    """A table that may not be there yet."""
-    try:
-        return getattr(spark.read.schema(schema), reader)(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def read_events(
     spark: SparkSession, folder: str, schema: str, files_per_batch: int = 1000
 ) -> DataFrame:
@@ -71,7 +63,7 @@ def latest_stream(events: DataFrame, keys: list[str], order: list[str]) -> DataF
 
 def current(spark: SparkSession, table: str, schema: str, keys: list[str], order: list[str]) -> DataFrame:
     """The latest row per key of a table that grows by one folder per run and batch."""
-    rows = _folders(spark, f"{table}/rows", f"{schema}, {RUN} bigint, {VERSION} bigint", "parquet")
+    rows = folders(spark, f"{table}/rows", f"{schema}, {RUN} bigint, {VERSION} bigint", "parquet")
     return latest(rows.drop(RUN, VERSION), keys, order)
 
 
@@ -99,6 +91,23 @@ def refresh(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def refresh_buckets(
+    incoming: DataFrame, table: BucketTable, checkpoint: str, order: list[str], trigger: dict | None = None
+) -> StreamingQuery:
+    """Load a stream into a table hashed by key: a batch rewrites only the buckets of its keys.
+
+    The number of the batch is the load's token, so a replayed batch is not loaded again.
+    """
+    run = run_number(incoming.sparkSession, table.path, checkpoint)
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        table.upsert(batch.persist(), order, f"{run}-{batch_id}")
+        batch.unpersist()
+
+    writer = incoming.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def compact(spark: SparkSession, table: str, schema: str, keys: list[str], order: list[str],
             target: str) -> None:
     """Write the current rows to a new table, under a run that no stream has."""
@@ -113,11 +122,23 @@ LOG = "session string, ord bigint, kind string, field string, sub_field string"
 PARTS = f"{RUN} bigint, {VERSION} bigint, bucket int"
 MARKS = f"{RUN} bigint, {VERSION} bigint, whole boolean"
 SNAPSHOT_EVERY = 100
-BUCKETS = 64
+BUCKETS = 256
+#: Late sessions that are named in the scan of the log; more of them are only joined.
+NAMED = 1000
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*KEYS), F.lit(buckets)).cast("int")
 
 
-def _bucket() -> Column:
-    return F.pmod(F.xxhash64(*KEYS), F.lit(BUCKETS)).cast("int")
+def _buckets_of(spark: SparkSession, table: str, wanted: int) -> int:
+    """The number of buckets that ``table`` was begun with."""
+    known = folders(spark, f"{table}/layout", "buckets int").first()
+    if known:
+        return known[0]
+    one = spark.range(1).select(F.lit(wanted).alias("buckets"))
+    one.write.mode("append").json(f"{table}/layout")
+    return wanted
 
 
 def _place() -> Column:
@@ -139,14 +160,14 @@ def _last_whole(marks: DataFrame, place: Column | None = None) -> tuple[int, int
 
 
 def _states(spark: SparkSession, table: str, since: tuple[int, int]) -> DataFrame:
-    rows = _folders(spark, f"{table}/state", f"{STATE}, {PARTS}", "parquet")
+    rows = folders(spark, f"{table}/state", f"{STATE}, {PARTS}", "parquet")
     # Both conditions are on folder names, so folders before the snapshot are not opened.
     return rows.where(F.col(RUN) >= since[0]).where((F.col(RUN) > since[0]) | (F.col(VERSION) >= since[1]))
 
 
 def selection_state(spark: SparkSession, table: str) -> DataFrame:
     """Current selection per session and field: the last snapshot and the batches after it."""
-    since = _last_whole(_folders(spark, f"{table}/marks", MARKS))
+    since = _last_whole(folders(spark, f"{table}/marks", MARKS))
     rows = latest(_states(spark, table, since).drop("bucket"), KEYS, [RUN, VERSION])
     return rows.select("session", "field", "enabled", "selected")
 
@@ -157,6 +178,7 @@ def selection_stream(
     checkpoint: str,
     trigger: dict | None = None,
     snapshot_every: int = SNAPSHOT_EVERY,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Fold a stream of toggles (session, ord, kind, field, sub_field) into ``table``.
 
@@ -167,29 +189,35 @@ def selection_stream(
     greater ``ord`` has been folded, that key alone is folded anew from its log. So the state is that
     of the whole log, however the input was cut and in whatever order it came.
 
-    Log and states lie in buckets of the key, and a batch opens only those that it touches. A batch
+    Log and states lie in buckets of the key, whose number a new table takes from ``buckets``. A batch
+    opens states of the buckets that it touches, and the log only if some press is late: the buckets of
+    the late keys, in files that are sorted by key, so that what holds other keys is skipped. A batch
     writes the states it changed; every ``snapshot_every`` batches it writes all states, after which
     the states before the last snapshot but one are removed. Each checkpoint writes under a run of
     its own (see ``run_number``); one stream at a time writes to a table.
     """
     scratch = hashlib.sha256(table.encode()).hexdigest()[:16]
     run = run_number(toggles.sparkSession, table, checkpoint)
+    bucket = _bucket(_buckets_of(toggles.sparkSession, table, buckets))
     columns = ["session", "ord", "kind", "field", "sub_field"]
 
     def write(rows: DataFrame, kind: str, batch_id: int) -> None:
         path = f"{table}/{kind}/{RUN}={run}/{VERSION}={batch_id}"
-        rows.withColumn("bucket", _bucket()).write.mode("overwrite").partitionBy("bucket").parquet(path)
+        # Sorted by range, a hot key spreads over files, and each file holds a short run of keys.
+        order = ["bucket", *(c for c in (*KEYS, "ord") if c in rows.columns)]
+        placed = rows.withColumn("bucket", bucket).repartitionByRange(*order).sortWithinPartitions(*order)
+        placed.write.mode("overwrite").partitionBy("bucket").parquet(path)
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch = batch.select(*columns).persist()  # for its keys, its log, the sort's ranges and the fold
         touched = batch.groupBy(*KEYS).agg(F.min("ord").alias("first_ord"), F.max("ord").alias("newest_ord"))
-        touched = touched.withColumn("bucket", _bucket())
-        opened = [r[0] for r in touched.select("bucket").distinct().collect()]  # at most BUCKETS
+        touched = touched.withColumn("bucket", bucket)
+        opened = [r[0] for r in touched.select("bucket").distinct().collect()]  # at most ``buckets``
         write(batch, "log", batch_id)
 
         here = _at(run, batch_id)
-        since = _last_whole(_folders(spark, f"{table}/marks", MARKS), here)
+        since = _last_whole(folders(spark, f"{table}/marks", MARKS), here)
         earlier = _states(spark, table, since).where(_place() < here)
         own = latest(earlier.where(F.col("bucket").isin(opened)).join(touched.select(*KEYS), KEYS, "left_semi"), KEYS, [RUN, VERSION])
         held = stored(
@@ -197,9 +225,15 @@ def selection_stream(
         )
         late = held.where("first_ord < last_ord").select(*KEYS)
         timely = held.where("last_ord IS NOT NULL AND first_ord >= last_ord")
-        log = _folders(spark, f"{table}/log", f"{LOG}, {PARTS}", "parquet").where(_place() < here)
-        again = log.where(F.col("bucket").isin(opened)).select(*columns).join(late, KEYS, "left_semi")
-        presses = as_toggles(timely).select(*columns).unionByName(again).unionByName(batch)
+        presses = as_toggles(timely).select(*columns).unionByName(batch)
+        reopened = [r[0] for r in late.select(bucket).distinct().collect()]
+        if reopened:
+            log = folders(spark, f"{table}/log", f"{LOG}, {PARTS}", "parquet").where(_place() < here)
+            log = log.where(F.col("bucket").isin(reopened))
+            sessions = [r[0] for r in late.select("session").distinct().limit(NAMED + 1).collect()]
+            if len(sessions) <= NAMED:
+                log = log.where(F.col("session").isin(sessions))
+            presses = presses.unionByName(log.select(*columns).join(late, KEYS, "left_semi"))
         states = fold_selection(presses, stored_as=f"selection-{scratch}").join(
             held.select(*KEYS, F.greatest("last_ord", "newest_ord").alias("last_ord")), KEYS
         )
@@ -220,7 +254,7 @@ def selection_stream(
 
 def _drop_states(spark: SparkSession, table: str, before: tuple[int, int]) -> None:
     """Remove the states of batches before a snapshot that is no longer the newest; the log stays."""
-    marks = _folders(spark, f"{table}/marks", MARKS).where(_place() < _at(*before))
+    marks = folders(spark, f"{table}/marks", MARKS).where(_place() < _at(*before))
     for run, version, _ in marks.select(RUN, VERSION, "whole").toLocalIterator():
         remove(spark, f"{table}/state/{RUN}={run}/{VERSION}={version}")
         remove(spark, f"{table}/marks/{RUN}={run}/{VERSION}={version}")

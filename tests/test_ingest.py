@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -11,9 +13,11 @@ from scholarmill.constants import AUTH_MESSAGE_RULES
 from scholarmill.functions import text as tx
 from scholarmill.functions.rules import first_failure, registration_rules
 from scholarmill.operators import conversations, ingest, quality, search, trends
+from scholarmill.operators.taxonomy import Taxonomy
 from scholarmill.sources import files
+from scholarmill.sources.buckets import BucketTable
 from tests import fixtures
-from tests.fixtures import tuples
+from tests.fixtures import labs, tuples
 
 
 def column(spark, values, fn):
@@ -250,3 +254,92 @@ def test_compare(spark):
     pairs = spark.createDataFrame([("p1", "p3"), ("p3", "p4")], "lab_a string, lab_b string")
     assert sorted(tuples(search.compare_labs(fixtures.labs(spark), pairs))) == [
         ("p1", "p3", -5, None, 1), ("p3", "p4", 15, None, 0)]
+
+
+def test_page_text_of_any_page(spark):
+    pages = [
+        """<p title="a>b">x &#8217; &copy;</p>""",
+        "a &#x1F600;&#65;&#0;&#xD800; &lt;b&gt; &amp;lt; &unknown; &; & &#; AT&T",
+        """<a title='it"s > that' href=x>y</a> 1 < 2 > z <p class="open>unpaired</p>""",
+    ]
+    rows = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "page_id long, html string")
+    found = [r.text for r in ingest.cleaned_pages(rows).orderBy("page_id").collect()]
+    assert found == ["x ’ ©", "a 😀A�� <b> &lt; &unknown; &; & &#; AT&T", "y 1 z unpaired"]
+
+
+def test_links_are_those_of_whole_tags(spark):
+    html = """<a title=" href='no' " href="yes?a=1&amp;b=&#50;">x</a><a
+      HREF = two>y</a><a href="cut<!-- <a href='hidden'> --><p>href=plain</p><a data-href=z>n</a><a hreflang=de href=''>e</a>"""
+    rows = spark.createDataFrame([(1, "https://h.org/", html)], "page_id long, url string, html string")
+    found = [r.link for r in ingest.page_link_rows(rows).collect()]
+    assert found[:2] == ["yes?a=1&b=2", "two"] and "hidden" not in found and "no" not in found and "z" not in found
+
+
+def test_trend_over_a_gap(spark):
+    rows = [("p1", y) for y in (2000, 2003, 2003, 2004, None)]
+    trend = trends.paper_trend(spark.createDataFrame(rows, "lab_id string, year long"), labs(spark, [("p1", "u1", 1, 1, [2])]))
+    expected = [(2000, 1, None), (2001, 0, -1), (2002, 0, 0), (2003, 2, 2), (2004, 1, -1)]
+    assert sorted((r.year, r.papers, r.change) for r in trend.collect()) == expected
+
+
+def test_rules_over_sets(spark):
+    rows = [(1, "a", "x", 5), (2, "a", "x", 5), (3, "b", "x", 5), (4, "c", "gone", -1), (5, None, "x", 5), (6, "d", None, 5)] + [
+        (10 + n, "hot", "x", 1) for n in range(200)]
+    frame = spark.createDataFrame(rows, "id long, k string, ref string, v long")
+    targets = spark.createDataFrame([("x",), ("x",), (None,)], "name string")
+    sets = [quality.Unique("repeated", ["k"]), quality.Reference("orphan", "ref", targets, "name")]
+    found = {r.id: r.reasons for r in quality.set_checked(frame, [("negative", F.col("v") < 0)], sets).collect()}
+    assert {i: found[i] for i in range(1, 7)} == {1: "repeated", 2: "repeated", 3: "", 4: "negative,orphan", 5: "repeated", 6: "orphan"}
+    assert len(found) == len(rows) and all(found[10 + n] == "repeated" for n in range(200))
+
+
+def test_a_load_with_too_many_bad_rows_is_refused(spark, tmp_path):
+    rows = spark.createDataFrame([(str(i), i, i) for i in range(10)], "id string, papers long, ts long")
+    table = BucketTable(spark, str(tmp_path / "t"), "id string, papers bigint, ts bigint", ["id"], 4)
+    rules = [("small", F.col("papers") < 4)]
+    with pytest.raises(files.LoadRefused) as refused:
+        files.staged_upsert(rows, rules, str(tmp_path / "s1"), table, ["ts"], most_bad=0.3)
+    assert refused.value.counts == {"rows": 10, "quarantined": 4} and table.read().count() == 0
+    assert spark.read.parquet(str(tmp_path / "s1")).count() == 10
+    files.staged_upsert(rows, rules, str(tmp_path / "s2"), table, ["ts"], most_bad=0.4)
+    assert table.read().count() == 6
+    files.staged_upsert(rows.limit(0), rules, str(tmp_path / "s3"), table, ["ts"], most_bad=0.0)
+
+
+def test_corrupt_records_go_to_the_quarantine(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(1, '{"k": 3}'), (2, '{"k": "no"}'), (3, "{broken"), (4, '{"k": 99}'), (5, None), (6, '{"k": 4}')], "id long, doc string")
+    labs_there = spark.createDataFrame([(3,), (4,)], "lab long")
+    sets = [quality.Reference("orphan", "k", labs_there, "lab")]
+    valid = files.stage_records(rows, "doc", "k bigint", [], str(tmp_path / "s"), sets)
+    assert sorted((r.id, r.k) for r in valid.collect()) == [(1, 3), (6, 4)]
+    held = spark.read.parquet(str(tmp_path / "s")).where("status = 'quarantine'").collect()
+    assert {r.id: (r.reasons, r.raw) for r in held} == {
+        2: ("corrupt,orphan", '{"k": "no"}'), 3: ("corrupt,orphan", "{broken"), 4: ("orphan", '{"k": 99}'), 5: ("orphan", None)}
+
+
+def test_recommend_with_many_fields(spark):
+    """Seventy fields: more than a bigint has bits; the answer is that of scoring every lab."""
+    taxonomy = Taxonomy([(1, "C", f, f"F{f}", 100 + f, f"S{f}") for f in range(70)])
+    pick = random.Random(2)
+    rows = [(f"p{i}", "u1", pick.randint(0, 5), 1, sorted(pick.sample(range(100, 170), pick.randint(0, 4)))) for i in range(60)]
+    marks = sorted({(f"user{pick.randint(0, 6)}", f"p{pick.randint(0, 59)}") for _ in range(25)})
+    found = search.recommend(labs(spark, rows), spark.createDataFrame(marks, "user_id string, lab_id string"), 4, taxonomy)
+    ids = {r[0]: set(r[4]) for r in rows}
+    papers = {r[0]: r[2] for r in rows}
+    expected = []
+    for user in {u for u, _ in marks}:
+        held = {p for u, p in marks if u == user}
+        interest = set().union(*(ids[p] for p in held))
+        scored = sorted((-len(ids[p] & interest), -papers[p], p) for p in ids if p not in held and ids[p] & interest)
+        expected += [(user, p, -s, i) for i, (s, _, p) in enumerate(scored[:4], 1)]
+    assert sorted(tuples(found)) == sorted(expected)
+
+
+def test_vector_passes_are_stored(spark):
+    vectors = spark.createDataFrame([(i, [float(i % 5), 1.0]) for i in range(40)], "vec_id long, embedding array<float>")
+    queries = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(25)], "qid long, vector array<double>")
+    found = search.vector_topk(vectors, queries, 3, per_block=4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and "ExistingRDD" not in plan
+    assert sorted(tuples(found)) == sorted(tuples(search.vector_topk(vectors, queries, 3)))

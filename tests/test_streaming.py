@@ -133,3 +133,29 @@ def test_latest_stream(spark, tmp_path):
     run.processAllAvailable()
     run.stop()
     assert sorted(tuples(spark.table("latest_now"))) == [("a", 3, "z"), ("b", 5, "y")]
+
+
+def test_batches_without_late_presses_open_no_old_log(spark, tmp_path):
+    """Once the log of the first batch is unreadable, presses in time go on and a late one fails."""
+    events = presses(8, 160, ["a", "b"])
+    folder, table, cp = (str(tmp_path / n) for n in ("in", "state", "cp"))
+    load_selection(spark, events[10:80], folder, table, cp)
+    for path in (tmp_path / "state" / "log").rglob("*.parquet"):
+        path.write_bytes(b"not a log any more")
+        path.with_name(f".{path.name}.crc").unlink(missing_ok=True)
+    load_selection(spark, events[80:], folder, table, cp)
+    assert folded(jobs.selection_state(spark, table)) == replay(events[10:])
+    with pytest.raises(Exception, match="parquet"):
+        load_selection(spark, events[:10], folder, table, cp)
+
+
+def test_old_tables_keep_their_buckets(spark, tmp_path):
+    events = presses(2, 90, ["a", "b"])
+    folder, table, cp = (str(tmp_path / n) for n in ("in", "state", "cp"))
+    for part, buckets in ((events[::2], 4), (events[1::2], 99)):
+        spark.createDataFrame(part, schemas.TOGGLE_EVENTS).coalesce(1).write.mode("append").parquet(folder)
+        stream = jobs.read_events(spark, folder, schemas.TOGGLE_EVENTS, 1)
+        jobs.selection_stream(stream, table, cp, buckets=buckets).awaitTermination(180)
+    assert folded(jobs.selection_state(spark, table)) == replay(events)
+    taken = {r[0] for r in spark.read.parquet(f"{table}/log").select("bucket").distinct().collect()}
+    assert taken <= set(range(4))
