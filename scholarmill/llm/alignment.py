@@ -3,10 +3,10 @@
 A text is tokenized whole by both: byte-level BPE (A) over a space and the text, pieces (B) over the
 text, before which the model sets the space itself. The libraries are asked about parts between which no
 token of either crosses, and mostly about new ones. Token bytes are joined and held against the text's.
-Where a token of either side begins with a space at the same byte, both sides have a token that ends
-there: an anchor. Anchors split a document into windows of token ids on both sides, mostly a word each.
-What a window's groups and links are depends on its ids alone, so windows are aligned once and looked up
-by their ids afterwards. Windows that repeat are most of a corpus.
+Where a token of both sides begins with a space at the same byte, and the ends before it are found to be
+the same, is an anchor. Anchors split a document into windows of token ids on both sides, mostly a word
+each. What a window's groups and links are depends on its ids alone, so windows are aligned once and
+looked up by their ids afterwards. Windows that repeat are most of a corpus.
 
 Counts are corpus-wide and exact. A task gathers the links of some MB of text as places in a sorted list
 of the distinct pairs of ids, and stores one row for all of that: the documents, their links and the
@@ -45,8 +45,8 @@ MARK = "▁"
 LONGEST = 48
 #: From a space behind something else, or the start, to the next.
 _UNIT = re.compile(r" (?:[^ ]+|(?<=\s) )*")
-_APART = b"\xff" * 4
-_NONE = np.empty(0, "<u4"), np.empty(0, "<u4")
+#: Ids of A and of B between two anchors, four bytes each.
+Window = tuple[bytes, bytes]
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: The byte for each letter that byte-level vocabularies write: itself if it prints, else the next from U+0100 on.
 _BYTE_OF = {chr(b): b for b in _PRINTED} | {chr(256 + i): b for i, b in enumerate(x for x in range(256) if x not in _PRINTED)}
@@ -78,21 +78,22 @@ class Aligner:
         raw = {i: bytes([int(p[1:-1], 16)]) if lib.is_byte(i) else p.replace(MARK, " ").encode() for i, p in pieces.items()}
         self.bytes_b, self.length_b, self.space_b = _table(raw, len(pieces))
         self.can_cut = not any(MARK in p.lstrip(MARK) for p in pieces.values())
+        self.sizes_a, self.sizes_b = self.length_a.tolist(), self.length_b.tolist()
         self.told = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
-        self.young_units: dict[str, tuple[bytes, bytes] | None] = {}
-        self.old_units: dict[str, tuple[bytes, bytes] | None] = {}
+        self.young_units: dict[str, Window | None] = {}
+        self.old_units: dict[str, Window | None] = {}
         self.forget()
 
     def forget(self) -> None:
-        self.young: dict[bytes, tuple[str, bytes]] = {}
-        self.old: dict[bytes, tuple[str, bytes]] = {}
+        self.young: dict[Window, tuple[str, bytes]] = {}
+        self.old: dict[Window, tuple[str, bytes]] = {}
         self.pairs: dict[int, tuple[int, str]] = {}  # number and text of a << 32 | b
 
     def units(self, text: str) -> list[str]:
         """A text that begins with a space in parts that do so too, between which no token of either side crosses."""
         return _UNIT.findall(text) if self.can_cut else [text]
 
-    def _coded(self, units: set[str]) -> dict[str, tuple[bytes, bytes] | None]:
+    def _coded(self, units: set[str]) -> dict[str, Window | None]:
         """Ids of both sides by unit; None if either side's bytes are not the unit's. Known ones are looked up."""
         young, old = self.young_units, self.old_units
         found = {u: young[u] for u in units & young.keys()}
@@ -107,8 +108,11 @@ class Aligner:
             self.old_units, self.young_units = young, {}
         return found | again
 
-    def _in_one(self, units: list[str]) -> dict[str, tuple[bytes, bytes]]:
-        """Ids of units one after the other, from one text of all; none if some token crosses or bytes differ."""
+    def _in_one(self, units: list[str]) -> dict[str, Window]:
+        """Ids of units one after the other, from one text of all; none if some token crosses or bytes differ.
+
+        Both sides must end where a unit ends, and every unit begins with a space: there are the anchors.
+        """
         text = "".join(units)
         if not text:
             return {}
@@ -124,7 +128,7 @@ class Aligner:
             sides.append([raw[i:j] for i, j in zip(places, places[1:])])
         return dict(zip(units, zip(*sides)))
 
-    def _alone(self, unit: str) -> tuple[bytes, bytes] | None:
+    def _alone(self, unit: str) -> Window | None:
         (a,) = self.a.encode_batch_fast([unit], add_special_tokens=False)
         # A last space has nothing for B to set it before.
         b = self.b.encode(unit[1:]) if len(unit) > 1 else [self.b.piece_to_id(MARK)]
@@ -133,68 +137,58 @@ class Aligner:
             return tuple(array("I", ids).tobytes() for ids, _ in sides)
         return None
 
-    def tokens(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Ids of both sides for each text; none if the text is empty or either side's bytes differ from it.
+    def windows(self, texts: list[str]) -> Iterator[list[Window]]:
+        """The windows of each text; none if the text is empty or either side's bytes differ from it.
 
-        Neither side drops anything or joins what a space behind another character parts, so a text's ids
-        are those of its units, most of which have been met before.
+        Neither side drops anything or joins what a space behind another character parts, so the ids of a
+        text are those of its units, most of which have been met before. Between two units is an anchor.
         """
         parts = [self.units(" " + t) if t else [] for t in texts]
         known = self._coded(set().union(*parts))
         for units in parts:
-            coded = [known[u] for u in units]
-            yield _NONE if None in coded else tuple(np.frombuffer(b"".join(side), "<u4") for side in zip(*coded)) or _NONE
-
-    def windows(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[str, bytes]]:
-        """The groups of each window of a document, and the numbers of its links (four bytes each).
-
-        Groups are cut wherever both sides end, so two tokens end together only at the end of a group: a
-        group is a link of its last ids.
-        """
-        if not len(a):
-            return
-        ends_a, ends_b = self.length_a[a].cumsum(), self.length_b[b].cumsum()
-        ends = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        cut_a, cut_b = np.searchsorted(ends_a, ends) + 1, np.searchsorted(ends_b, ends) + 1
-        # Anchors: shared ends before tokens that begin with a space on both sides.
-        anchors = np.flatnonzero(self.space_a[a[cut_a[:-1]]] & self.space_b[b[cut_b[:-1]]]) + 1
-        raw_a, raw_b = a.tobytes(), b.tobytes()
-        at = [0, *anchors.tolist(), len(ends)]
-        byte_a, byte_b = ([0, *(4 * cut[anchors - 1]).tolist(), 4 * len(ids)] for cut, ids in ((cut_a, a), (cut_b, b)))
-        known, groups = self.young.get, None
-        for n in range(len(at) - 1):
-            key = raw_a[byte_a[n] : byte_a[n + 1]] + _APART + raw_b[byte_b[n] : byte_b[n + 1]]
-            found = known(key)
+            found = [known[u] for u in units]
+            yield [] if None in found else found
+
+    def aligned(self, windows: list[Window]) -> Iterator[tuple[str, bytes]]:
+        """The groups of each window, and the numbers of its links (four bytes each)."""
+        known, align = self.young.get, self._align
+        for window in windows:
+            found = known(window)
             if found is None:
-                if groups is None:
-                    last = (a[cut_a - 1].astype(np.int64) << 32 | b[cut_b - 1]).tolist()
-                    groups = last, [0, *cut_a.tolist()], [0, *cut_b.tolist()], a.tolist(), b.tolist()
-                found = self._align(key, at[n], at[n + 1], *groups)
+                found = align(window)
                 known = self.young.get
             yield found
 
-    def _align(self, key: bytes, start: int, end: int, last: list, cut_a: list, cut_b: list, a: list, b: list) -> tuple[str, bytes]:
-        """The window with ids ``key``: groups ``start`` to ``end`` of a document with ids ``a`` and ``b``.
-
-        A group has the ids from one cut to the next on either side; ``last`` are its last ids.
-        """
-        found = self.old.get(key)
+    def _align(self, window: Window) -> tuple[str, bytes]:
+        """Groups are cut wherever both sides end, so two tokens end together only at the end of a group: a
+        group is a link of its last ids."""
+        found = self.old.get(window)
         if found is None:
-            texts, links, pairs, told = [], [], self.pairs, self.told
-            for g in range(start, end):
-                pair = pairs.get(last[g])
+            a, b = (array("I", side) for side in window)
+            size_a, size_b, told, pairs = self.sizes_a, self.sizes_b, self.told, self.pairs
+            texts, links = [], []
+            i = j = ahead = j2 = 0
+            for i2, one in enumerate(a, 1):
+                ahead += size_a[one]
+                while ahead > 0:
+                    ahead -= size_b[b[j2]]
+                    j2 += 1
+                if ahead:
+                    continue
+                last = one << 32 | b[j2 - 1]
+                pair = pairs.get(last)
                 if pair is None:
-                    pair = pairs[last[g]] = len(pairs), f"{last[g] >> 32}|{last[g] & 0xFFFFFFFF}"
+                    pair = pairs[last] = len(pairs), f"{one}|{b[j2 - 1]}"
                 links.append(pair[0])
-                i, i2, j, j2 = cut_a[g], cut_a[g + 1], cut_b[g], cut_b[g + 1]
-                if i2 - i + j2 - j == 2:
+                if i2 - i == 1 == j2 - j:
                     texts.append(pair[1])
                 else:
                     texts.append(",".join([told[x] for x in a[i:i2]]) + "|" + ",".join([told[x] for x in b[j:j2]]))
+                i, j = i2, j2
             found = ";".join(texts), array("I", links).tobytes()
         if len(self.young) >= REMEMBERED:
             self.old, self.young = self.young, {}
-        self.young[key] = found
+        self.young[window] = found
         return found
 
 
@@ -247,8 +241,8 @@ def align(docs: DataFrame, byte_file: str, piece_file: str) -> DataFrame:
         both = aligner(byte_file, piece_file)
         for ids, texts in _batches(batches):
             out = []
-            for a, b in both.tokens(texts):
-                groups = (g.split("|") for text, _ in both.windows(a, b) for g in text.split(";"))
+            for windows in both.windows(texts):
+                groups = (g.split("|") for text, _ in both.aligned(windows) for g in text.split(";"))
                 out.append([{s: list(map(int, ids.split(","))) for s, ids in zip("ab", g)} for g in groups])
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, kind)], names=["doc_id", "groups"])
 
@@ -295,11 +289,12 @@ def chunks(docs: DataFrame, byte_file: str, piece_file: str) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, _KINDS)], names=names)
 
         for ids, texts in _batches(_uncollected(batches)):
-            for doc_id, text, (a, b) in zip(ids, texts, both.tokens(texts)):
-                groups, links = zip(*both.windows(a, b)) if len(a) else ((), ())
+            for doc_id, text, windows in zip(ids, texts, both.windows(texts)):
+                groups, links = zip(*both.aligned(windows)) if windows else ((), ())
                 sha = hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else ""
                 lines.append(np.frombuffer(b"".join(links), np.uint32))
-                rows.append((doc_id, len(a), len(b), len(lines[-1]), sha))
+                n_a, n_b = (sum(map(len, side)) // 4 for side in zip(*windows)) if windows else (0, 0)
+                rows.append((doc_id, n_a, n_b, len(lines[-1]), sha))
                 size += len(text)
                 if size > CHUNK_BYTES:
                     yield row()

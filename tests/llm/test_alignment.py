@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from sentencepiece import SentencePieceProcessor
@@ -104,16 +105,19 @@ def test_counts_do_not_depend_on_chunks(spark, plain):
     assert rows_of(alignment.alignment_counts(docs, BYTES, PIECES)) == expected(plain, rows)
 
 
-def test_chunks_close_and_numbers_begin_anew(spark, plain, monkeypatch):
+def test_memory_is_bounded_and_begins_anew(monkeypatch):
     both = alignment.Aligner(BYTES, PIECES)
     texts = [f"some words {n} and more" for n in range(50)]
-    before = [list(both.windows(a, b)) for a, b in both.tokens(texts)]
+
+    def told():
+        return [[t for t, _ in both.aligned(w)] for w in both.windows(texts)]
+
+    before = told()
     both.forget()
-    assert [[t for t, _ in w] for w in before] == [[t for t, _ in both.windows(a, b)] for a, b in both.tokens(texts)]
+    assert told() == before
     monkeypatch.setattr(alignment, "REMEMBERED", 3)
     both.forget()
-    assert [[t for t, _ in w] for w in before] == [[t for t, _ in both.windows(a, b)] for a, b in both.tokens(texts)]
-    assert len(both.young) <= 3
+    assert told() == before and len(both.young) <= 3
 
 
 def test_parts_of_a_text_have_the_tokens_of_the_whole():
@@ -121,13 +125,21 @@ def test_parts_of_a_text_have_the_tokens_of_the_whole():
     pick = random.Random(9)
     texts = ["a  b   c    d " * 9, "no-space" * 40, "line\n\n next \t x " * 9, " lead", "trail ", " ", "é 日 本 's 's", "a\n  x", "a \x1c x"]
     texts += ["".join(pick.choice("ab's \n\t1!é日\x1c\u3000") for _ in range(pick.randint(1, 25))) for _ in range(3000)]
-    for text, (a, b) in zip(texts, both.tokens(texts)):
+    def ids(windows):
+        return [np.frombuffer(b"".join(side), "<u4").tolist() for side in zip(*windows)]
+
+    for text, windows in zip(texts, both.windows(texts)):
+        a, b = ids(windows)
         assert "".join(both.units(" " + text)) == " " + text
-        assert a.tolist() == both.a.encode(" " + text, add_special_tokens=False).ids, repr(text)
-        assert b.tolist() == both.b.encode(text), repr(text)
+        assert a == both.a.encode(" " + text, add_special_tokens=False).ids, repr(text)
+        assert b == both.b.encode(text), repr(text)
+        # Every window begins with a token that begins with a space, on both sides.
+        assert all(both.space_a[w[0][0]] and both.space_b[w[1][0]] for w in ([np.frombuffer(s, "<u4") for s in w] for w in windows))
+    both = alignment.Aligner(BYTES, PIECES)
     both.can_cut = False
-    for text, (a, b) in zip(texts[:20], both.tokens(texts[:20])):
-        assert a.tolist() == both.a.encode(" " + text, add_special_tokens=False).ids and b.tolist() == both.b.encode(text)
+    for text, windows in zip(texts[:20], both.windows(texts[:20])):
+        assert len(windows) == 1
+        assert ids(windows) == [both.a.encode(" " + text, add_special_tokens=False).ids, both.b.encode(text)]
 
 
 def test_a_text_of_some_megabytes(spark, plain):
@@ -136,5 +148,5 @@ def test_a_text_of_some_megabytes(spark, plain):
     (one, two) = rows_of(alignment.alignment_counts(docs, BYTES, PIECES))
     assert one[3] == one[4] > 300_000 and two[1] > 0
     both = alignment.Aligner(BYTES, PIECES)
-    (a, b), = both.tokens([text])
-    assert (len(a), len(b)) == one[1:3]
+    (windows,) = both.windows([text])
+    assert tuple(sum(map(len, side)) // 4 for side in zip(*windows)) == one[1:3]
