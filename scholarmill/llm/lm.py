@@ -326,25 +326,29 @@ class _Chunk:
         self.lower_total = np.where(none, 0, self.total[end])
 
     def bucket(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-        """The order of the distinct n-grams by bucket, and the buckets in that order."""
+        """The order of the distinct n-grams by bucket, context and last word, and the buckets in that order."""
         odd = np.uint64(0x9E3779B97F4A7C15)
         key = self.context.astype(np.uint64) * odd
         hot = self.new_total > HOT
         key[hot] = (key[hot] ^ self.last[hot].astype(np.uint64)) * odd
-        return _by(((key >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64))
+        bucket = ((key >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((self.last, self.context, bucket))
+        return order, bucket[order]
 
     def requests(self, buckets: int) -> Iterator[tuple[int, int, bytes]]:
         order, bucket = self.bucket(buckets)
-        columns = (self.context, self.last, self.times, self.new_total, self.lower_n, self.lower_total)
+        columns = (self.last, self.times, self.new_total, self.lower_n, self.lower_total)
         for b, at in zip(np.unique(bucket).tolist(), _runs(order, bucket)):
-            yield b, len(at), _pack(*(c[at] for c in columns))
+            # In the order of contexts: their steps are small, and what belongs to a context is in runs.
+            yield b, len(at), _pack(np.diff(self.context[at], prepend=0), *(c[at] for c in columns))
 
     def answer(self, replies: dict[int, bytes], buckets: int, hot: tuple[np.ndarray, np.ndarray]) -> None:
         """Take the buckets' answers in: probabilities of the order asked for last."""
         order, bucket = self.bucket(buckets)
         n, ids, back = np.zeros(len(order), np.int64), np.full(len(order), -1, np.int64), np.ones(len(order))
         for b, at in zip(np.unique(bucket).tolist(), _runs(order, bucket)):
-            n[at], ids[at], back[at] = _unpack(replies[b], len(at), "iif")
+            n[at], steps, back[at] = _unpack(replies[b], len(at), "iif")
+            ids[at] = np.where(n[at] > 0, np.cumsum(steps), -1)
         if len(hot[0]):
             at = np.minimum(np.searchsorted(hot[0], self.context), len(hot[0]) - 1)
             back = np.where(hot[0][at] == self.context, hot[1][at], back)
@@ -375,6 +379,7 @@ def _answer(order: int, buckets: int, denominator: int):
 
     def solve(bucket: int, held: list[tuple[int, int, bytes]]) -> Iterator[tuple]:
         parts = [_unpack(data, length, "iiiiii") for _, length, data in held]
+        parts = [(np.cumsum(steps), *rest) for steps, *rest in parts]
         context, last, times, total, lower_n, lower_total = (np.concatenate(c) for c in zip(*parts))
         by = np.lexsort((last, context))
         new = np.r_[True, (context[by][1:] != context[by][:-1]) | (last[by][1:] != last[by][:-1])]
@@ -403,7 +408,9 @@ def _answer(order: int, buckets: int, denominator: int):
         for chunk, length, _ in held:
             own = place[start : start + length]
             start += length
-            yield chunk, bucket, length, _pack(n[own], ids[own], back[own])
+            # Requests are in the order of the numbers, so these too go as steps; what is no arc has none.
+            steps = np.diff(np.maximum.accumulate(np.maximum(ids[own], 0)), prepend=0)
+            yield chunk, bucket, length, _pack(n[own], steps, back[own])
 
     def run(batches):
         for bucket, held in _held(batches):
@@ -504,7 +511,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     Learns from rows with crc32(doc_id as text) mod 7 other than 2; a null doc_id counts as empty text
     there. A null text is empty and has the end token alone. Repeated rows count as often as they
-    occur. Other columns are ignored, an empty table gives no rows. With nothing to learn from, every
+    occur. A very long text is in one chunk, which is that much larger. Other columns are ignored, an empty
+    table gives no rows. With nothing to learn from, every
     token has probability 1 over (0 + 0 + 1).
     """
     spark = docs.sparkSession
