@@ -29,18 +29,29 @@ def text_sha() -> Column:
     return F.unhex(F.sha2(text_bytes(), 256))
 
 
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores in front as it takes to be no column of ``docs``, in any case."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows of ``docs`` named by ``keys`` (doc_id, sha, copies), one for each key, with all columns.
 
     ``copies`` is the number of rows of ``docs`` with the key. Keys compare null-safe. Only rows that
     are repeated go through a grouping of whole rows.
     """
-    wanted = keys.select(F.col("doc_id").alias("_llm_id"), F.col("sha").alias("_llm_sha"), F.col("copies").alias("_llm_copies"))
-    told = docs.withColumn("_llm_key", text_sha())
-    match = (F.col("_llm_key") == F.col("_llm_sha")) & docs["doc_id"].eqNullSafe(F.col("_llm_id"))
-    once = told.join(wanted.where("_llm_copies = 1"), match, "left_semi").drop("_llm_key")
-    again = told.join(wanted.where("_llm_copies > 1"), match, "left_semi").dropDuplicates(["doc_id", "_llm_key"])
-    return once.unionByName(again.drop("_llm_key"))
+    own, sha, key, copies = free_names(docs, "own_id", "own_sha", "text_sha", "n_copies")
+    wanted = keys.select(F.col("doc_id").alias(own), F.col("sha").alias(sha), F.col("copies").alias(copies))
+    told = docs.withColumn(key, text_sha())
+    match = (F.col(key) == F.col(sha)) & docs["doc_id"].eqNullSafe(F.col(own))
+    once = told.join(wanted.where(f"{copies} = 1"), match, "left_semi").drop(key)
+    again = told.join(wanted.where(f"{copies} > 1"), match, "left_semi").dropDuplicates(["doc_id", key])
+    return once.unionByName(again.drop(key))
 
 
 def doc_hash() -> Column:

@@ -156,7 +156,7 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
 
     A null text is empty; empty texts are equal to each other. A null doc_id is the smallest one. Of
     several rows with the largest doc_id of a group one is kept. Columns but doc_id and text are
-    ignored. An empty table gives no rows.
+    ignored. A very long text is many blocks, dealt out like those of others. An empty table gives no rows.
     """
     known = identities(docs, block_bytes)
     each = known.join(_shared(known), ["level", "name"], "left").withColumn(
@@ -176,7 +176,8 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    Rows repeated with the same doc_id and text leave one of them, whichever other columns they have.
+    Rows repeated with the same doc_id and text leave one of them, whichever other columns they have and
+    whatever these are called. Texts of any length are compared whole; an empty table gives no rows.
     """
     known = identities(docs)
     keys = known.join(_shared(known), ["level", "name"], "left").where("group_size IS NULL OR doc_id <=> keep_id")

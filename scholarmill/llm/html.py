@@ -248,7 +248,7 @@ def main_text(page: str) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row; a null or empty page has empty text.
 
-    Repeated rows stay repeated, other columns are ignored, an empty table gives no rows.
+    A page of any length is one graph in one task. Repeated rows stay repeated, other columns are ignored, an empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -148,8 +148,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     One row for each row of ``docs``. The edited text is the text with its last third replaced by the
     beginning of the next document, by falling doc_id; after the last comes the first. Null texts are
     empty. Rows that repeat doc_id and text count as one document here and have the same values; other
-    ties of doc_id go by the text's SHA-256; a null doc_id comes last. Other columns are ignored, an
-    empty table gives no rows.
+    ties of doc_id go by the text's SHA-256; a null doc_id comes last. Texts of any length move whole, one
+    row each. Other columns are ignored, an empty table gives no rows.
     """
     texts = docs.select(_key().alias("key"), F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["key"])
     # Whole texts move once, by their own key, and beginnings of texts once, to their predecessors. Both

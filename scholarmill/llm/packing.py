@@ -192,7 +192,8 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, with_
     """doc_id, piece, start, length, ids_crc32 (and ids as bytes) of every piece of every row.
 
     A document is its ids and an end id 0; only one longer than ``capacity`` is cut. A null text is
-    empty and has the end id alone. Repeated rows stay repeated, other columns are ignored.
+    empty and has the end id alone. Texts of any length are cut at white space before they are tokenized.
+    Repeated rows stay repeated, other columns are ignored, an empty table gives no rows.
     """
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), *[pa.binary()] * with_ids]
@@ -381,5 +382,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> Da
 
 
 def pack_documents(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY) -> DataFrame:
-    """Every piece of every row of ``docs`` with its sequence and offset; see ``pieces`` and ``pack``."""
+    """Every piece of every row of ``docs`` with its sequence and offset; see ``pieces`` and ``pack``.
+
+    Columns but doc_id and text are ignored, so their names do not matter.
+    """
     return pack(pieces(docs, tokenizer_file, capacity), capacity)

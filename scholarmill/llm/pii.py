@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholarmill.llm.common import text_sha
+from scholarmill.llm.common import free_names, text_sha
 from scholarmill.session import stored
 
 BASE = ("email", "ip", "card", "phone")
@@ -299,7 +299,8 @@ def find(docs: DataFrame) -> DataFrame:
     """doc_id, sha, base and spans (base and added ones, by start, then kind) of every row.
 
     Null texts are empty. Rows that repeat doc_id and text count as one document in n(t, e) and n(e)
-    and get the same spans. Other columns are ignored, an empty table gives no rows.
+    and get the same spans. Texts of any length are searched whole. Other columns are ignored, an empty
+    table gives no rows.
     """
     detected = stored(detect(docs))
     added = _added(docs, detected)
@@ -349,14 +350,16 @@ def clean(text: str, spans: list[Span]) -> str:
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data and what gives it away taken out of the text.
 
-    n_chars, where there is such a column, becomes the new length of the changed texts. Other columns
-    and the texts without spans stay as they are, nulls too.
+    n_chars, where there is such a column, becomes the new length of the changed texts. Other columns,
+    whatever their names, and the texts without spans stay as they are, nulls too. Repeated rows stay
+    repeated, texts of any length are taken whole, an empty table gives no rows.
     """
+    own, sha, key, spans, renewed = free_names(docs, "own_id", "own_sha", "text_sha", "own_spans", "new_text")
     changed = find(docs).where(F.size("spans") > 0).select(
-        F.col("doc_id").alias("_llm_id"), F.col("sha").alias("_llm_sha"), F.col("spans").alias("_llm_spans")
-    ).dropDuplicates(["_llm_id", "_llm_sha"])
-    told = docs.withColumn("_llm_key", text_sha())
-    match = (F.col("_llm_key") == F.col("_llm_sha")) & docs["doc_id"].eqNullSafe(F.col("_llm_id"))
+        F.col("doc_id").alias(own), F.col("sha").alias(sha), F.col("spans").alias(spans)
+    ).dropDuplicates([own, sha])
+    told = docs.withColumn(key, text_sha())
+    match = (F.col(key) == F.col(sha)) & docs["doc_id"].eqNullSafe(F.col(own))
 
     @F.pandas_udf("string")
     def cleaned(texts, spans):
@@ -364,10 +367,10 @@ def sanitise(docs: DataFrame) -> DataFrame:
 
     found = told.join(changed, match, "left")
     # Texts without spans do not travel.
-    new = cleaned(F.when(F.col("_llm_spans").isNotNull(), F.col("text")), F.col("_llm_spans"))
-    found = found.withColumn("_llm_new", new)
-    values = {"text": F.coalesce("_llm_new", "text")}
+    new = cleaned(F.when(F.col(spans).isNotNull(), F.col("text")), F.col(spans))
+    found = found.withColumn(renewed, new)
+    values = {"text": F.coalesce(renewed, "text")}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        values["n_chars"] = F.when(F.col("_llm_new").isNotNull(), F.length("_llm_new").cast(kind)).otherwise(F.col("n_chars"))
+        values["n_chars"] = F.when(F.col(renewed).isNotNull(), F.length(renewed).cast(kind)).otherwise(F.col("n_chars"))
     return found.select(*[values.get(c, F.col(c)).alias(c) for c in docs.columns])

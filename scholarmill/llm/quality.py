@@ -184,14 +184,18 @@ def classify(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
     """doc_id, held_out, score and predicted of every row of ``docs``.
 
     held_out: crc32(doc_id as text) mod 3 is 1 (a null doc_id is empty text); these rows' labels are
-    not learned. Null texts are empty. Without labels every score is 0.5. Repeated rows stay repeated,
-    other columns are ignored, an empty table gives no rows.
+    not learned. Null texts are empty, texts of any length are scored whole. Without labels every score
+    is 0.5. Repeated rows stay repeated, other columns are ignored, an empty table gives no rows.
     """
     return score(docs, fit(docs, labels, sample))
 
 
 def drop_rejected(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` that are predicted 1, with all their columns."""
+    """The rows of ``docs`` that are predicted 1, with all their columns, whatever their names.
+
+    Null texts are empty, texts of any length are scored whole. Without labels every row stays. Repeated
+    rows are decided alike and stay repeated, ties (score 0.5) stay, an empty table gives no rows.
+    """
     shared = _weights(fit(docs, labels, sample))
 
     @F.pandas_udf("boolean")

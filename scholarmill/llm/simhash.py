@@ -271,7 +271,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, k: int = SHINGLE) ->
 
     Null texts count as empty; texts without words have fingerprint 0, which links like any other.
     Repeated rows stay repeated. component_id is the smallest doc_id that is not null among all rows
-    reachable by links (null if there is none). Other columns are ignored; an empty table gives no rows.
+    reachable by links (null if there is none). Very long texts are hashed whole, in pieces of bounded
+    size. Other columns are ignored; an empty table gives no rows.
     """
     marked, named = _grouped(docs, radius, k)
     return marked.join(named, "fp").select(
@@ -283,7 +284,8 @@ def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS, k: int = SHINGLE
     """One row of each component of ``docs``, with all columns: the one with the smallest doc_id.
 
     A null doc_id comes after all others. Ties go to the smallest SHA-256 of the text; of rows that
-    are equal in both, one stays.
+    are equal in both, one stays. Null, empty and very long texts as in ``near_duplicates``. Columns may
+    have any names; an empty table gives no rows.
     """
     marked, named = _grouped(docs, radius, k)
     rows = marked.groupBy("doc_id", "sha", "fp").agg(F.count("*").alias("copies"))

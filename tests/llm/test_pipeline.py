@@ -69,8 +69,8 @@ def test_stages_one_by_one(spark, tmp_path):
 def test_stages_on_odd_rows(spark, tmp_path):
     text = " ".join(f"word{i}" for i in range(60))
     rows = [(1, text), (2, text), (2, text), (None, text + " x"), (None, None), (4, ""), (4, None), (5, "mail a.b@c.de"), (6, "tail " * 5000)]
-    schema = "doc_id long, text string, lang string, source string, n_chars long, _key string, _id long, sha binary, copies int, fp long, spans int"
-    docs = spark.createDataFrame([(*r, None, "s", None, "k", 0, None, 1, 2, 3) for r in rows], schema)
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _key string, _id long, sha binary, copies int, fp long, spans int, _llm_key string, _llm_id long, _LLM_SHA binary, own_id long, Text_Sha string, new_text int"
+    docs = spark.createDataFrame([(*r, None, "s", None, "k", 0, None, 1, 2, 3, "l", 4, b"5", 6, "7", 8) for r in rows], schema)
     for i, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
         before = docs.columns
         stage(spark, docs, CHECK).write.parquet(f"{tmp_path}/{i}")
@@ -80,6 +80,8 @@ def test_stages_on_odd_rows(spark, tmp_path):
     found = {(r.doc_id, r.text) for r in docs.collect()}
     assert (5, "mail [EMAIL]") in found and (2, text) in found and (1, text) not in found
     assert {r._key for r in docs.collect()} == {"k"} and {r.fp for r in docs.collect()} == {2}
+    assert {(r._llm_key, r._llm_id, r._LLM_SHA, r.own_id, r.Text_Sha, r.new_text) for r in docs.collect()} == {
+        ("l", 4, b"5", 6, "7", 8)}
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, CHECK)
     assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), CHECK).count() == 0
