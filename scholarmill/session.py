@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,6 +67,18 @@ def scratch_folder(spark: SparkSession) -> str:
     return path
 
 
+@contextmanager
+def _tidy(spark: SparkSession) -> Iterator[None]:
+    """Inside, Spark deletes the shuffle files of a job when the job is done, not when its driver forgets it."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before) if before is not None else spark.conf.unset(setting)
+
+
 def stored(df: DataFrame, name: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table.
 
@@ -76,5 +90,6 @@ def stored(df: DataFrame, name: str | None = None) -> DataFrame:
     path = f"{shared_folder(spark)}/stored-{name or uuid.uuid4().hex}"
     if not name:
         _STORED.setdefault(spark.sparkContext.applicationId, []).append(path)
-    df.write.mode("overwrite").parquet(path)
+    with _tidy(spark):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
