@@ -5,6 +5,7 @@ Queries run over whole tables and for all users, labs and universities at once.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,10 @@ from scholarmill.functions.text import first_match
 from scholarmill.operators import (
     bitmaps,
     bookmarks,
+    cells,
     conversations,
     detail,
+    grams,
     ingest,
     inverted,
     quality,
@@ -34,7 +37,7 @@ from scholarmill.session import scratch_folder, stored
 from scholarmill.sources import files
 from scholarmill.sources.buckets import BucketTable
 from scholarmill.sources.rankings import KeptRankings
-from scholarmill.sources.relations import Relations, publish
+from scholarmill.sources.relations import Relations, publish, publish_colocated
 from scholarmill.sources.tables import Tables
 from scholarmill.streaming import jobs
 from scholarmill.streaming.assembly import Assembly
@@ -59,6 +62,7 @@ SELECTIONS = [
 ]
 KEYWORDS = ["thering", "tion", "éeau", "ción", "ung"]
 NAME_TERM = "nation_1"
+NAME_TERMS = ["customer#00000000", "0012", "99", "7", "STOMER", "nobody", "#"]
 MESSAGE_RULES = [*AUTH_MESSAGE_RULES, ("tion", "english_like"), ("ción", "spanish_like"), ("eau", "french_like")]
 TOP_K = 5
 LABS_PER_PAGE = 25
@@ -251,6 +255,17 @@ def q_user_bookmarks(t: Tables) -> DataFrame:
     return found.select("user_id", "lab_id", "name", "university")
 
 
+@query
+def q_colocated_bookmarks(t: Tables) -> DataFrame:
+    """``q_user_bookmarks`` over relations that are stored in buckets of the lab key."""
+    folder = scratch_folder(t.spark)
+    publish(t, f"{folder}/plain")
+    prefix = f"labs_{uuid.uuid4().hex}"
+    labs = publish_colocated(Relations(t.spark, f"{folder}/plain"), f"{folder}/buckets", prefix, buckets=8)
+    found = bookmarks.bookmarked_labs(labs.bookmarks(), labs.labs(), labs.universities())
+    return found.select(F.col("user_id").cast("bigint"), F.col("lab_id").cast("bigint"), "name", "university")
+
+
 @query
 def q_bookmarks_in_area(t: Tables) -> DataFrame:
     return bookmarks.bookmarks_by_area(t.bookmarks(), t.labs(sub_fields=True))
@@ -543,6 +558,35 @@ def q_name_search(t: Tables) -> DataFrame:
     return search.name_search(t.labs(papers=True, universities=found), found, NAME_TERM)
 
 
+@query
+def q_name_grams(t: Tables) -> DataFrame:
+    """Labs whose name contains any of some terms, from an index of the names' letters."""
+    folder = scratch_folder(t.spark)
+    grams.build_names(t.labs().select("id", "name"), folder)
+    terms = taxonomy.constant_relation(t.spark, [(term,) for term in NAME_TERMS], "term string")
+    return grams.NameIndex(t.spark, folder).containing(terms).select("term", "id", "name")
+
+
+@query
+def q_renamed_universities(t: Tables) -> DataFrame:
+    """Universities whose name has changed a little: even ids got a letter more, every fifth one is new."""
+    old = t.universities()
+    later = old.select(
+        F.when(F.col("id") % 5 == 0, F.concat(F.lit("completely other "), F.col("id").cast("string")))
+        .when(F.col("id") % 2 == 0, F.concat("name", F.lit("s")))
+        .otherwise(F.col("name")).alias("name")
+    )
+    return grams.renamed(old, later)
+
+
+@query
+def q_vector_cells(t: Tables) -> DataFrame:
+    """``q_vector_topk`` from cells that the triangle inequality prunes."""
+    vectors, folder = t.read("embeddings"), scratch_folder(t.spark)
+    cells.build_cells(vectors, folder)
+    return cells.VectorCells(t.spark, folder).search(search.label_profiles(vectors), TOP_K)
+
+
 @query
 def q_vector_topk(t: Tables) -> DataFrame:
     vectors = t.read("embeddings")

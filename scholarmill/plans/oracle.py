@@ -476,6 +476,22 @@ FROM known a LEFT JOIN known b ON b.field = a.field AND b.year = a.year - 1""",
 ORACLE["q_stored_ranking"] = ORACLE["q_ranking_by_subfield"]
 ORACLE["q_bucketed_load"] = ORACLE["q_upsert_latest"]
 ORACLE["q_message_stream"] = ORACLE["q_message_text"]
+ORACLE["q_colocated_bookmarks"] = ORACLE["q_user_bookmarks"]
+ORACLE["q_vector_cells"] = ORACLE["q_vector_topk"]
+ORACLE["q_name_grams"] = f"""
+WITH {_values('wanted', 'term', [(n,) for n in cat.NAME_TERMS])}
+SELECT term, c_custkey AS id, c_name AS name FROM customer, wanted WHERE contains(lower(c_name), lower(term))"""
+ORACLE["q_renamed_universities"] = """
+WITH later AS (
+  SELECT CASE WHEN n_nationkey % 5 = 0 THEN 'completely other ' || n_nationkey
+              WHEN n_nationkey % 2 = 0 THEN n_name || 's' ELSE n_name END AS name FROM nation
+),
+pair AS (
+  SELECT n_name AS old_name, name AS new_name, levenshtein(lower(n_name), lower(name)) AS edits
+  FROM nation, later WHERE n_name NOT IN (FROM later) AND name NOT IN (SELECT n_name FROM nation)
+)
+SELECT * FROM pair WHERE edits <= least(length(old_name) // 5, 3)
+QUALIFY row_number() OVER (PARTITION BY old_name ORDER BY edits, new_name) = 1"""
 ORACLE["q_kept_ranking"] = f"""
 WITH {LABS}, {_values('sel', 'selection_id, field, sub_field', cat.SELECTIONS)},
 edit AS (

@@ -14,7 +14,7 @@ from scholarmill.session import shared_folder
 from tests.conftest import SMALL
 
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-WITH_PYTHON = {"q_vector_topk"}
+WITH_PYTHON = {"q_vector_cells"}
 GLOBAL_RANK = {"q_ranking_all", "q_ranking_by_field", "q_ranking_by_subfield", "q_stored_ranking"}
 NO_SHUFFLE = {
     "q_lab_size", "q_row_validation", "q_quality_split", "q_user_turns_clean", "q_message_class",

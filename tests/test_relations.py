@@ -57,3 +57,31 @@ def test_stored_schema_and_pruning(spark, relations):
     plan = catalogue.q_ranking_all(relations)._jdf.queryExecution().executedPlan().toString()
     scan = next(x for x in plan.splitlines() if "FileScan" in x and "paper_count" in x)
     assert "lab_url" not in scan and "research_sub_fields" not in scan
+
+
+def test_colocated_relations_join_without_a_shuffle(spark, small, tmp_path):
+    """Joins and aggregates by lab read bucket against bucket; only the small side by university is sent."""
+    from pyspark.sql import functions as F
+
+    from scholarmill.operators import bookmarks
+    from scholarmill.sources.relations import Relations, publish, publish_colocated
+    from scholarmill.sources.tables import Tables
+
+    publish(Tables(spark, small), str(tmp_path / "plain"))
+    plain = Relations(spark, str(tmp_path / "plain"))
+    labs = publish_colocated(plain, str(tmp_path / "buckets"), "colocated_test", buckets=4)
+    try:
+        for limit, made in (
+            ("3KB", lambda r: bookmarks.bookmarked_labs(r.bookmarks(), r.labs(), r.universities())),
+            ("-1", lambda r: r.labs().join(r.lab_bridges(r.labs())[0].withColumnRenamed("professor_id", "lab_id").drop("id"), F.col("id") == F.col("lab_id"))),
+            ("-1", lambda r: r.bookmarks().groupBy("lab_id").count()),
+        ):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            text = made(labs)._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange hashpartitioning" not in text and "Bucketed: true" in text
+            assert "Exchange hashpartitioning" in made(plain)._jdf.queryExecution().executedPlan().toString()
+            assert sorted(map(str, made(labs).collect())) == sorted(map(str, made(plain).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("professors", "professor_research_fields", "bookmarks"):
+            spark.sql(f"DROP TABLE colocated_test_{name}")
