@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from scholarmill.llm import exact, packing, pii, quality, simhash  # noqa: E402
+from scholarmill.llm import exact, neartext, packing, pii, quality  # noqa: E402
 from scholarmill.llm.common import ship  # noqa: E402
 from scholarmill.llm.queries import table  # noqa: E402
 from scholarmill.session import stored  # noqa: E402
@@ -35,8 +35,11 @@ def drop_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest doc_id."""
-    return simhash.drop_near_duplicates(docs)
+    """One document of each group of near duplicates, the one with the smallest doc_id.
+
+    Near are texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+    """
+    return neartext.drop_near_texts(docs)
 
 
 def remove_personal_data(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
