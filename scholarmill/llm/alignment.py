@@ -80,11 +80,11 @@ class Aligner:
         self.can_cut = not any(MARK in p.lstrip(MARK) for p in pieces.values())
         self.sizes_a, self.sizes_b = self.length_a.tolist(), self.length_b.tolist()
         self.told = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
-        self.young_units: dict[str, Window | None] = {}
-        self.old_units: dict[str, Window | None] = {}
         self.forget()
 
     def forget(self) -> None:
+        self.young_units: dict[str, Window | None] = {}
+        self.old_units: dict[str, Window | None] = {}
         self.young: dict[Window, tuple[str, bytes]] = {}
         self.old: dict[Window, tuple[str, bytes]] = {}
         self.pairs: dict[int, tuple[int, str]] = {}  # number and text of a << 32 | b
@@ -116,7 +116,8 @@ class Aligner:
         text = "".join(units)
         if not text:
             return {}
-        whole, ends, sides = text.encode(), np.cumsum([len(u.encode()) for u in units]), []
+        whole, ends = text.encode(), np.cumsum([len(u.encode()) for u in units])
+        lines, tokens, sides = [], [], []
         coded = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text[1:])
         for ids, table, length in zip(coded, (self.bytes_a, self.bytes_b), (self.length_a, self.length_b)):
             line = np.array(ids, "<u4")
@@ -125,8 +126,41 @@ class Aligner:
             if cuts[-1] >= len(at) or (at[cuts] != ends).any() or b"".join([table[i] for i in ids]) != whole:
                 return {}
             raw, places = line.tobytes(), [0, *(4 * cuts + 4).tolist()]
+            lines.append(line)
+            tokens.append(at)
             sides.append([raw[i:j] for i, j in zip(places, places[1:])])
-        return dict(zip(units, zip(*sides)))
+        windows = list(zip(*sides))
+        self._remember(windows, ends, lines, tokens)
+        return dict(zip(units, windows))
+
+    def _pair(self, last: int) -> tuple[int, str]:
+        pair = self.pairs.get(last)
+        if pair is None:
+            pair = self.pairs[last] = len(self.pairs), f"{last >> 32}|{last & 0xFFFFFFFF}"
+        return pair
+
+    def _remember(self, windows: list[Window], ends: np.ndarray, lines: list[np.ndarray], tokens: list[np.ndarray]) -> None:
+        """Align windows that follow each other, up to the bytes ``ends``, all at once (see ``_align``).
+
+        ``lines`` are the ids of both sides, ``tokens`` the bytes where they end.
+        """
+        shared = np.intersect1d(*tokens, assume_unique=True)
+        last_a, last_b = (np.searchsorted(at, shared) for at in tokens)
+        every, place = np.unique(lines[0][last_a].astype(np.int64) << 32 | lines[1][last_b], return_inverse=True)
+        pairs = [self._pair(p) for p in every.tolist()]
+        links = np.array([n for n, _ in pairs], np.uint32)[place].tobytes()
+        texts = [pairs[i][1] for i in place.tolist()]
+        first_a, first_b = np.r_[0, last_a[:-1] + 1], np.r_[0, last_b[:-1] + 1]
+        a, b, told = lines[0].tolist(), lines[1].tolist(), self.told
+        long = np.flatnonzero((last_a > first_a) | (last_b > first_b))
+        for g, i, i2, j, j2 in zip(*(c.tolist() for c in (long, first_a[long], last_a[long], first_b[long], last_b[long]))):
+            texts[g] = ",".join([told[x] for x in a[i : i2 + 1]]) + "|" + ",".join([told[x] for x in b[j : j2 + 1]])
+        young, start = self.young, 0
+        for window, stop in zip(windows, (np.searchsorted(shared, ends) + 1).tolist()):
+            young[window] = ";".join(texts[start:stop]), links[4 * start : 4 * stop]
+            start = stop
+        if len(young) >= REMEMBERED:
+            self.old, self.young = young, {}
 
     def _alone(self, unit: str) -> Window | None:
         (a,) = self.a.encode_batch_fast([unit], add_special_tokens=False)
@@ -165,7 +199,7 @@ class Aligner:
         found = self.old.get(window)
         if found is None:
             a, b = (array("I", side) for side in window)
-            size_a, size_b, told, pairs = self.sizes_a, self.sizes_b, self.told, self.pairs
+            size_a, size_b, told = self.sizes_a, self.sizes_b, self.told
             texts, links = [], []
             i = j = ahead = j2 = 0
             for i2, one in enumerate(a, 1):
@@ -175,10 +209,7 @@ class Aligner:
                     j2 += 1
                 if ahead:
                     continue
-                last = one << 32 | b[j2 - 1]
-                pair = pairs.get(last)
-                if pair is None:
-                    pair = pairs[last] = len(pairs), f"{one}|{b[j2 - 1]}"
+                pair = self._pair(one << 32 | b[j2 - 1])
                 links.append(pair[0])
                 if i2 - i == 1 == j2 - j:
                     texts.append(pair[1])
