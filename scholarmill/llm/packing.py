@@ -23,6 +23,7 @@ from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ GROUPS = 256
 
 # --- tokens ---------------------------------------------------------------------------------------
 
-#: White space to Python's split() but not to the tokenizer.
+#: White space to a split at white space but not to the tokenizer.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _SPACE = re.compile("[ \t\n\r]")
 _LONGEST_CACHED = 64
@@ -48,6 +49,8 @@ _CACHED = 200_000
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: How byte-level tokenizers write a byte: itself if it prints, else the next letter from U+0100 on.
 _BYTE_NAMES = {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in _PRINTED)}
+#: The same as a table, but for the space between words.
+_NAMED = np.array([b if b == 32 else _BYTE_NAMES.get(b, b) for b in range(256)], "<u2")
 
 
 class Recent:
@@ -57,25 +60,29 @@ class Recent:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def found(self, words: set[str]) -> dict[str, bytes]:
-        young, old = self.young, self.old
-        out = {w: young[w] for w in words & young.keys()}
-        again = {w: old[w] for w in (words - out.keys()) & old.keys()}
-        self.put(again)
-        return out | again
-
-    def put(self, items: dict[str, bytes]) -> None:
-        self.young.update(items)
+    def unknown(self, words: set[str]) -> set[str]:
+        """Those of ``words`` that are not held; the others are ``young`` until the next call."""
         if len(self.young) > _CACHED:
             self.old, self.young = self.young, {}
+        rest = words.difference(self.young)
+        again = rest.intersection(self.old)
+        self.young.update((w, self.old[w]) for w in again)
+        return rest - again
+
+
+def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Parts of ``flat``, one after the other."""
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 class Coder:
     """Ids of texts by a tokenizer that drops white space and never merges across it.
 
-    A text's ids are those of its white-space separated parts, so parts are looked up in a bounded
-    cache, and only unknown ones go through the tokenizer, many at once. A part of plain letters with
-    marks behind it is split like the tokenizer does: the letters, and all marks as one.
+    A text's ids are those of its white-space separated parts. Arrow splits many texts and finds their
+    distinct parts; only these are looked at one by one, and what the bounded caches do not hold goes
+    through the tokenizer, many at once. A part of plain letters with marks behind it is split like the
+    tokenizer does: the letters, and all marks as one.
 
     Lower-cased letters are one word to the tokenizer's splitter. They skip it: a second tokenizer with
     the same merges, which splits at spaces only, takes their bytes in the form the splitter would pass
@@ -96,7 +103,7 @@ class Coder:
         vocabulary, suffix = plain["model"]["vocab"], plain["model"]["end_of_word_suffix"]
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-        self.parts, self.bases, self.marks = Recent(), Recent(), Recent()
+        self.bases, self.others = Recent(), Recent()
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -104,49 +111,67 @@ class Coder:
     def _letters(self, words: list[str]) -> Iterator[bytes]:
         """Ids of lower-cased words of letters."""
         for i in range(0, len(words), 10_000):
-            some = [w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_NAMES) for w in words[i : i + 10_000]]
-            (coded,) = self.words.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            raw = np.frombuffer(" ".join(words[i : i + 10_000]).encode(), np.uint8)
+            named = _NAMED[raw].tobytes().decode("utf-16-le")
+            (coded,) = self.words.encode_batch_fast([named], add_special_tokens=False)
             ids = np.asarray(coded.ids, "<u4")
-            ends = (np.flatnonzero(self.ends_word[ids]) + 1) * 4
+            ends = ((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()
             raw = ids.tobytes()
-            yield from (raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()))
-
-    def learn(self, parts: set[str]) -> dict[str, bytes]:
-        """Ids of parts that are not in the cache, which then are."""
-        split, out = [], {}
-        for part in parts:
-            # Up to this letter lower-casing is letter by letter, and nothing composes or decomposes.
-            if part.isascii() or max(part) <= "\xff":
-                whole = part.lower()
-                low = whole.rstrip(punctuation)
-                if low.isalpha():
-                    split.append((part, low, whole[len(low) :]))
-                    continue
-            out[part] = self._whole(part)
-        lows, ends = {low for _, low, _ in split}, {end for _, _, end in split if end}
-        bases, marks = self.bases.found(lows), self.marks.found(ends)
-        new = list(lows - bases.keys())
-        more = dict(zip(new, self._letters(new)))
-        more_marks = {end: self._whole(end) for end in ends - marks.keys()}
-        self.bases.put(more)
-        self.marks.put(more_marks)
-        bases |= more
-        marks |= more_marks
-        out.update((part, bases[low] + marks[end] if end else bases[low]) for part, low, end in split)
-        self.parts.put(out)
-        return out
+            yield from [raw[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+    def _all(self, words: pa.Array, held: Recent, learn) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the distinct words in one array, and where those of each of ``words`` start and how many they are."""
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        new = list(held.unknown(set(distinct)))
+        held.young.update(zip(new, learn(new)))
+        ids = [held.young[w] for w in distinct]
+        for w in new:
+            if len(w) > _LONGEST_CACHED:
+                del held.young[w]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        at = coded.indices.to_numpy()
+        return np.frombuffer(b"".join(ids), "<u4"), (np.cumsum(sizes) - sizes)[at], sizes[at]
+
+    def _parts(self, parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some distinct parts in a row, and how many each has."""
+        offsets = np.frombuffer(parts.buffers()[1], np.int32)[parts.offset : parts.offset + len(parts) + 1]
+        # Up to U+00FF, whose bytes end at 0xC3, lower-casing is letter by letter, and nothing composes or decomposes.
+        high = np.r_[0, np.cumsum(np.frombuffer(parts.buffers()[2] or b"", np.uint8)[: offsets[-1]] > 0xC3)][offsets]
+        whole = pc.utf8_lower(parts)
+        low = pc.ascii_rtrim(whole, characters=punctuation)
+        simple = (high[1:] == high[:-1]) & pc.utf8_is_alpha(low).to_numpy(False) & (np.diff(offsets) <= _LONGEST_CACHED)
+        at = np.flatnonzero(simple)
+        whole, low = whole.take(pa.array(at)), low.take(pa.array(at))
+        marked = np.flatnonzero((pc.binary_length(low).to_numpy() < pc.binary_length(whole).to_numpy()))
+        some = pa.array(marked)
+        marks = pa.array([w[len(b) :] for w, b in zip(whole.take(some).to_pylist(), low.take(some).to_pylist())], pa.string())
+        rest = np.flatnonzero(~simple)
+
+        def wholes(words):
+            return [self._whole(w) for w in words]
+
+        starts, sizes = np.zeros((2, 2, len(parts)), np.int64)
+        base, starts[0, at], sizes[0, at] = self._all(low, self.bases, self._letters)
+        other, found, size = self._all(pa.concat_arrays([parts.take(pa.array(rest)), marks]), self.others, wholes)
+        starts[0, rest], sizes[0, rest] = found[: len(rest)] + len(base), size[: len(rest)]
+        starts[1, at[marked]], sizes[1, at[marked]] = found[len(rest) :] + len(base), size[len(rest) :]
+        flat = np.concatenate([base, other])
+        return _gathered(flat, starts.T.ravel(), sizes.T.ravel()), sizes.sum(axis=0)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [None if _ODD_SPACE.search(t) else t.split() for t in texts]
-        needed = set().union(*(parts for parts in split if parts))
-        long = {p for p in needed if len(p) > _LONGEST_CACHED}
-        needed -= long
-        known = self.parts.found(needed)
-        known |= self.learn(needed - known.keys())
-        known |= {p: self._whole(p) for p in long}
-        for text, parts in zip(texts, split):
-            yield self._whole(text) if parts is None else b"".join([known[p] for p in parts])
+        odd = [bool(_ODD_SPACE.search(t)) for t in texts]
+        split = pc.utf8_split_whitespace(pa.array(["" if o else t for o, t in zip(odd, texts)], pa.string()))
+        coded = split.flatten().dictionary_encode()
+        ids, sizes = self._parts(coded.dictionary)
+        at = coded.indices.to_numpy()
+        own = sizes[at]
+        data = _gathered(ids, (np.cumsum(sizes) - sizes)[at], own).tobytes()
+        words = np.r_[0, np.cumsum(split.value_lengths().to_numpy())]
+        ends = (4 * np.r_[0, np.cumsum(own)][words]).tolist()
+        for o, text, a, b in zip(odd, texts, ends, ends[1:]):
+            yield self._whole(text) if o else data[a:b]
 
 
 @cache
@@ -213,6 +238,7 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, with_
                         rows.append((doc, n, n * capacity, len(cut) // 4, zlib.crc32(cut), *[cut] * with_ids))
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        pa.default_memory_pool().release_unused()  # the worker stays for other stages
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)

@@ -117,3 +117,16 @@ def test_odd_rows(spark):
     assert packing.pack_documents(docs.limit(0), FILE).count() == 0
     with_ids = packing.pieces(docs, FILE, 100, with_ids=True).collect()
     assert all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in with_ids)
+
+
+def test_words_are_not_looked_at_one_by_one():
+    """A million occurrences of a few words cost no Python step each; odd words and spaces keep their ids."""
+    coder = packing.Coder(FILE)
+    looked = []
+    coder._whole, coder._letters = (lambda f: lambda x: looked.extend([x] if isinstance(x, str) else x) or f(x))(coder._whole), (
+        lambda f: lambda x: looked.extend(x) or list(f(x)))(coder._letters)
+    texts = ["Word, word! ÀÉ été 日本 x1 WORD " * 40_000, "", "   ", "a\x1fb c", "w" * 300, "Straße.\xa0ﬁ İ ſ 𐐀 é"]
+    found = [np.frombuffer(b, "<u4").tolist() for b in coder.encode(texts)]
+    assert len(looked) < 30
+    assert found == [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert max(map(len, [*coder.others.young, *coder.bases.young])) <= 64
