@@ -26,6 +26,8 @@ ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.1, 1e-4
 HELD_OUT = (3, 1)  # crc32(doc_id as text) mod 3 is 1
 #: Bytes of a text hashed at once.
 CHUNK = 1 << 20
+#: Texts whose vectors are held at once.
+ROWS = 256
 
 _LETTER, _DIGIT, _MARK, _SPACE = 1, 2, 3, 0
 _KIND = np.full(256, _MARK, np.uint8)
@@ -82,6 +84,17 @@ def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     return index, values / max(np.linalg.norm(values), 1e-12)
 
 
+def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, label, index and values of rows (doc_id, label, text); vectors of ``ROWS`` texts are held at once."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, ROWS):
+            batch = whole.slice(at, ROWS)
+            found = [(i.astype(np.int32), v.astype(np.float32)) for i, v in (features(t.as_py()) for t in batch.column(2))]
+            index = pa.array([i for i, _ in found], pa.list_(pa.int32()))
+            values = pa.array([v for _, v in found], pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], index, values], names=["doc_id", "label", "index", "values"])
+
+
 class Ftrl:
     """FTRL-proximal with per-coordinate rates. The last weight is the bias, which is not regularised."""
 
@@ -121,15 +134,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     # The sample's size is a parameter, so it may be broadcast.
     rows = texts.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
-    def vectors(batches):
-        for batch in batches:
-            found = [features(t.as_py()) for t in batch.column(2)]
-            index = pa.array([i for i, _ in found], pa.list_(pa.int32()))
-            values = pa.array([v for _, v in found], pa.list_(pa.float32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], index, values], names=["doc_id", "label", "index", "values"])
-
     sparse = rows.select("doc_id", "label", "text").mapInArrow(
-        vectors, "doc_id long, label int, index array<int>, values array<float>"
+        _vectors, "doc_id long, label int, index array<int>, values array<float>"
     )
 
     def train(batches):

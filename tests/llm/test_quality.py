@@ -6,6 +6,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from scholarmill.llm import quality, queries
@@ -116,3 +117,16 @@ def test_fitted_as_by_a_dictionary(spark):
     for r in quality.classify(docs, labels).collect():
         total = sum(plain.get(i, 0.0) * v for i, v in plain_features(texts[r.doc_id]).items()) + plain.get(bias, 0.0)
         assert math.isclose(r.score, 1 / (1 + math.exp(-total)), rel_tol=1e-4)
+
+
+def test_vectors_of_few_texts_are_held_at_once():
+    """An executor holds workers of other stages too; a batch of ten thousand long texts must not add all its vectors."""
+    texts = [f"some words {i} and {i % 7} more" for i in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array([0, 1] * 500), pa.array(texts)], names=["doc_id", "label", "text"])
+    parts = list(quality._vectors([batch]))
+    assert max(p.num_rows for p in parts) <= 256
+    rows = [r for p in parts for r in p.to_pylist()]
+    assert [r["doc_id"] for r in rows] == list(range(1000))
+    for r, text in zip(rows, texts):
+        index, values = quality.features(text)
+        assert r["index"] == index.tolist() and np.allclose(r["values"], values)
