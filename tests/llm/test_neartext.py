@@ -72,6 +72,24 @@ def test_groups_of_edited_texts(spark, monkeypatch, variants):
     assert all(root(d) == root(c) for d, c in found.items())  # every group is connected by pairs over 0.8
 
 
+def test_few_pairs_of_a_large_group(spark, monkeypatch):
+    """Members of a group share hundreds of variants; what meets are a few pairs a text, and all are linked."""
+    pick, store, pairs = random.Random(4), neartext.stored, []
+
+    def counted(df):
+        out = store(df)
+        if sorted(out.columns) == ["a", "b"]:
+            pairs.append(out.count())
+        return out
+
+    monkeypatch.setattr(neartext, "stored", counted)
+    hot = [f"hot{pick.randint(0, 500)}" for _ in range(300)]
+    rows = [(i, " ".join(edited(pick, hot, 0.01))) for i in range(400)]
+    found = neartext.near_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sum(r.component_id == 0 for r in found) > 380
+    assert max(pairs) < 10 * len(rows)  # 49 a text when all bands meet at once
+
+
 def test_recall_on_the_documents(spark):
     kept = exact.drop_exact_duplicates(queries.table(spark, CHECK, "documents"))
     rows = [(r.doc_id, r.text) for r in kept.select("doc_id", "text").collect()]
