@@ -93,3 +93,10 @@ def stored(df: DataFrame, name: str | None = None) -> DataFrame:
     with _tidy(spark):
         df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote and nothing reads any more."""
+    for table in tables:
+        for path in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            remove(table.sparkSession, path)

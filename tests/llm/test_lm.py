@@ -4,9 +4,13 @@ import math
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from scholarmill import session
 from scholarmill.llm import lm, queries
 from tests.conftest import CHECK
 
@@ -147,3 +151,26 @@ def test_rare_pair_is_an_arc(spark):
     docs = spark.createDataFrame([*rows, (tested, "quartz vixen")], "doc_id long, text string")
     found = lm.score_documents(docs).where(f"doc_id = {tested}").first()
     assert found.score - found.base_score > 3
+
+
+def test_tables_of_the_orders_before_are_gone(spark, tmp_path, monkeypatch):
+    """What is left in the store for the scores is small, as is what was written on the way."""
+    rng = random.Random(7)
+    words = [a + b + c for a in "bdfgklmnpr" for b in "aeiou" for c in "bdfgklmnpr"]
+    rows = [(i, " ".join(rng.choices(words, [1 / (j + 1) for j in range(500)], k=400))) for i in range(1500)]
+    monkeypatch.setattr(session, "shared_folder", lambda _: str(tmp_path))
+    lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    left = sum(p.stat().st_size for p in Path(tmp_path).rglob("*.parquet"))
+    assert len(list(Path(tmp_path).glob("stored-*"))) == 2  # the chunks, and the answers of the last order
+    assert left < 2.2 * sum(len(t) for _, t in rows)
+
+
+def test_packed_numbers_and_words():
+    arrays = [np.array(a) for a in ([], [3, 255], [-1, 1 << 40], [1 << 62, -(1 << 62)], [0.1, -2.5], [70000])]
+    for a, b in zip(arrays, lm._unpack(lm._pack(*arrays)), strict=True):
+        assert a.tolist() == b.tolist()
+    texts = ["q", "c\td\n\ne", "", " \x1c \x85Z ", "É é", "\v\f\r", "A B"]
+    for start in range(3):
+        found, sizes = lm._split(pa.array(texts).slice(start))
+        own = [lm.words_of(t) for t in texts[start:]]
+        assert found.to_pylist() == [w for o in own for w in o] and sizes.tolist() == [len(o) for o in own]
